@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from checks import starts as S
 
-POWER_STEPS = 60
+POWER_STEPS = 400
 
 
 def cols(prefix: str, width: int, source: str = "") -> list[str]:

@@ -54,8 +54,8 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 
 def spread_out(df: DataFrame, width: int, prefix: str, *keep: str, exact: bool = False) -> DataFrame:
     """An array column ``features`` as one column per position."""
-    f = F.col("features")
-    return df.select(*keep, *[(f[i] if exact else r6(f[i])).alias(f"{prefix}{i}") for i in range(width)])
+    values = [f"features[{i}]" if exact else f"round(features[{i}], 6) + 0D" for i in range(width)]
+    return df.select(*keep, *[F.expr(v).alias(f"{prefix}{i}") for i, v in enumerate(values)])
 
 
 # -- parsing ----------------------------------------------------------------------------------

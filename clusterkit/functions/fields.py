@@ -14,9 +14,9 @@ def split_fields(line: Column, delimiter: str, limit: int = -1) -> Column:
     return F.split(line, re.escape(delimiter), limit)
 
 
-def blank_to_zero(field: Column) -> Column:
-    """Text to double; the empty string is 0.0, text that is no number is null."""
-    return F.when(field == "", F.lit(0.0)).otherwise(field.try_cast("double"))
+def blank_to_zero_text(field: str) -> str:
+    """SQL text: the number in a text field; the empty string is 0.0, text that is no number is null."""
+    return f"if({field} = '', 0D, try_cast({field} AS double))"
 
 
 def last_nonempty_field(line: Column, delimiter: str = ",") -> Column:

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clusterkit.functions import sqltext as q
 
-def squared_distance_to(components: Sequence[Column], center: Sequence[float]) -> Column:
-    """Squared distance of a row, given as one column per dimension, to a constant point."""
-    terms = [(x - F.lit(float(c))) * (x - F.lit(float(c))) for x, c in zip(components, center)]
-    return reduce(lambda a, b: a + b, terms)
+
+def squared_distances_text(features: str, centers: Sequence[Sequence[float]]) -> str:
+    """SQL text: array of the squared distances of a row to constant points."""
+    x = q.name(features)
+    sums = []
+    for center in centers:
+        gaps = [f"({x}[{i}] - {q.number(c)})" for i, c in enumerate(center)]
+        sums.append(" + ".join(f"{g} * {g}" for g in gaps))
+    return q.array(sums)
 
 
 def euclidean(a: Column, b: Column) -> Column:
@@ -22,4 +27,4 @@ def euclidean(a: Column, b: Column) -> Column:
 
 
 def constant_array(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    return F.expr(q.array([q.number(v) for v in values]))

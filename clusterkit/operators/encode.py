@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clusterkit.functions import sqltext as q
 from clusterkit.sources.records import RecordSpec
 
 # A one-hot row is as wide as its dictionaries, so they must stay model-sized.
@@ -33,8 +34,7 @@ class Dictionaries:
 
 def assemble_numeric(records: DataFrame, spec: RecordSpec, *keep: str) -> DataFrame:
     """``label`` and the numeric fields as one ``features`` array."""
-    features = F.array(*[F.col(name) for name in spec.numeric_names])
-    return records.select("label", *keep, features.alias("features"))
+    return records.select("label", *keep, F.array(*spec.numeric_names).alias("features"))
 
 
 def fit_dictionaries(
@@ -48,11 +48,11 @@ def fit_dictionaries(
     fields = list(fields)
     if not fields:
         return Dictionaries({})
-    sizes = records.agg(*[F.approx_count_distinct(f).alias(f) for f in fields]).first()
+    sizes = records.agg(*[F.expr(f"approx_count_distinct({q.name(f)})").alias(f) for f in fields]).first()
     if sum(sizes[f] for f in fields) > max_width * 1.1:
         widest = max(fields, key=lambda f: sizes[f])
         raise ValueError(f"about {sizes[widest]} values in field {widest!r}: wider than {max_width}")
-    pairs = records.select(F.posexplode(F.array(*[F.coalesce(F.col(f), F.lit("")) for f in fields])))
+    pairs = records.select(F.expr(f"posexplode({q.array([f"coalesce({q.name(f)}, '')" for f in fields])})"))
     found = pairs.groupBy("pos", "col").count().select("pos", "col").collect()
     if len(found) > max_width:
         raise ValueError(f"{len(found)} category values: wider than {max_width}")
@@ -71,15 +71,14 @@ def encode_arrays(
     """Numbers and one-hot blocks as one ``features`` array. A value that is in no dictionary
     encodes to an all-zero block."""
     slots = []
-    for name in spec.feature_order(include_label):
-        if name in dictionaries.values:
+    for field in spec.feature_order(include_label):
+        if field in dictionaries.values:
             slots += [
-                F.when(F.col(name) == value, F.lit(1.0)).otherwise(F.lit(0.0))
-                for value in dictionaries.values[name]
+                f"if({q.name(field)} <=> {q.text(value)}, 1D, 0D)" for value in dictionaries.values[field]
             ]
         else:
-            slots.append(F.col(name))
-    return records.select("label", *keep, F.array(*slots).alias("features"))
+            slots.append(q.name(field))
+    return records.select("label", *keep, F.expr(q.array(slots)).alias("features"))
 
 
 def encode_vectors(
@@ -93,8 +92,10 @@ def encode_vectors(
     after the values and takes no empty name, hence the leading mark.
     """
     fields = list(dictionaries.values)
-    kept = records.select("label", *keep, *[c for c in spec.feature_order(include_label)])
-    marked = kept.withColumns({f"{f}__text": F.concat(F.lit("="), F.coalesce(F.col(f), F.lit(""))) for f in fields})
+    marked = records.select(
+        "label", *keep, *[n for n in spec.feature_order(include_label) if n not in dictionaries.values],
+        *[F.expr(f"concat('=', coalesce({q.name(f)}, ''))").alias(f"{f}__text") for f in fields],
+    )
     # One model per field: label lists of different lengths cannot share one, the shorter ones
     # would be filled up with nulls.
     indexed = marked

@@ -5,10 +5,11 @@ Many clusterings of the same rows (a sweep over K, restarts) share each scan: th
 
 Assignment has two forms, chosen by the number of coordinates in all centers (cells):
 
-* few cells: a literal expression per center inside whole-stage code. 600,000 rows with 100
-  cells take 0.3 s; the same with 200 cells takes 5 s, as the generated method becomes too large
-  for the JIT compiler, so the bound is below that;
-* more cells: one matrix product per Arrow batch, 0.6 s at 500 cells.
+* one run of few cells: a literal expression per center inside whole-stage code. 600,000 rows with
+  100 cells take 0.3 s; the same with 200 cells takes 5 s, as the generated method becomes too
+  large for the JIT compiler, so the bound is below that. Several runs in one method meet the
+  same limit early (30 cells in four runs: 2.5 s per pass, most of it compilation);
+* all else: one matrix product per Arrow batch, 0.6 s at 500 cells.
 
 Neither joins rows to centers, so nothing is shuffled but the per-cluster sums.
 """
@@ -26,11 +27,12 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clusterkit.functions import sqltext as q
 from clusterkit.functions.fields import k_rule_of_thumb
-from clusterkit.functions.vectors import euclidean, squared_distance_to
+from clusterkit.functions.vectors import euclidean, squared_distances_text
 from clusterkit.operators.normalise import feature_width
 
 MAX_UNROLLED_CELLS = 96
@@ -94,6 +96,10 @@ def _cells(runs: Mapping[int, np.ndarray]) -> int:
     return cells
 
 
+def _unrolls(runs: Mapping[int, np.ndarray]) -> bool:
+    return _cells(runs) <= MAX_UNROLLED_CELLS and len(runs) == 1
+
+
 def _nearest_rows() -> Callable:
     """The Arrow form's helper, as a closure so that workers need no copy of this package."""
     import numpy as np
@@ -156,23 +162,16 @@ def _nearest_arrow(runs: Mapping[int, np.ndarray], width: int) -> Callable:
 
 def with_nearest(df: DataFrame, runs: Mapping[int, np.ndarray], features: str = "features") -> DataFrame:
     """Add ``nearest``: per run the nearest center (the lower id on a tie) and its distance."""
-    width = next(iter(runs.values())).shape[1]
-    if _cells(runs) > MAX_UNROLLED_CELLS:
+    if not _unrolls(runs):
+        width = next(iter(runs.values())).shape[1]
         return df.withColumn("nearest", _nearest_arrow(runs, width)(F.col(features)))
-    x = [F.col(features)[i] for i in range(width)]
-    squared = {
-        f"__squared_{run}": F.array(*[squared_distance_to(x, c) for c in centers])
-        for run, centers in runs.items()
-    }
-    entries = []
-    for run in runs:
-        d2 = F.col(f"__squared_{run}")
-        entries.append(F.struct(
-            F.lit(run).alias("run"),
-            (F.array_position(d2, F.array_min(d2)) - 1).cast("int").alias("cluster"),
-            F.sqrt(F.array_min(d2)).alias("distance"),
-        ))
-    return df.withColumns(squared).withColumn("nearest", F.array(*entries)).drop(*squared)
+    (run, centers), = runs.items()
+    entry = (
+        f"array(named_struct('run', {run}, 'cluster', cast(array_position(__squared, array_min(__squared)) - 1 AS int), "
+        "'distance', sqrt(array_min(__squared))))"
+    )
+    squared = df.withColumn("__squared", F.expr(squared_distances_text(features, centers)))
+    return squared.withColumn("nearest", F.expr(entry)).drop("__squared")
 
 
 def assign(df: DataFrame, model: Clustering, features: str = "features") -> DataFrame:
@@ -238,10 +237,8 @@ def run_totals(df: DataFrame, runs: Mapping[int, np.ndarray], features: str = "f
     so a cluster that holds most of the data costs no more than the others.
     """
     width = next(iter(runs.values())).shape[1]
-    if _cells(runs) > MAX_UNROLLED_CELLS:
-        rows = _totals_arrow(df, runs, width, features)
-    else:
-        rows = _totals_unrolled(df, runs, width, features)
+    totals = _totals_unrolled if _unrolls(runs) else _totals_arrow
+    rows = totals(df, runs, width, features)
     result = {
         run: RunTotals(np.zeros(len(c), dtype="int64"), np.zeros(c.shape), np.zeros(len(c)), np.zeros(len(c)))
         for run, c in runs.items()
@@ -257,17 +254,15 @@ def run_totals(df: DataFrame, runs: Mapping[int, np.ndarray], features: str = "f
 
 def _totals_unrolled(df: DataFrame, runs: Mapping[int, np.ndarray], width: int, features: str) -> DataFrame:
     near = with_nearest(df.select(features), runs, features)
-    if len(runs) == 1:
-        flat = near.select(features, F.col("nearest")[0].alias("n")).select(features, "n.*")
-    else:
-        flat = near.select(features, F.inline("nearest"))
-    d = F.col("distance")
-    sums = [F.sum(F.col(features)[i]).alias(f"s{i}") for i in range(width)]
+    flat = near.select(features, F.col("nearest")[0].alias("n")).select(features, "n.*")
+    x = q.name(features)
+    sums = [F.expr(f"sum({x}[{i}])").alias(f"s{i}") for i in range(width)]
     grouped = flat.groupBy("run", "cluster").agg(
-        F.count("*").alias("count"), F.sum(d).alias("distance"), F.sum(d * d).alias("squared"), *sums
+        F.count("*").alias("count"), F.sum("distance").alias("distance"),
+        F.expr("sum(distance * distance)").alias("squared"), *sums,
     )
-    total = F.array(*[F.col(f"s{i}") for i in range(width)])
-    return grouped.select("run", "cluster", "count", "distance", "squared", total.alias("total"))
+    total = q.array([f"s{i}" for i in range(width)])
+    return grouped.selectExpr("run", "cluster", "count", "distance", "squared", f"{total} AS total")
 
 
 def _totals_arrow(df: DataFrame, runs: Mapping[int, np.ndarray], width: int, features: str) -> DataFrame:

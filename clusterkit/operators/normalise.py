@@ -12,6 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clusterkit.functions import sqltext as q
 from clusterkit.functions.vectors import constant_array
 
 # Up to this width one aggregate (or one expression) per dimension compiles to fast code.
@@ -53,13 +54,10 @@ def covariance(df: DataFrame, features: str = "features") -> DataFrame:
     """Sample covariance of every pair of dimensions, i <= j, in one scan and no explode."""
     width = feature_width(df, features)
     pairs = [(i, j) for i in range(width) for j in range(i, width)]
-    f = F.col(features)
-    row = df.agg(*[F.covar_samp(f[i], f[j]).alias(f"{i}_{j}") for i, j in pairs])
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"{i}_{j}").alias("covariance"))
-        for i, j in pairs
-    ])
-    return row.select(F.inline(entries))
+    f = q.name(features)
+    row = df.agg(*[F.expr(f"covar_samp({f}[{i}], {f}[{j}])").alias(f"c{i}_{j}") for i, j in pairs])
+    entries = q.array([f"named_struct('i', {i}, 'j', {j}, 'covariance', c{i}_{j})" for i, j in pairs])
+    return row.select(F.expr(f"inline({entries})"))
 
 
 def fit_zscore(df: DataFrame, features: str = "features") -> ZScore | None:
@@ -69,12 +67,10 @@ def fit_zscore(df: DataFrame, features: str = "features") -> ZScore | None:
     if width == 0:
         return None
     if not is_vector and width <= MAX_UNROLLED:
-        f = F.col(features)
-        row = df.agg(
-            F.count("*"),
-            *[F.avg(f[i]) for i in range(width)],
-            *[F.stddev_pop(f[i]) for i in range(width)],
-        ).first()
+        f = q.name(features)
+        means = [f"avg({f}[{i}])" for i in range(width)]
+        deviations = [f"stddev_pop({f}[{i}])" for i in range(width)]
+        row = df.agg(F.count("*"), *[F.expr(e) for e in means + deviations]).first()
         return ZScore(row[0], np.array(row[1:width + 1]), np.array(row[width + 1:]))
     vectors = F.col(features) if is_vector else array_to_vector(features)
     metrics = Summarizer.metrics("count", "mean", "variance").summary(vectors)
@@ -89,14 +85,13 @@ def apply_zscore(
 ) -> DataFrame:
     """Replace a features array by its z-scores: x - mean, divided by the deviation if there is one."""
     width = len(params.mean)
-    clean = (lambda x: F.nanvl(x, F.lit(0.0))) if nan_to_zero else (lambda x: x)
     if width <= MAX_UNROLLED:
-        f = F.col(features)
-        scaled = F.array(*[
-            clean(f[i] - float(m) if s <= 0 else (f[i] - float(m)) / float(s))
-            for i, (m, s) in enumerate(zip(params.mean, params.std))
-        ])
+        f = q.name(features)
+        shifted = [f"({f}[{i}] - {q.number(m)})" for i, m in enumerate(params.mean)]
+        divided = [x if s <= 0 else f"{x} / {q.number(s)}" for x, s in zip(shifted, params.std)]
+        scaled = F.expr(q.array([f"nanvl({x}, 0D)" if nan_to_zero else x for x in divided]))
     else:
+        clean = (lambda x: F.nanvl(x, F.lit(0.0))) if nan_to_zero else (lambda x: x)
         shifted = F.zip_with(features, constant_array(params.mean), lambda x, m: x - m)
         scaled = F.zip_with(shifted, constant_array(params.divisor), lambda x, s: clean(x / s))
     return df.withColumn(features, scaled)

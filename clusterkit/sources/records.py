@@ -8,12 +8,12 @@ batch and streaming DataFrames.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clusterkit.functions.fields import blank_to_zero, split_fields
+from clusterkit.functions import sqltext as q
+from clusterkit.functions.fields import blank_to_zero_text, split_fields
 
 
 @dataclass(frozen=True)
@@ -81,34 +81,34 @@ def _split(lines: DataFrame, spec: RecordSpec) -> DataFrame:
     return lines.select("value", _once(parts).alias("parts"))
 
 
-def _is_complete(spec: RecordSpec) -> Column:
-    return F.size("parts") == spec.width
+def _is_complete(spec: RecordSpec) -> str:
+    return f"size(parts) = {spec.width}"
 
 
-def _all_numbers(spec: RecordSpec) -> Column:
-    checks = [blank_to_zero(F.get("parts", F.lit(i))).isNotNull() for i in spec.numeric]
-    return reduce(lambda a, b: a & b, checks)
+def _all_numbers(spec: RecordSpec) -> str:
+    checks = [f"{blank_to_zero_text(f'get(parts, {i})')} IS NOT NULL" for i in spec.numeric]
+    return " AND ".join(checks) or "true"
 
 
 def split_records(lines: DataFrame, spec: RecordSpec) -> DataFrame:
     """All lines as named text fields beside ``value``; fields a line lacks are null."""
-    parts = [F.get("parts", F.lit(i)).alias(name) for i, name in enumerate(spec.names)]
-    return _split(lines, spec).select("value", *parts)
+    fields = [f"get(parts, {i}) AS {q.name(name)}" for i, name in enumerate(spec.names)]
+    return _split(lines, spec).selectExpr("value", *fields)
 
 
 def parse_records(lines: DataFrame, spec: RecordSpec) -> DataFrame:
     """The well-formed lines: ``value``, ``label``, numeric fields as double, the rest as text."""
     typed = [
-        (blank_to_zero(F.col("parts")[i]) if i in spec.numeric else F.col("parts")[i]).alias(name)
+        f"{blank_to_zero_text(f'parts[{i}]') if i in spec.numeric else f'parts[{i}]'} AS {q.name(name)}"
         for i, name in enumerate(spec.names)
     ]
-    good = _split(lines, spec).where(_is_complete(spec) & _all_numbers(spec))
-    return good.select("value", F.col("parts")[spec.label].alias("label"), *typed)
+    good = _split(lines, spec).where(f"{_is_complete(spec)} AND {_all_numbers(spec)}")
+    return good.selectExpr("value", f"parts[{spec.label}] AS label", *typed)
 
 
 def rejected_records(lines: DataFrame, spec: RecordSpec) -> DataFrame:
     """The other lines, each with the reason it was refused."""
-    reason = F.when(~_is_complete(spec), "field count").when(~_all_numbers(spec), "not a number")
+    reason = F.when(~F.expr(_is_complete(spec)), "field count").when(~F.expr(_all_numbers(spec)), "not a number")
     return _split(lines, spec).select("value", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
