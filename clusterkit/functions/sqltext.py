@@ -18,8 +18,8 @@ def number(value: float) -> str:
 
 
 def text(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
+    """By its bytes: quoting rules and ``${...}`` substitution cannot touch it."""
+    return f"cast(X'{value.encode().hex()}' AS string)"
 
 
 def name(column: str) -> str:

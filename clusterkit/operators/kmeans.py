@@ -357,13 +357,11 @@ def best_of(df: DataFrame, models: Mapping[int, Clustering], features: str = "fe
     return Clustering(models[best].centers, t.count, float(t.squared.sum()))
 
 
-def _mean_center(df: DataFrame, features: str) -> Clustering | None:
+def _mean_center(df: DataFrame, features: str) -> Clustering:
     """One cluster: its center is the mean (Spark ML refuses k = 1)."""
-    vectors = features if isinstance(df.schema[features].dataType, VectorUDT) else array_to_vector(features)
-    vectors = F.col(vectors) if isinstance(vectors, str) else vectors
+    is_vector = isinstance(df.schema[features].dataType, VectorUDT)
+    vectors = F.col(features) if is_vector else array_to_vector(features)
     s = df.select(Summarizer.metrics("mean", "count").summary(vectors).alias("s")).select("s.*").first()
-    if not s["count"]:
-        return None
     return Clustering(s["mean"].toArray()[None, :], np.array([s["count"]]))
 
 
@@ -404,10 +402,10 @@ def fit(
         if starts.ndim == 2:
             return lloyd(df, starts, iterations, tolerance, features)
         return best_of(df, lloyd_runs(df, dict(enumerate(starts)), iterations, tolerance, features), features)
-    if k == 1:
-        return _mean_center(df, features)
     if feature_width(df, features) == 0:
         return None
+    if k == 1:
+        return _mean_center(df, features)
     vectors = df.select(features)
     if not isinstance(df.schema[features].dataType, VectorUDT):
         vectors = df.select(array_to_vector(features).alias(features))
