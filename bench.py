@@ -36,8 +36,6 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
-        # Small files: let the scan make one split per core.
-        .config("spark.sql.files.openCostInBytes", str(256 * 1024))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -17,12 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem on all cores. A file with one row group is read by one task, however many cores
+    there are; a table of many files already has more partitions than that and is left alone."""
+    items = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    return items.repartition(cores) if items.rdd.getNumPartitions() < cores else items
+
+
 def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four numbers of comparable size, with the keys and the return flag as label."""
     features = F.array(
         F.col("l_quantity"), F.col("l_extendedprice") / 1000, F.col("l_discount") * 100, F.col("l_tax") * 100
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return lineitem(spark, sf_dir).select(
         "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("label"), features.alias("features")
     )
 
@@ -45,7 +53,7 @@ LINEITEM_RECORD = RecordSpec(
 
 def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as comma-separated text files, read back line by line."""
-    items = table(spark, sf_dir, "lineitem")
+    items = lineitem(spark, sf_dir)
     fields = [
         F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if c == "l_shipdate" else F.col(c).cast("string")
         for c in LINEITEM_RECORD.names
@@ -69,7 +77,7 @@ def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         21: F.when(F.col("l_tax") == 0, F.lit("")).otherwise(F.col("l_tax").cast("string")), 23: F.lit("ACCEPT"),
     }
     fields = [text.get(i, F.lit("")) for i in range(28)]
-    return table(spark, sf_dir, "lineitem").select(F.concat_ws(",", *fields).alias("value"))
+    return lineitem(spark, sf_dir).select(F.concat_ws(",", *fields).alias("value"))
 
 
 EVENT_RECORD = RecordSpec(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -40,22 +41,21 @@ def assemble_numeric(records: DataFrame, spec: RecordSpec, *keep: str) -> DataFr
 def fit_dictionaries(
     records: DataFrame, fields: Sequence[str], max_width: int = MAX_ENCODED_WIDTH
 ) -> Dictionaries:
-    """Distinct values of all fields, in one scan after a sketch has bounded their number.
+    """Distinct values of all fields, in one scan.
 
-    The sketch pass keeps a near-unique field from being shuffled and collected: it fails with
-    the name of the field instead.
+    Each task reduces its rows to its distinct (field, value) pairs before the shuffle, so a value
+    that holds most of the rows is sent once per task. At most ``max_width + 1`` values are
+    fetched; if there are more, the fit fails and names the widest field.
     """
     fields = list(fields)
     if not fields:
         return Dictionaries({})
-    sizes = records.agg(*[F.expr(f"approx_count_distinct({q.name(f)})").alias(f) for f in fields]).first()
-    if sum(sizes[f] for f in fields) > max_width * 1.1:
-        widest = max(fields, key=lambda f: sizes[f])
-        raise ValueError(f"about {sizes[widest]} values in field {widest!r}: wider than {max_width}")
-    pairs = records.select(F.expr(f"posexplode({q.array([f"coalesce({q.name(f)}, '')" for f in fields])})"))
-    found = pairs.groupBy("pos", "col").count().select("pos", "col").collect()
+    values = q.array([f"coalesce({q.name(f)}, '')" for f in fields])
+    pairs = records.select(F.expr(f"posexplode({values})"))
+    found = pairs.select("pos", "col").distinct().limit(max_width + 1).collect()
     if len(found) > max_width:
-        raise ValueError(f"{len(found)} category values: wider than {max_width}")
+        widest, count = Counter(fields[r["pos"]] for r in found).most_common(1)[0]
+        raise ValueError(f"more than {max_width} category values, {count} or more of them in field {widest!r}")
     # By UTF-8 bytes, the order in which Spark and SQL engines sort text.
     ordered = {
         f: tuple(sorted((r["col"] for r in found if r["pos"] == i), key=lambda v: v.encode()))
