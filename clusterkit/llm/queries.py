@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clusterkit.llm.bpe_trie import bpe_digest
 from clusterkit.llm.common import table
+from clusterkit.llm.pii import pii_digest
+from clusterkit.llm.quality import quality_report
+from clusterkit.llm.simhash import simhash_classes
 from clusterkit.llm.token_counts import token_counts
 from clusterkit.llm.token_files import token_files_digest
 
@@ -20,6 +23,14 @@ def vocabulary_path() -> str:
     return os.path.realpath(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_classes(table(spark, sf_dir, "documents"))
+
+
+def op2_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
 def op3_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -32,10 +43,17 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files_digest(table(spark, sf_dir, "documents"), vocabulary_path(), end_id=0)
 
 
+def op6_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
+    "op2_quality_cascade": op2_quality_cascade,
     "op3_bpe_trie": op3_bpe_trie,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
+    "op6_pii_anchors": op6_pii_anchors,
 }
 
 SQL: dict[str, str] = {}
