@@ -11,6 +11,7 @@ from clusterkit.llm.bpe_trie import bpe_digest
 from clusterkit.llm.common import table
 from clusterkit.llm.pii import pii_digest
 from clusterkit.llm.quality import quality_report
+from clusterkit.llm.repeats import drop_repeats
 from clusterkit.llm.simhash import simhash_classes
 from clusterkit.llm.token_counts import token_counts
 from clusterkit.llm.token_files import token_files_digest
@@ -47,6 +48,10 @@ def op6_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents"), length=400, with_kept=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality_cascade": op2_quality_cascade,
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op6_pii_anchors": op6_pii_anchors,
+    "op9_repeats": op9_repeats,
 }
 
 SQL: dict[str, str] = {}
