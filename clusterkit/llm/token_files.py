@@ -9,7 +9,9 @@ columns beside the ids, touches those pages only.
 
 from __future__ import annotations
 
+import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,19 @@ def layout(row_group_bytes: int, page_rows: int) -> dict[str, str]:
     }
 
 
+@lru_cache(2)
+def library_ids(path: str) -> PieceTable:
+    """Of each piece its ids by the tokenizers library, as little-endian 32-bit integers. A
+    worker keeps the table from task to task."""
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}i", *ids)
+
+    def fill(new: list[str]) -> list[bytes]:
+        return [packed(e.ids) for e in library(path).encode_batch_fast(new, add_special_tokens=False)]
+
+    return PieceTable(vocabulary(path), fill, lambda i: packed([i]))
+
+
 def write_tokens(docs: DataFrame, vocab_path: str, out: str, end_id: int = 0, id_col: str = "doc_id",
                  text_col: str = "text", row_group_bytes: int = 32 << 20, page_rows: int = 1000) -> None:
     """Encode every text with the tokenizers library, add ``end_id``, write sorted by doc_id.
@@ -51,13 +66,7 @@ def write_tokens(docs: DataFrame, vocab_path: str, out: str, end_id: int = 0, id
     rows = rows.repartitionByRange("doc_id", salt).sortWithinPartitions("doc_id", salt)
 
     def make():
-        tokenizer = library(vocab_path)
-
-        def fill(new: list[str]) -> list[bytes]:
-            got = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            return [np.array(e.ids, "<i4").tobytes() for e in got]
-
-        known = PieceTable(vocabulary(vocab_path), fill, lambda i: np.array([i], "<i4").tobytes())
+        known = library_ids(vocab_path)
         end = np.array([end_id], "<i4").tobytes()
         part, start = TaskContext.get().partitionId(), 0
 
