@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clusterkit.llm.bpe_trie import bpe_digest
 from clusterkit.llm.common import table
+from clusterkit.llm.decontaminate import contamination
 from clusterkit.llm.pii import pii_digest
 from clusterkit.llm.quality import quality_report
 from clusterkit.llm.repeats import drop_repeats
@@ -48,6 +49,10 @@ def op6_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents"), length=400, with_kept=False)
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op6_pii_anchors": op6_pii_anchors,
+    "op7_decontaminate": op7_decontaminate,
     "op9_repeats": op9_repeats,
 }
 
