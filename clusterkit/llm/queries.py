@@ -16,6 +16,7 @@ from clusterkit.llm.repeats import drop_repeats
 from clusterkit.llm.simhash import simhash_classes
 from clusterkit.llm.token_counts import token_counts
 from clusterkit.llm.token_files import token_files_digest
+from clusterkit.llm.url_filter import judge_urls
 
 
 def vocabulary_path() -> str:
@@ -53,6 +54,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents"), length=400, with_kept=False)
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_pii_anchors": op6_pii_anchors,
     "op7_decontaminate": op7_decontaminate,
+    "op8_url_trees": op8_url_trees,
     "op9_repeats": op9_repeats,
 }
 
