@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clusterkit.llm.bpe_trie import bpe_digest
 from clusterkit.llm.common import table
 from clusterkit.llm.decontaminate import contamination
+from clusterkit.llm.lm_score import lm_scores
 from clusterkit.llm.pii import pii_digest
 from clusterkit.llm.quality import quality_report
 from clusterkit.llm.repeats import drop_repeats
@@ -62,6 +63,10 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents"), length=400, with_kept=False)
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality_cascade": op2_quality_cascade,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_url_trees": op8_url_trees,
     "op9_repeats": op9_repeats,
+    "op10_lm_score": op10_lm_score,
 }
 
 SQL: dict[str, str] = {}
