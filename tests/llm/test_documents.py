@@ -1,0 +1,272 @@
+"""SimHash classes, quality rules, personal data and repeats against brute force."""
+
+import hashlib
+import itertools
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from clusterkit.llm import components, pii, quality, repeats, simhash
+from tests.llm import cases
+
+# ---- SimHash
+
+
+def plain_fingerprint(text, size=3):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[k:k + size]) for k in range(max(1, len(words) - size + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
+
+
+def plain_classes(prints):
+    """Smallest id reachable of each (id, fingerprint)."""
+    parent = {p: p for _, p in prints}
+
+    def root(p):
+        while parent[p] != p:
+            p = parent[p]
+        return p
+
+    for a, b in itertools.combinations(sorted(parent), 2):
+        if (a ^ b).bit_count() <= 3:
+            parent[root(a)] = root(b)
+    least = {}
+    for i, p in prints:
+        if i is not None:
+            least[root(p)] = min(i, least.get(root(p), i))
+    return [(i, f"{p:016x}", least.get(root(p))) for i, p in prints]
+
+
+@pytest.mark.parametrize("text", [None, "", "one", "One TWO", "a b c", "É a b c d É a b c d", "x " * 500, *[t for _, t in cases.TEXTS]])
+def test_fingerprints(text):
+    assert simhash.fingerprint(text or "") & (1 << 64) - 1 == plain_fingerprint(text)
+
+
+def test_long_texts_are_taken_in_runs():
+    text = " ".join(str(k % 977) for k in range(5000))
+    assert simhash.fingerprint(text, run=100) == simhash.fingerprint(text)
+
+
+def test_classes_of_hard_rows(spark):
+    rows = [(i, plain_fingerprint(t)) for i, t in cases.TEXTS]
+    assert cases.by_id(simhash.simhash_classes(cases.frame(spark)).collect()) == cases.by_id(plain_classes(rows))
+    assert simhash.simhash_classes(cases.empty(spark)).count() == 0
+
+
+def test_links_of_dense_and_chained_prints(spark):
+    r = random.Random(4)
+    prints = set()
+    for _ in range(6):  # chains of small steps, a crowd around one point, and strangers
+        p = r.getrandbits(64)
+        for _ in range(25):
+            for _ in range(r.randrange(1, 4)):
+                p ^= 1 << r.randrange(64)
+            prints.add(p)
+    hub = r.getrandbits(64)
+    prints |= {hub ^ 1 << a ^ 1 << b for a, b in itertools.combinations(range(0, 64, 3), 2)}
+    prints |= {r.getrandbits(64) for _ in range(200)}
+    rows = [(k, p) for k, p in enumerate(sorted(prints))]
+    signed = [(k, p - (1 << 64) if p >> 63 else p) for k, p in rows]
+    frame = spark.createDataFrame(signed, "doc_id long, print long")
+    links = simhash.link_forest(frame.select("print"), block=16)
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 3 for a, b in links.collect())
+    found = {x.print: x.component_id for x in simhash.classes(frame).collect()}
+    want = {(p - (1 << 64) if p >> 63 else p): c for (_, p), (_, _, c) in zip(rows, plain_classes(rows))}
+    assert found == want
+
+
+def test_one_document_of_each_class_stays(spark):
+    docs = cases.frame(spark)
+    kept = simhash.keep_one(docs, size=3)
+    assert kept.columns == docs.columns
+    best = {}
+    for (i, t), (_, _, c) in zip(cases.TEXTS, plain_classes([(i, plain_fingerprint(t)) for i, t in cases.TEXTS])):
+        best.setdefault((c, None if c is not None else plain_fingerprint(t)), c)
+    assert sorted((r.doc_id is not None, r.doc_id or 0) for r in kept.collect()) == sorted(
+        (c is not None, c or 0) for c in best.values())
+    assert simhash.keep_one(cases.empty(spark)).count() == 0
+
+
+def test_components(spark):
+    chain = [(k, k + 1) for k in range(40)] + [(100, 100), (200, 201), (201, 200), (203, 202), (202, 201)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(chain, "u long, v long")).collect()}
+    assert got == {**{k: 0 for k in range(41)}, 200: 200, 201: 200, 202: 200, 203: 200}
+    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# ---- quality
+
+
+def test_cascade_keeps_what_no_rule_rejects(spark):
+    docs = cases.frame(spark)
+    got = {(r.doc_id, r.n_words): r for r in quality.quality_report(docs).collect()}
+    for i, t in cases.TEXTS:
+        x = quality.Text(t or "")
+        r = got[i, x.n_words]
+        rejecting = [rule.name for rule in quality.RULES if rule.rejects(quality.Text(t or ""))]
+        assert r.kept == (not rejecting) and (r.rejected_by in rejecting or not rejecting and r.rejected_by is None)
+        assert r.base_failed == (x.n_words < 10 or 100 * x.n_repeat_words > 20 * x.n_words)
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    want = Counter(i for i, t in cases.TEXTS if not any(rule.rejects(quality.Text(t or "")) for rule in quality.RULES))
+    assert Counter(r.doc_id for r in kept.collect()) == want
+    assert quality.quality_report(cases.empty(spark)).count() == 0 and quality.keep_good(cases.empty(spark)).count() == 0
+
+
+def test_measures_against_plain_ones():
+    r = random.Random(8)
+    for _ in range(300):
+        text = "".join(r.choice(["a", "b", "é", " ", "\n", "\t", "#", "|", "c d e f g "]) for _ in range(r.randrange(80)))
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = [tuple(words[k:k + 5]) for k in range(len(words) - 4)]
+        covered = {k + j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(5)}
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        x = quality.Text(text)
+        assert (x.n_words, x.word_chars, x.n_repeat_words, x.n_dup_lines) == (
+            len(words), sum(map(len, words)), len(covered), sum(y in lines[:k] for k, y in enumerate(lines)))
+        assert x.n_symbols == sum(c in "#*$%&|<>" for c in text)
+
+
+def test_rules_are_ordered_by_rejection_per_cost():
+    def slow(t):
+        sum(range(20000))
+        return True
+
+    rules = [quality.Rule("never", lambda t: False), quality.Rule("slow", slow), quality.Rule("quick", lambda t: True)]
+    assert [x.name for x in quality.order_rules(["x"] * 30, rules)] == ["quick", "slow", "never"]
+
+
+def test_a_rejection_ends_the_cascade():
+    def broken(t):
+        raise AssertionError("must not run")
+
+    rules = [quality.Rule("all", lambda t: True), quality.Rule("broken", broken)]
+    assert quality.first_rejection(quality.Text("x"), rules) == "all"
+
+
+# ---- personal data
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_base(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(len(p.lstrip("0")) > 3 or int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (13 <= len(digits) <= 19 and pii.luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_base_spans_are_those_of_the_patterns():
+    r = random.Random(3)
+    scraps = [*"a1@.-+ ()9", "4111111111111111", "1.2.3.4", "256.1.1.1", "x@y.z", "é", "::", "token = ", "+44 20 7946 0"]
+    for _ in range(8000):
+        text = "".join(r.choice(scraps) for _ in range(r.randrange(40)))
+        assert [s for s in pii.find(text) if s[0] in pii.BASE] == plain_base(text), text
+
+
+@pytest.mark.parametrize("text, kind, value", [
+    ('token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" x', "secret", "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"),
+    ("IBAN: DE89 3704 0044 0532 0130 00 and more", "iban", "DE89 3704 0044 0532 0130 00"),
+    ("his SSN 123-45-6789.", "ssn", "123-45-6789"), ("account no. 12345678", "account", "12345678"),
+    ("http://me:secret@host/x", "login", "me:secret"), ("at fe80::1ff:fe23:4567:890a.", "ipv6", "fe80::1ff:fe23:4567:890a"),
+    ("jürgen@exämple.de", "email_intl", "jürgen@exämple.de"), ("jo [at] mail [dot] org", "email_spelled", "jo [at] mail [dot] org"),
+])
+def test_added_kinds(text, kind, value):
+    assert [text[a:b] for k, a, b in pii.find(text) if k == kind] == [value]
+
+
+def test_clean_text_has_no_spans_and_masks_hide_all():
+    assert pii.find(cases.PROSE) == [] and pii.masked(cases.PROSE) == cases.PROSE
+    assert pii.masked("a jo@x.org b 10.0.0.1") == "a [email] b [ip]"
+    assert not pii.find(pii.masked("é@x.org +1 (017) 555-7713 4111 1111 1111 1111 12"))
+
+
+def test_pii_of_hard_rows(spark):
+    rows = [*cases.TEXTS, (20, "x@y.org " * 2), (21, None)]
+    got = cases.by_id(pii.pii_digest(cases.frame(spark, rows)).collect())
+    want = []
+    for i, t in rows:
+        base, spans = plain_base(t or ""), pii.find(t or "")
+        counts = [sum(s[0] == k for s in base) for k in pii.BASE]
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        want.append((i, *counts, hashlib.sha256(joined.encode()).hexdigest(), ",".join(f"{k}:{a}:{b}" for k, a, b in spans)))
+    assert got == cases.by_id(want)
+    docs = cases.frame(spark, rows)
+    masked = pii.mask_pii(docs)
+    assert masked.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in masked.collect()) == Counter(
+        (i, t if t is None else pii.masked(t)) for i, t in rows)
+    assert sum(len(r.spans) for r in pii.pii_spans(docs).collect()) == sum(len(pii.find(t or "")) for _, t in rows)
+    assert pii.pii_digest(cases.empty(spark)).count() == 0
+
+
+# ---- repeats
+
+
+def covered(texts, length):
+    count = Counter(t[k:k + length] for t in texts for k in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        marks = bytearray(len(t))
+        for k in range(len(t) - length + 1):
+            if count[t[k:k + length]] > 1:
+                marks[k:k + length] = b"\1" * length
+        out.append(bytes(marks))
+    return out
+
+
+def test_suffix_arrays_find_all_repeats():
+    r = random.Random(2)
+    for _ in range(150):
+        length = r.choice([4, 8, 13])
+        base = [bytes(r.choice(b"ab\x00\xff") for _ in range(r.randrange(40))) for _ in range(5)]
+        texts = [b"".join(r.choice(base)[r.randrange(3):] for _ in range(r.randrange(4))) for _ in range(6)]
+        for t, marks, runs in zip(texts, covered(texts, length), repeats.repeated_runs(texts, length)):
+            got = bytearray(len(t))
+            for a, b in runs:
+                got[a:b] = b"\1" * (b - a)
+            assert got == marks
+
+
+def test_maximal_repeats_name_all_occurrences():
+    groups = list(repeats.maximal_repeats([b"xabcdey", b"zabcdew", b"qabcdet"], 4))
+    assert [(n, sorted(places)) for n, places in groups] == [(5, [(0, 1), (1, 1), (2, 1)])]
+
+
+@pytest.mark.parametrize("crowd", [3, 400])
+def test_repeats_in_and_across_texts(spark, monkeypatch, crowd):
+    monkeypatch.setattr(repeats, "CROWD", crowd)
+    r = random.Random(9)
+    rnd = lambda n: "".join(r.choice("abcdefgé") for _ in range(n))
+    p, q = rnd(250), rnd(110)
+    make = [lambda: rnd(150) + p + rnd(60), lambda: rnd(30) + p[40:170] + rnd(20) + q, lambda: p[:90] + "#" + p[90:],
+            lambda: rnd(200), lambda: "a" * 130 + rnd(20)]
+    rows = [(k, r.choice(make)()) for k in range(45)]
+    rows += [(100, rows[0][1]), (101, rows[0][1]), (101, rows[0][1]), (None, rows[1][1]), (None, None), (102, ""), (103, "ab")]
+    got = repeats.drop_repeats(cases.frame(spark, rows), 40, 8).collect()
+    data = [(t or "").encode() for _, t in rows]
+    want = []
+    for (i, _), t, marks in zip(rows, data, covered(data, 40)):
+        kept = bytes(c for c, m in zip(t, marks) if not m)
+        want.append((i, len(t), len(t) - len(kept), len(re.findall(b"\1+", marks)), hashlib.sha256(kept).hexdigest()))
+    assert cases.by_id(tuple(x)[:5] for x in got) == cases.by_id(want)
+
+
+def test_repeats_of_an_empty_table(spark):
+    assert repeats.drop_repeats(cases.empty(spark)).count() == 0
