@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from clusterkit.llm.common import BATCH_ROWS, id_and_text, written
 
 GRAM = 32
-CROWD = 400
+CROWD = 1000
 #: Starts of a piece at each level of splitting; the first is bounded by the anchor's window.
 WIDTHS = (None, 32, 1)
 #: Bytes whose suffix array a task holds at a time, and positions hashed at a time.
@@ -114,50 +114,61 @@ def split_piece(data: bytes, length: int, anchor: int, width: int) -> list[tuple
     return out
 
 
-def suffix_array(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all suffixes of the chunks: order, common prefix with the one before, chunk, place in it.
+def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys, and of each key its rank from 1, with a 0 put at the end."""
+    order = np.argsort(key)
+    sorted_key = key[order]
+    rank = np.empty(len(key) + 1, np.int32)
+    rank[order] = np.cumsum(np.r_[True, sorted_key[1:] != sorted_key[:-1]])
+    rank[-1] = 0
+    return order, rank
+
+
+def suffix_array(chunks: list[bytes], least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all suffixes of at least ``least`` bytes: order, common prefix with the one before, and,
+    of each byte, its chunk and place in it.
 
     A suffix ends with its chunk; of two that are equal as far as the shorter goes, the shorter
-    comes first. Ranks by the first 7 bytes, doubled until they cover the longest chunk; the
-    common prefixes are read off the ranks of all rounds, longest first.
+    comes first. Ranks by the first 7 bytes are tripled in depth, three joined to one, until they
+    cover the longest chunk; the common prefixes are read off the ranks of all depths, longest
+    first. Three ranks fit one integer up to 2 million bytes.
     """
     size = np.array([len(c) for c in chunks], np.int64)
     n = int(size.sum())
-    text = np.frombuffer(b"".join(chunks), np.uint8).astype(np.int64) + 1
-    owner = np.repeat(np.arange(len(chunks)), size)
+    if n >= 1 << 21:
+        raise ValueError("a block of chunks must be under 2 MB")
+    text = np.frombuffer(b"".join(chunks), np.uint8)
+    owner = np.repeat(np.arange(len(chunks), dtype=np.int32), size)
     end = np.repeat(np.cumsum(size), size)  # of the chunk that each byte is in
     at = np.arange(n)
+    padded = np.append(text.astype(np.int64) + 1, 0)
     pack = np.zeros(n, np.int64)
     for k in range(7):
-        pack *= 257
-        inside = at + k < end
-        pack[inside] += text[at[inside] + k]
-    levels: list[tuple[int, np.ndarray]] = []
-    rank, depth = np.unique(pack, return_inverse=True)[1].astype(np.int64) + 1, 7
-    while True:
-        levels.append((depth, np.append(rank, 0).astype(np.int32)))
-        if depth >= size.max(initial=0):
-            break
-        ahead = np.where(at + depth < end, at + depth, n)
-        rank = np.unique(rank * (n + 1) + levels[-1][1][ahead], return_inverse=True)[1].astype(np.int64) + 1
-        depth *= 2
-    order = np.argsort(rank, kind="stable")
-    i, j = order[:-1].copy(), order[1:].copy()
-    same = np.zeros(max(0, n - 1), np.int64)
-    left = np.minimum(end[order[:-1]] - order[:-1], end[order[1:]] - order[1:])
-    for depth, ranks in reversed(levels):
-        hit = (ranks[i] == ranks[j]) & (same < left)
-        step = np.where(hit, np.minimum(depth, left - same), 0)
-        same += step
-        go = same < left
-        i, j = np.where(go, i + step, n), np.where(go, j + step, n)
-    padded = np.append(text, 0)
+        pack = pack * 257 + padded[np.where(at + k < end, at + k, n)]
+    order, rank = _ranked(pack)
+    levels, depth = [(7, rank)], 7
+    while depth < size.max(initial=0):
+        key = rank[:-1].astype(np.int64)
+        for k in (1, 2):
+            key = (key << 21) + rank[np.where(at + k * depth < end, at + k * depth, n)]
+        order, rank = _ranked(key)
+        depth *= 3
+        levels.append((depth, rank))
+    order = order[end[order] - order >= least]
+    i, j = order[:-1], order[1:]
+    left = np.minimum(end[i] - i, end[j] - j)
+    same = np.zeros(len(i), np.int64)
+    for depth, rank in reversed(levels):
+        for _ in range(1 if depth == levels[-1][0] else 2):
+            hit = np.flatnonzero(same < left)
+            hit = hit[rank[i[hit] + same[hit]] == rank[j[hit] + same[hit]]]
+            # Equal ranks mean equal bytes for this depth, or equal suffixes that end before.
+            same[hit] = np.minimum(same[hit] + depth, left[hit])
     for _ in range(6):
-        hit = (same < left) & (padded[i] == padded[j])
-        same += hit
-        go = same < left
-        i, j = np.where(go, i + hit, n), np.where(go, j + hit, n)
-    return order, np.append(0, same), owner, at - (end - size[owner])
+        hit = np.flatnonzero(same < left)
+        hit = hit[text[i[hit] + same[hit]] == text[j[hit] + same[hit]]]
+        same[hit] += 1
+    return order, np.append(0, same)[:len(order)], owner, at - (end - size[owner])
 
 
 def maximal_repeats(chunks: list[bytes], length: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
@@ -166,7 +177,7 @@ def maximal_repeats(chunks: list[bytes], length: int) -> Iterator[tuple[int, lis
     byte to their left, the start of a chunk counting as a byte of its own."""
     if not chunks or max(map(len, chunks)) < length:
         return
-    order, same, owner, place = suffix_array(chunks)
+    order, same, owner, place = suffix_array(chunks, length)
     text = np.frombuffer(b"".join(chunks), np.uint8)
     before = np.where(place[order] > 0, text[order - 1].astype(np.int64), -1 - owner[order])
     where = list(zip(owner[order].tolist(), place[order].tolist()))

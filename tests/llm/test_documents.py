@@ -249,7 +249,7 @@ def test_maximal_repeats_name_all_occurrences():
     assert [(n, sorted(places)) for n, places in groups] == [(5, [(0, 1), (1, 1), (2, 1)])]
 
 
-@pytest.mark.parametrize("crowd", [3, 400])
+@pytest.mark.parametrize("crowd", [3, 1000])
 def test_repeats_in_and_across_texts(spark, monkeypatch, crowd):
     monkeypatch.setattr(repeats, "CROWD", crowd)
     r = random.Random(9)
