@@ -1,20 +1,15 @@
-"""Small inputs with known answers."""
+"""Small inputs made by formulas; tests work out the answers."""
 
 from __future__ import annotations
 
-# (trade date, quantity, counterparty, version, effective date); the rest of a line is constant.
-TRADES = [
-    ("20141015", "7500000.0", "CP_ONE", "6", "20150326"),
-    ("20141125", "21900000.0", "CP_TWO", "6", "20150326"),
-    ("20140304", "16000000.0", "CP_ONE", "7", "20140306"),
-    ("20141125", "21900000.0", "CP_ONE", "6", "20150326"),
-    ("20150114", "12700000.0", "CP_TWO", "6", "20150326"),
-    ("20150114", "12700000.0", "CP_ONE", "6", "20150326"),
-    ("20141125", "21900000.0", "CP_TWO", "6", "20150326"),
-    ("20150114", "12700000.0", "CP_TWO", "6", "20150326"),
-    ("20141125", "21900000.0", "CP_ONE", "6", "20150326"),
-    ("20150114", "12700000.0", "CP_ONE", "6", "20150326"),
-]
+
+def trade_values(i: int) -> tuple:
+    """Trade date, quantity, counterparty, version and effective date of row i, by formula."""
+    return (str(20200101 + 3 * i), f"{1000 + 250 * (i * i % 7)}.5", ("NORTH", "SOUTH", "EAST")[i % 3], str(1 + i % 4),
+            str(20210601 + i % 5))
+
+
+TRADES = [trade_values(i) for i in range(10)]
 
 
 def trade_line(row: tuple, trade_id: str, tail: str = ",,,") -> str:
@@ -29,12 +24,8 @@ TRADE_LINES = [trade_line(row, f"T{i}") for i, row in enumerate(TRADES)]
 FULL_LINE = trade_line(TRADES[-1], "T9", "A,C,1,1")
 SHORT_LINE = "1,2,3,4,5,6,7,8,9,10"
 
-PCA_ROWS = [
-    [1.0, 2.0, 3.0, 4.0, 18.0],
-    [1.0, 2.0, 3.0, 5.0, 1.0],
-    [1.0, 2.0, 5.0, 7.0, 4.0],
-    [1.0, 4.0, 5.0, 2.0, 3.0],
-]
+# Correlated rows by formula: the second coordinate follows the first, the last is almost constant.
+PCA_ROWS = [[i, 2.0 * i + (i * 5 % 3), (i * 7 % 4) - 1.5, 0.5 * i * i, 3.0 + 0.01 * (i % 2)] for i in range(1, 8)]
 
 
 def blobs(count: int = 240) -> list[list[float]]:

@@ -28,11 +28,12 @@ def test_near_unique_field_is_refused_by_name(spark):
 
 def test_widths_with_and_without_the_label(spark):
     trades = parse_records(lines(spark, TRADE_LINES), TRADE_RECORD)
-    assert 10 + fit_dictionaries(trades, TRADE_RECORD.category_names()).width == 27
+    # 16 fields with one value each, but for the counterparty's three.
+    assert fit_dictionaries(trades, TRADE_RECORD.category_names()).width == 15 + 3
     with_label = fit_dictionaries(trades, TRADE_RECORD.category_names(include_label=True))
-    assert 10 + with_label.width == 37
+    assert with_label.width == 15 + 3 + 10
     row = encode_arrays(trades, TRADE_RECORD, with_label, include_label=True).first()
-    assert len(row["features"]) == 37
+    assert len(row["features"]) == 10 + 28
 
 
 def test_layout_first_number_blocks_other_numbers(spark):
