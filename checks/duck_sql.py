@@ -26,6 +26,14 @@ def r4(expression: str) -> str:
     return f"round({expression}, 4) + 0.0"
 
 
+# Every K up to floor(sqrt(n / 2)), each with its points spread along the diagonal from -1 to 1.
+EVERY_K_STARTS = (
+    "SELECT k::INTEGER AS run, j::INTEGER AS cluster, "
+    + ", ".join(f"-1.0::DOUBLE + 2.0::DOUBLE * ((j + 0.5::DOUBLE) / k) AS x{i}" for i in range(3))
+    + " FROM range(1, (SELECT floor(sqrt(count(*) // 2)) FROM pts)::BIGINT + 1) t(k), range(k) u(j)"
+)
+
+
 def start_values(runs: Mapping[int, Sequence[Sequence[float]]]) -> str:
     rows = [
         f"({run}, {cluster}, {', '.join(f'{float(x)!r}::DOUBLE' for x in center)})"
@@ -282,7 +290,9 @@ def item_sql() -> dict[str, str]:
     restarts = lloyd("pts", 4, start_values(dict(enumerate(S.ITEM_RESTARTS))), S.ITERATIONS)
     return {
         "q16_k1_center": chain([ITEMS], f"SELECT 0 AS cluster, count(*)::DOUBLE AS weight, {means} FROM pts"),
-        "q17_lloyd_centers": item_query(f"SELECT cluster, {centers} FROM centers"),
+        "q17_lloyd_centers": item_query(
+            f"SELECT cluster, {centers}, (SELECT count(*)::DOUBLE FROM near n WHERE n.b.cluster = centers.cluster) AS weight "
+            "FROM centers"),
         "q19_assign": item_query(f"SELECT l_orderkey, l_linenumber, n.b.cluster AS cluster FROM {ASSIGNED}"),
         "q20_distance_to_center": item_query(
             f"SELECT l_orderkey, l_linenumber, {r4(DISTANCE)} AS distance FROM {ASSIGNED}"),
@@ -299,6 +309,9 @@ def item_sql() -> dict[str, str]:
         "q31_anomalies": item_query(
             f"SELECT l_orderkey, l_linenumber, n.b.cluster AS cluster, {r4(DISTANCE)} AS distance "
             f"FROM {ASSIGNED} WHERE {DISTANCE} > {threshold('near')}"),
+        "q50b_anomaly_lines": item_query(
+            f"SELECT 'cluster ' || n.b.cluster || ' row ' || l_orderkey || '-' || l_linenumber AS line "
+            f"FROM {ASSIGNED} WHERE {DISTANCE} > {threshold('near')}"),
         "q50_report_lines": item_query(
             f"SELECT 'cluster ' || cluster || ' label ' || label || ' count ' || count AS line FROM ({counts})"),
     }
@@ -321,6 +334,9 @@ def job_sql() -> dict[str, str]:
     return {
         "q23_k_sweep": chain([trades(TRADE_FIELDS), *raw_sweep],
             f"SELECT *, score AS score2 FROM ({sweep_scores('near')})"),
+        "q50c_score_lines": chain([trades(TRADE_FIELDS), *raw_sweep],
+            "SELECT 'cluster ' || k || ' score ' || printf('%.4f', score) AS line FROM "
+            "(SELECT run AS k, avg(sqrt(b.d2)) AS score FROM near GROUP BY run)"),
         "q25b_fixed_start_job": chain([trades(TRADE_FIELDS), *fixed],
             "SELECT n.b.cluster AS cluster, p.label, count(*) AS count FROM near n JOIN raw p USING (pid) GROUP BY 1, 2"),
         "q27_pca_entropy_job": chain(
@@ -329,6 +345,9 @@ def job_sql() -> dict[str, str]:
                     "JOIN pts p USING (pid) GROUP BY 1, 2, 3", "k"), recursive=True),
         "q28_normalised_sweep": chain(
             [*norm, *lloyd("pts", numbers, sweep_starts(S.spread(numbers)), S.ITERATIONS)], sweep_scores("near")),
+        "q28b_every_k_sweep": chain(
+            [events(EVENT_FIELDS, "raw"), zscored("raw", "pts", 3, "p.pid"),
+             *lloyd("pts", 3, EVERY_K_STARTS, S.ITERATIONS)], sweep_scores("near")),
         "q29_categorical_sweep": chain(
             [*encoded, *lloyd("pts", S.TRADE_WIDTH, sweep_starts(S.spread(S.TRADE_WIDTH)), S.ITERATIONS)],
             sweep_scores("near")),

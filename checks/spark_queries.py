@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import starts as S
 from checks.tables import (
-    EVENT_RECORD, LINEITEM_RECORD, embedding_features, event_batches, lineitem_features,
+    EVENT_RECORD, LINEITEM_RECORD, embedding_features, event_batches, event_line, lineitem_features,
     lineitem_lines, table, trade_lines,
 )
 from clusterkit.functions.fields import cluster_count_line, last_nonempty_field
@@ -194,7 +194,7 @@ def k1_center(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lloyd_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _item_model(lineitem_features(spark, sf_dir))
     centers = centers_table(spark, model).withColumnRenamed("center", "features")
-    return spread_out(centers, 4, "c", "cluster")
+    return spread_out(centers, 4, "c", "cluster", F.col("weight"))
 
 
 def assign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,6 +263,13 @@ def normalised_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scores, "score")
 
 
+def every_k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every K up to the rule of thumb, on the numbers of all events."""
+    lines = table(spark, sf_dir, "events").select(event_line().alias("value"))
+    scores = jobs.normalised_sweep_job(lines, EVENT_RECORD, init=S.spread(3), **FIXED)
+    return rounded(scores, "score")
+
+
 def categorical_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = jobs.categorical_sweep_job(
         trade_lines(spark, sf_dir), TRADE_RECORD, S.SWEEP, S.spread(S.TRADE_WIDTH), **FIXED
@@ -482,6 +489,22 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lines(spark, out).withColumnRenamed("value", "line")
 
 
+def anomaly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The anomalous rows, written as text and read again."""
+    out = shared_dir(spark, "anomaly-lines")
+    found = item_anomalies(spark, sf_dir)
+    append_lines(found, F.format_string("cluster %d row %d-%d", "cluster", "l_orderkey", "l_linenumber"), out)
+    return read_lines(spark, out).withColumnRenamed("value", "line")
+
+
+def score_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of a sweep, written by the job as text and read again."""
+    out = shared_dir(spark, "score-lines")
+    scores = jobs.raw_sweep_job(trade_lines(spark, sf_dir), TRADE_RECORD, S.SWEEP, S.trade_start, **FIXED)
+    jobs.write_scores(scores, out, decimals=4)
+    return read_lines(spark, out).withColumnRenamed("value", "line")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_parse_delimited": parse_delimited,
     "q02_parse_numeric_tsv": parse_numeric_tsv,
@@ -513,6 +536,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q26b_given_restarts": given_restarts,
     "q27_pca_entropy_job": pca_entropy,
     "q28_normalised_sweep": normalised_sweep,
+    "q28b_every_k_sweep": every_k_sweep,
     "q29_categorical_sweep": categorical_sweep,
     "q30_rank_threshold": item_threshold,
     "q31_anomalies": item_anomalies,
@@ -532,4 +556,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q47_stream_pca_entropy": stream_pca_entropy,
     "q48_stream_anomalies": stream_anomalies,
     "q50_report_lines": report_lines,
+    "q50b_anomaly_lines": anomaly_lines,
+    "q50c_score_lines": score_lines,
 }

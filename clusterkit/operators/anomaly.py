@@ -29,7 +29,7 @@ class Detector:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``cluster``, ``distance`` and ``anomaly`` (strictly above the threshold)."""
-        scored = assign(df, self.model)
+        scored = assign(df, self.model, hold=True)
         return scored.withColumn("anomaly", F.col("distance") > F.lit(self.threshold))
 
     def anomalies(self, df: DataFrame) -> DataFrame:

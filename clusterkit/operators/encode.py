@@ -7,18 +7,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clusterkit.functions import sqltext as q
+from clusterkit.scratch import shared_dir
 from clusterkit.sources.records import RecordSpec
 
 # A one-hot row is as wide as its dictionaries, so they must stay model-sized.
 MAX_ENCODED_WIDTH = 100_000
 # Above this width an array of literals per row loses to a sparse vector.
 MAX_ARRAY_WIDTH = 256
-# Dictionaries of at most this many values are ranked in one task and broadcast in a lookup.
+# Dictionaries of at most this many values are broadcast in a lookup.
 SMALL_DICTIONARY = 100_000
 
 
@@ -117,25 +117,39 @@ def encode_vectors(
     return assembled.select("label", *keep, "features")
 
 
-def category_index(df: DataFrame, field: str, small: int = SMALL_DICTIONARY) -> DataFrame:
+def _value(field: str) -> Column:
+    """A category value; null counts as the empty text, as in ``fit_dictionaries``."""
+    return F.coalesce(F.col(field).cast("string"), F.lit(""))
+
+
+def category_index(df: DataFrame, field: str) -> DataFrame:
     """Each value of a field with its alphabetical position from 0, as (value, index).
 
-    The distinct values are pre-aggregated before the shuffle. A dictionary that is small is
-    ranked in one task; a larger one is sorted by range and numbered across the partitions.
+    The distinct values are sorted by range and written once; a value's position is that in its
+    partition and the sizes of the partitions before, of which there is one row each.
     """
-    values = df.groupBy(F.col(field).alias("value")).count().select("value")
-    if values.count() <= small:
-        position = F.row_number().over(Window.orderBy("value")) - 1
-        return values.select("value", position.cast("int").alias("index"))
-    schema = T.StructType([T.StructField("value", df.schema[field].dataType), T.StructField("index", T.LongType())])
-    numbered = values.orderBy("value").rdd.map(lambda row: row[0]).zipWithIndex()
-    ranked = df.sparkSession.createDataFrame(numbered, schema)
-    return ranked.select("value", F.col("index").cast("int").alias("index"))
-
-
-def lookup_index(df: DataFrame, field: str, index: DataFrame, small: int = SMALL_DICTIONARY) -> DataFrame:
-    """Add ``index`` for a field. A small dictionary is broadcast; a large one is shuffled, where
-    adaptive execution splits a value that holds much of the data."""
+    values = df.select(_value(field).alias("value")).distinct()
+    path = shared_dir(df.sparkSession, "dictionary")
+    values.repartitionByRange("value").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    ranked = df.sparkSession.read.schema("value string, part int").parquet(path)
+    own = F.row_number().over(Window.partitionBy("part").orderBy("value")) - 1
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ranked.groupBy("part").agg(F.count("*").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    numbered = ranked.select("value", "part", own.alias("own")).join(F.broadcast(bases), "part")
+    return numbered.select("value", (F.col("own") + F.col("base")).cast("int").alias("index"))
+
+
+def lookup_index(df: DataFrame, field: str, index: DataFrame, small: int = SMALL_DICTIONARY, salts: int = 16) -> DataFrame:
+    """Add ``index`` for a field. A dictionary of at most ``small`` values is broadcast; a larger one
+    is repeated for each of ``salts`` shares of the rows, so that a value that holds much of the
+    data is met in as many tasks."""
     size = index.limit(small + 1).count()
-    side = F.broadcast(index) if size <= small else index
-    return df.join(side.withColumnRenamed("value", field), field, "left")
+    keys = index.withColumnRenamed("value", "__key")
+    rows = df.withColumn("__value", _value(field))
+    if size <= small:
+        return rows.join(F.broadcast(keys), rows["__value"] == keys["__key"], "left").drop("__value", "__key")
+    keys = keys.withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    match = (rows["__value"] == keys["__key"]) & (rows["__salt"] == keys["__share"])
+    return rows.join(keys, match, "left").drop("__value", "__salt", "__share", "__key")

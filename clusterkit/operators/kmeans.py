@@ -16,13 +16,14 @@ Neither joins rows to centers, so nothing is shuffled but the per-cluster sums.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterkit.functions import sqltext as q
-from clusterkit.functions.fields import k_rule_of_thumb
+from clusterkit.functions.fields import k_rule_of_thumb, once
 from clusterkit.functions.vectors import euclidean, squared_distances_text
 from clusterkit.operators.normalise import feature_width
 
@@ -63,9 +64,6 @@ class Clustering:
     def k(self) -> int:
         return len(self.centers)
 
-    def shifted(self, offset: np.ndarray) -> Clustering:
-        return Clustering(self.centers + offset, self.weights, self.cost)
-
 
 def centers_table(spark: SparkSession, model: Clustering) -> DataFrame:
     """(cluster, center, weight)."""
@@ -86,6 +84,17 @@ def estimate_k(df: DataFrame) -> int:
     return df.agg(k_rule_of_thumb(F.count("*")).alias("k")).first()["k"]
 
 
+def usable_text(features: str, width: int) -> str:
+    """SQL: a features array of this width without a null or NaN. Rows that fail it are in no
+    cluster, in every form of assignment, and count in no sum."""
+    x = q.name(features)
+    if width <= MAX_UNROLLED_CELLS:
+        each = " AND ".join(f"{x}[{i}] IS NOT NULL AND NOT isnan({x}[{i}])" for i in range(width)) or "true"
+    else:
+        each = f"forall({x}, v -> v IS NOT NULL AND NOT isnan(v))"
+    return f"CASE WHEN size({x}) = {width} THEN {each} ELSE false END"
+
+
 # -- assignment -------------------------------------------------------------------------------
 
 
@@ -126,9 +135,21 @@ def _nearest_rows() -> Callable:
 
 
 def _matrix(width: int) -> Callable:
+    """Arrow arrays of doubles to a matrix and the rows of it that are usable, as closures."""
     def matrix(column):
-        values = column.flatten().to_numpy(zero_copy_only=False)
-        return values.reshape(len(column), width)
+        import numpy as np
+
+        lengths = np.diff(column.offsets.to_numpy())
+        values = column.values.to_numpy(zero_copy_only=False).astype(float)
+        if not column.null_count and (lengths == width).all():
+            start = column.offsets[0].as_py()
+            x = values[start:start + len(column) * width].reshape(len(column), width)
+        else:  # nulls and other widths become rows of NaN
+            x = np.full((len(column), width), np.nan)
+            good = (lengths == width) & column.is_valid().to_numpy(zero_copy_only=False)
+            begin = column.offsets.to_numpy()[:-1][good]
+            x[good] = values[begin[:, None] + np.arange(width)]
+        return x, ~np.isnan(x).any(axis=1)
 
     return matrix
 
@@ -142,14 +163,17 @@ def _nearest_arrow(runs: Mapping[int, np.ndarray], width: int) -> Callable:
         import numpy as np
         import pyarrow as pa
 
-        x = matrix(features)
-        clusters = np.empty((len(x), len(labels)), dtype="int32")
-        distances = np.empty((len(x), len(labels)))
-        for i, centers in enumerate(all_centers):
-            clusters[:, i], squared = nearest(x, centers)
-            distances[:, i] = np.sqrt(squared)
+        x, usable = matrix(features)
+        clusters = np.zeros((len(x), len(labels)), dtype="int32")
+        distances = np.zeros((len(x), len(labels)))
+        if usable.any():
+            for i, centers in enumerate(all_centers):
+                clusters[usable, i], squared = nearest(x[usable], centers)
+                distances[usable, i] = np.sqrt(squared)
+        none = np.repeat(~usable, len(labels))
         entries = pa.StructArray.from_arrays(
-            [pa.array(np.tile(labels, len(x))), pa.array(clusters.ravel()), pa.array(distances.ravel())],
+            [pa.array(np.tile(labels, len(x))), pa.array(clusters.ravel(), mask=none),
+             pa.array(distances.ravel(), mask=none)],
             names=["run", "cluster", "distance"],
         )
         offsets = np.arange(0, (len(x) + 1) * len(labels), len(labels), dtype="int32")
@@ -161,7 +185,8 @@ def _nearest_arrow(runs: Mapping[int, np.ndarray], width: int) -> Callable:
 
 
 def with_nearest(df: DataFrame, runs: Mapping[int, np.ndarray], features: str = "features") -> DataFrame:
-    """Add ``nearest``: per run the nearest center (the lower id on a tie) and its distance."""
+    """Add ``nearest``: per run the nearest center (the lower id on a tie) and its distance, both
+    null for a row that is null, has a null or NaN, or is of another width."""
     if not _unrolls(runs):
         width = next(iter(runs.values())).shape[1]
         return df.withColumn("nearest", _nearest_arrow(runs, width)(F.col(features)))
@@ -170,31 +195,67 @@ def with_nearest(df: DataFrame, runs: Mapping[int, np.ndarray], features: str =
         f"array(named_struct('run', {run}, 'cluster', cast(array_position(__squared, array_min(__squared)) - 1 AS int), "
         "'distance', sqrt(array_min(__squared))))"
     )
-    squared = df.withColumn("__squared", F.expr(squared_distances_text(features, centers)))
+    usable = usable_text(features, centers.shape[1])
+    squared = df.withColumn("__squared", F.expr(f"CASE WHEN {usable} THEN {squared_distances_text(features, centers)} END"))
     return squared.withColumn("nearest", F.expr(entry)).drop("__squared")
 
 
-def assign(df: DataFrame, model: Clustering, features: str = "features") -> DataFrame:
-    """Add ``cluster`` and ``distance``, the nearest center and how far it is."""
+def assign(df: DataFrame, model: Clustering, features: str = "features", hold: bool = False) -> DataFrame:
+    """Add ``cluster`` and ``distance``, the nearest center and how far it is.
+
+    ``hold`` keeps filters on them above the features and the assignment, which would else be
+    worked out again inside the filter.
+    """
     if isinstance(df.schema[features].dataType, VectorUDT):
         return _assign_vectors(df, model, features)
     near = F.col("nearest")[0]
-    return (
-        with_nearest(df, {0: model.centers}, features)
-        .withColumns({"cluster": near["cluster"], "distance": near["distance"]})
-        .drop("nearest")
-    )
+    if hold:
+        df = df.withColumn(features, once(features))
+    found = with_nearest(df, {0: model.centers}, features)
+    if hold:
+        found = found.withColumn("nearest", once("nearest"))
+    return found.withColumns({"cluster": near["cluster"], "distance": near["distance"]}).drop("nearest")
 
 
 def _assign_vectors(df: DataFrame, model: Clustering, features: str) -> DataFrame:
-    """Sparse rows: Spark ML predicts without densifying, then one center per row is joined."""
-    if model.ml is None:
-        dense = df.withColumn("__dense", vector_to_array(features))
-        return assign(dense, model, "__dense").drop("__dense")
-    predicted = model.ml.setFeaturesCol(features).setPredictionCol("cluster").transform(df)
-    return with_center(predicted, model).withColumn(
-        "distance", euclidean(vector_to_array(features), F.col("center"))
-    ).drop("center")
+    """Sparse rows stay sparse: |x|^2 - 2 x c + |c|^2 over the non-zero entries, in one Arrow pass.
+
+    The centers take part as one bounded matrix. Where two come out close, the lower id is taken
+    unless the other is nearer by more than rounding.
+    """
+    _cells({0: model.centers})
+    centers = model.centers
+
+    def near(x):
+        import numpy as np
+        import pyarrow as pa
+
+        size = len(x)
+        kind = x.field("type").to_numpy(zero_copy_only=False)
+        lists, values = x.field("indices").to_pylist(), x.field("values").to_pylist()
+        c2 = (centers * centers).sum(axis=1)
+        cluster, distance = np.zeros(size, dtype="int32"), np.zeros(size)
+        usable = np.zeros(size, dtype=bool)
+        widths = x.field("size").to_pylist()
+        for i in range(size):
+            if values[i] is None:
+                continue
+            v = np.array(values[i], dtype=float)
+            at = np.array(lists[i], dtype=int) if kind[i] == 0 else np.arange(len(v))
+            if np.isnan(v).any() or (widths[i] if kind[i] == 0 else len(v)) != centers.shape[1]:
+                continue
+            rough = c2 - 2.0 * (centers[:, at] @ v)
+            best = np.flatnonzero(rough <= rough.min() + 1e-9 * (c2.max() + v @ v))
+            exact = [((v - centers[b, at]) ** 2).sum() + max(0.0, c2[b] - (centers[b, at] ** 2).sum()) for b in best]
+            cluster[i], distance[i] = best[int(np.argmin(exact))], np.sqrt(min(exact))
+            usable[i] = True
+        return pa.StructArray.from_arrays(
+            [pa.array(cluster, mask=~usable), pa.array(distance, mask=~usable)], names=["cluster", "distance"])
+
+    near.__annotations__ = {"x": pa.Array, "return": pa.Array}
+    measured = F.arrow_udf(near, "struct<cluster:int,distance:double>")
+    found = df.withColumn("__near", measured(F.unwrap_udt(features)))
+    return found.withColumns({"cluster": F.col("__near.cluster"), "distance": F.col("__near.distance")}).drop("__near")
 
 
 def with_center(assigned: DataFrame, model: Clustering) -> DataFrame:
@@ -243,7 +304,7 @@ def run_totals(df: DataFrame, runs: Mapping[int, np.ndarray], features: str = "f
         run: RunTotals(np.zeros(len(c), dtype="int64"), np.zeros(c.shape), np.zeros(len(c)), np.zeros(len(c)))
         for run, c in runs.items()
     }
-    for run, cluster, count, distance, squared, total in rows.collect():
+    for run, cluster, count, distance, squared, total in rows.where("cluster IS NOT NULL").collect():
         totals = result[run]
         totals.count[cluster] = count
         totals.total[cluster] = np.asarray(total)
@@ -254,7 +315,7 @@ def run_totals(df: DataFrame, runs: Mapping[int, np.ndarray], features: str = "f
 
 def _totals_unrolled(df: DataFrame, runs: Mapping[int, np.ndarray], width: int, features: str) -> DataFrame:
     near = with_nearest(df.select(features), runs, features)
-    flat = near.select(features, F.col("nearest")[0].alias("n")).select(features, "n.*")
+    flat = near.select(features, F.col("nearest")[0].alias("n")).select(features, "n.*").where("cluster IS NOT NULL")
     x = q.name(features)
     sums = [F.expr(f"sum({x}[{i}])").alias(f"s{i}") for i in range(width)]
     grouped = flat.groupBy("run", "cluster").agg(
@@ -278,7 +339,10 @@ def _totals_arrow(df: DataFrame, runs: Mapping[int, np.ndarray], width: int, fea
             for run, c in fixed.items()
         }
         for batch in batches:
-            x = matrix(batch.column(0))
+            x, usable = matrix(batch.column(0))
+            x = x[usable]
+            if not len(x):
+                continue
             for run, centers in fixed.items():
                 count, distance, squared, total = sums[run]
                 cluster, d2 = nearest(x, centers)
@@ -322,7 +386,8 @@ def lloyd_runs(
     """Fixed-start K-means for several starts at once, one scan per iteration for all of them.
 
     A center without rows stays where it is. A run whose centers all moved by no more than
-    ``tolerance`` is finished and leaves the following scans.
+    ``tolerance`` is finished and leaves the following scans. One scan more counts the rows of the
+    centers as they are at the end.
     """
     models = {run: Clustering(np.asarray(c, dtype=float)) for run, c in starts.items()}
     active = dict(models)
@@ -333,13 +398,14 @@ def lloyd_runs(
         for run, t in totals.items():
             old = models[run].centers
             new = np.where(t.count[:, None] > 0, t.total / np.maximum(t.count, 1)[:, None], old)
-            models[run] = Clustering(new, t.count)
+            models[run] = Clustering(new)
             moved = np.sqrt(((new - old) ** 2).sum(axis=1)).max()
             if moved <= tolerance:
                 del active[run]
             else:
                 active[run] = models[run]
-    return models
+    totals = run_totals(df, {run: m.centers for run, m in models.items()}, features) if models else {}
+    return {run: Clustering(m.centers, totals[run].count, float(totals[run].squared.sum())) for run, m in models.items()}
 
 
 def lloyd(
@@ -351,17 +417,22 @@ def lloyd(
 
 def best_of(df: DataFrame, models: Mapping[int, Clustering], features: str = "features") -> Clustering:
     """The run with the lowest sum of squared distances, all measured in one scan."""
-    totals = run_totals(df, {r: m.centers for r, m in models.items()}, features)
-    best = min(totals, key=lambda r: (totals[r].squared.sum(), r))
-    t = totals[best]
-    return Clustering(models[best].centers, t.count, float(t.squared.sum()))
+    if any(m.cost is None or m.weights is None for m in models.values()):
+        totals = run_totals(df, {r: m.centers for r, m in models.items()}, features)
+        models = {r: Clustering(m.centers, totals[r].count, float(totals[r].squared.sum())) for r, m in models.items()}
+    best = min(models, key=lambda r: (models[r].cost, r))
+    return models[best]
 
 
-def _mean_center(df: DataFrame, features: str) -> Clustering:
+def _mean_center(df: DataFrame, features: str) -> Clustering | None:
     """One cluster: its center is the mean (Spark ML refuses k = 1)."""
     is_vector = isinstance(df.schema[features].dataType, VectorUDT)
     vectors = F.col(features) if is_vector else array_to_vector(features)
+    if not is_vector:
+        df = df.where(usable_text(features, feature_width(df, features)))
     s = df.select(Summarizer.metrics("mean", "count").summary(vectors).alias("s")).select("s.*").first()
+    if not s["count"]:
+        return None
     return Clustering(s["mean"].toArray()[None, :], np.array([s["count"]]))
 
 
@@ -375,6 +446,27 @@ def _ml_fit(vectors: DataFrame, k: int, seed: int, tolerance: float, iterations:
     return Clustering(np.array(model.clusterCenters()), sizes, cost, model)
 
 
+@contextmanager
+def kept_vectors(df: DataFrame, features: str = "features") -> Iterator[DataFrame]:
+    """The usable rows' features as vectors, held for the fits inside. A frame that is held already
+    is handed on as it is, so that fits inside a sweep neither hold it twice nor release it."""
+    if isinstance(df.schema[features].dataType, VectorUDT):
+        vectors = df.select(features)
+    else:
+        width = feature_width(df, features)
+        vectors = df.select(features).where(usable_text(features, width)).select(
+            array_to_vector(features).alias(features))
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        if isinstance(df.schema[features].dataType, VectorUDT):
+            yield vectors
+            return
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield vectors
+    finally:
+        vectors.unpersist()
+
+
 def run_concurrently(spark: SparkSession, tasks: Sequence[Callable], workers: int) -> list:
     """Run independent Spark jobs from a few driver threads; Spark's scheduler shares the cluster."""
     if workers <= 1 or len(tasks) <= 1:
@@ -387,11 +479,13 @@ def run_concurrently(spark: SparkSession, tasks: Sequence[Callable], workers: in
 def fit(
     df: DataFrame, k: int = DEFAULT_K, init: Sequence | None = None, restarts: int = 1,
     tolerance: float = DEFAULT_TOLERANCE, iterations: int = MAX_ITERATIONS, seed: int = 0,
-    features: str = "features", workers: int = 1,
+    features: str = "features", workers: int = 1, vectors: DataFrame | None = None,
 ) -> Clustering | None:
     """Fit k clusters; None when k is 0 or there are no rows.
 
-    ``init=None``: k-means|| seeding by Spark ML, the best of ``restarts`` seeds.
+    ``init=None``: k-means|| seeding by Spark ML, the best of ``restarts`` seeds. Several restarts of
+    arrays are seeded one by one and then share their scans. ``vectors``: the same rows as held
+    vectors, where a sweep has them already.
     ``init=[center, ...]``: exactly these starting centers.
     ``init=[[center, ...], ...]``: several starts sharing their scans, the best one kept.
     """
@@ -406,21 +500,15 @@ def fit(
         return None
     if k == 1:
         return _mean_center(df, features)
-    vectors = df.select(features)
-    if not isinstance(df.schema[features].dataType, VectorUDT):
-        vectors = df.select(array_to_vector(features).alias(features))
-    vectors = vectors.persist()
-    try:
-        fits = run_concurrently(
-            df.sparkSession,
-            [
-                (lambda s=s: _ml_fit(vectors, k, s, tolerance, iterations, features))
-                for s in range(seed, seed + restarts)
-            ],
-            workers,
-        )
-    finally:
-        vectors.unpersist()
+    seeds = range(seed, seed + restarts)
+    shared = restarts > 1 and not isinstance(df.schema[features].dataType, VectorUDT)
+    steps = 0 if shared else iterations
+    with nullcontext(vectors) if vectors is not None else kept_vectors(df, features) as held:
+        tasks = [(lambda s=s: _ml_fit(held, k, s, tolerance, steps, features)) for s in seeds]
+        fits = run_concurrently(df.sparkSession, tasks, workers)
+    if shared:
+        starts = {i: m.centers for i, m in enumerate(fits)}
+        return best_of(df, lloyd_runs(df, starts, iterations, tolerance, features), features)
     return min(fits, key=lambda m: m.cost)
 
 

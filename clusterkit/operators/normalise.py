@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.feature import ElementwiseProduct
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from clusterkit.functions import sqltext as q
 from clusterkit.functions.vectors import constant_array
 
+# Tasks' matrices are put together in so many groups, then once more.
+GRAM_SLOTS = 16
 # Up to this width one aggregate (or one expression) per dimension compiles to fast code.
 MAX_UNROLLED = 64
 
@@ -32,7 +34,8 @@ class ZScore:
 
 
 def feature_width(df: DataFrame, features: str = "features") -> int:
-    """Width of the first row; 0 if there is none."""
+    """Width of the first row that is not null; 0 if there is none."""
+    df = df.where(F.col(features).isNotNull())
     if isinstance(df.schema[features].dataType, VectorUDT):
         row = df.select(features).first()
         return 0 if row is None else len(row[0])
@@ -41,38 +44,102 @@ def feature_width(df: DataFrame, features: str = "features") -> int:
 
 
 def vector_stats(df: DataFrame, features: str = "features") -> DataFrame:
-    """Per dimension: sum, sum of squares, mean and population deviation, as (dim, ...)."""
-    x = F.col("x")
-    values = df.select(F.posexplode(features).alias("dim", "x"))
-    return values.groupBy("dim").agg(
-        F.sum(x).alias("sum"), F.sum(x * x).alias("sum_squares"),
-        F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"),
-    )
+    """Per dimension: sum, sum of squares, mean and population deviation, as (dim, ...), all in one
+    scan without a row per coordinate. A dimension with a null or NaN has NaN statistics."""
+    width = feature_width(df, features)
+    empty = df.sparkSession.createDataFrame([], "dim int, sum double, sum_squares double, mean double, std double")
+    if width == 0:
+        return empty
+    metrics = Summarizer.metrics("count", "sum", "normL2", "mean", "variance")
+    s = _complete(df, features, width).select(metrics.summary(array_to_vector(features)).alias("s")).select(
+        F.col("s.count").alias("n"), *[vector_to_array(f"s.{m}").alias(m) for m in ("sum", "normL2", "mean", "variance")])
+    each = s.select("n", F.posexplode(F.arrays_zip("sum", "normL2", "mean", "variance")).alias("dim", "m"))
+    population = F.greatest(F.col("m.variance") * (F.col("n") - 1) / F.col("n"), F.lit(0.0))
+    return each.select("dim", F.col("m.sum").alias("sum"), (F.col("m.normL2") * F.col("m.normL2")).alias("sum_squares"),
+                       F.col("m.mean").alias("mean"), F.sqrt(population).alias("std"))
+
+
+def _complete(df: DataFrame, features: str, width: int) -> DataFrame:
+    """The rows of this width, each null coordinate as NaN."""
+    filled = F.transform(features, lambda x: F.coalesce(x, F.lit(float("nan"))))
+    return df.where(F.size(features) == width).withColumn(features, filled)
 
 
 def covariance(df: DataFrame, features: str = "features") -> DataFrame:
-    """Sample covariance of every pair of dimensions, i <= j, in one scan and no explode."""
+    """Sample covariance of every pair of dimensions, i <= j, in one scan.
+
+    Every task sums one Gram matrix of its rows, less the first row it meets so that large means
+    do not cancel; the matrices, one for each task, are put together in two steps.
+    """
+    spark = df.sparkSession
     width = feature_width(df, features)
-    pairs = [(i, j) for i in range(width) for j in range(i, width)]
-    f = q.name(features)
-    row = df.agg(*[F.expr(f"covar_samp({f}[{i}], {f}[{j}])").alias(f"c{i}_{j}") for i, j in pairs])
-    entries = q.array([f"named_struct('i', {i}, 'j', {j}, 'covariance', c{i}_{j})" for i, j in pairs])
-    return row.select(F.expr(f"inline({entries})"))
+    schema = "slot int, n double, mean array<double>, gram array<double>"
+    names = ["slot", "n", "mean", "gram"]
+
+    def packed(slot, n, mean, gram):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_arrays(
+            [pa.array([slot], pa.int32()), pa.array([float(n)]), pa.array([mean.tolist()], pa.list_(pa.float64())),
+             pa.array([gram.ravel().tolist()], pa.list_(pa.float64()))], names)
+
+    def joined(a, b):
+        # Counts, means and sums of squared gaps of two sets of rows together.
+        (n, mean, gram), (m, other, more) = a, b
+        gap = other - mean
+        total = n + m
+        return total, mean + gap * (m / total), gram + more + np.outer(gap, gap) * (n * m / total)
+
+    def partial(batches):
+        from pyspark import TaskContext
+
+        all_rows = None
+        for batch in batches:
+            column = batch.column(0)
+            if len(column):
+                x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+                mean = x.mean(axis=0)
+                own = len(x), mean, (x - mean).T @ (x - mean)
+                all_rows = own if all_rows is None else joined(all_rows, own)
+        if all_rows is not None:
+            yield packed(TaskContext.get().partitionId() % GRAM_SLOTS, *all_rows)
+
+    def together(batches):
+        all_rows = None
+        for batch in batches:
+            for n, mean, gram in zip(*(batch.column(c).to_pylist() for c in names[1:])):
+                own = n, np.array(mean), np.array(gram).reshape(width, width)
+                all_rows = own if all_rows is None else joined(all_rows, own)
+        if all_rows is not None:
+            yield packed(0, *all_rows)
+
+    if width == 0:
+        return spark.createDataFrame([], "i int, j int, covariance double")
+    parts = _complete(df.select(features), features, width).mapInArrow(partial, schema)
+    whole = parts.repartition(GRAM_SLOTS, "slot").mapInArrow(together, schema).repartition(1).mapInArrow(together, schema)
+    pairs = whole.select("n", F.posexplode("gram").alias("at", "g"))
+    i, j = F.floor(F.col("at") / width).cast("int"), (F.col("at") % width).cast("int")
+    return pairs.select(i.alias("i"), j.alias("j"), (F.col("g") / (F.col("n") - 1)).alias("covariance")).where("i <= j")
 
 
 def fit_zscore(df: DataFrame, features: str = "features") -> ZScore | None:
-    """Count, means and deviations in one scan; None for an empty input."""
+    """Count, means and deviations in one scan; None for an empty input.
+
+    In either form, rows that are null or of another width than the first are left out, and a null
+    counts as NaN: its dimension has no mean, as with any NaN.
+    """
     is_vector = isinstance(df.schema[features].dataType, VectorUDT)
     width = feature_width(df, features)
     if width == 0:
         return None
     if not is_vector and width <= MAX_UNROLLED:
         f = q.name(features)
-        means = [f"avg({f}[{i}])" for i in range(width)]
-        deviations = [f"stddev_pop({f}[{i}])" for i in range(width)]
-        row = df.agg(F.count("*"), *[F.expr(e) for e in means + deviations]).first()
+        x = [f"coalesce({f}[{i}], double('NaN'))" for i in range(width)]
+        means, deviations = [f"avg({e})" for e in x], [f"stddev_pop({e})" for e in x]
+        row = df.where(F.size(features) == width).agg(F.count("*"), *[F.expr(e) for e in means + deviations]).first()
         return ZScore(row[0], np.array(row[1:width + 1]), np.array(row[width + 1:]))
     vectors = F.col(features) if is_vector else array_to_vector(features)
+    df = df if is_vector else _complete(df, features, width)
     metrics = Summarizer.metrics("count", "mean", "variance").summary(vectors)
     s = df.select(metrics.alias("s")).select("s.*").first()
     n = s["count"]
@@ -89,9 +156,9 @@ def apply_zscore(
         f = q.name(features)
         shifted = [f"({f}[{i}] - {q.number(m)})" for i, m in enumerate(params.mean)]
         divided = [x if s <= 0 else f"{x} / {q.number(s)}" for x, s in zip(shifted, params.std)]
-        scaled = F.expr(q.array([f"nanvl({x}, 0D)" if nan_to_zero else x for x in divided]))
+        scaled = F.expr(q.array([f"coalesce(nanvl({x}, 0D), 0D)" if nan_to_zero else x for x in divided]))
     else:
-        clean = (lambda x: F.nanvl(x, F.lit(0.0))) if nan_to_zero else (lambda x: x)
+        clean = (lambda x: F.coalesce(F.nanvl(x, F.lit(0.0)), F.lit(0.0))) if nan_to_zero else (lambda x: x)
         shifted = F.zip_with(features, constant_array(params.mean), lambda x, m: x - m)
         scaled = F.zip_with(shifted, constant_array(params.divisor), lambda x, s: clean(x / s))
     return df.withColumn(features, scaled)

@@ -11,12 +11,10 @@ from pyspark.sql import functions as F
 
 from clusterkit.operators.kmeans import (
     DEFAULT_TOLERANCE, MAX_ITERATIONS, RESTARTS, RESTART_TOLERANCE, Clustering, assign,
-    assign_runs, best_of, fit, lloyd_runs, run_concurrently, run_totals,
+    assign_runs, best_of, fit, kept_vectors, lloyd_runs, run_concurrently, run_totals,
 )
 
 SCORE_SCHEMA = "k int, score double"
-# Sweeps evaluate every K up to this one; beyond it the steps grow with K.
-EVERY_K_UP_TO = 32
 
 
 def mean_distance(assigned: DataFrame) -> DataFrame:
@@ -37,22 +35,13 @@ def label_entropy(assigned: DataFrame, *by: str) -> DataFrame:
     return clusters.groupBy(*by).agg((F.sum(t * F.log(t) - F.col("nln")) / F.sum("t")).alias("score"))
 
 
-def k_grid(limit: int, step: int | None = None, every: int = EVERY_K_UP_TO) -> list[int]:
-    """The values of K to try, 1 to ``limit`` and both ends included.
-
-    ``step=1`` tries each. By default each K up to ``every`` is tried and then about ten per
-    doubling: the rule of thumb gives thousands for a large table, and the cost of fits
-    grows with the square of that.
-    """
+def k_grid(limit: int, step: int | None = None) -> list[int]:
+    """The values of K to try: every one from 1 to ``limit``, or with ``step`` every so many,
+    always with both ends."""
     if limit < 1:
         return []
-    if step is not None:
-        return list(range(1, limit + 1, step))
-    grid, k = [], 1
-    while k < limit:
-        grid.append(k)
-        k = k + 1 if k < every else max(k + 1, int(k * 1.07))
-    return [*grid, limit]
+    grid = list(range(1, limit + 1, step or 1))
+    return grid if grid[-1] == limit else [*grid, limit]
 
 
 Start = Callable[[int], Sequence]
@@ -78,10 +67,13 @@ def fit_sweep(
     ``workers`` driver threads."""
     if init is not None:
         return _fixed_start_fits(df, ks, init, tolerance, iterations)
-    tasks = [
-        (lambda k=k: fit(df, k, restarts=restarts, tolerance=tolerance, iterations=iterations)) for k in ks
-    ]
-    fits = run_concurrently(df.sparkSession, tasks, workers)
+    # The vectors are kept once, for all K, and released after the last fit.
+    with kept_vectors(df) as vectors:
+        tasks = [
+            (lambda k=k: fit(df, k, restarts=restarts, tolerance=tolerance, iterations=iterations, vectors=vectors))
+            for k in ks
+        ]
+        fits = run_concurrently(df.sparkSession, tasks, workers)
     return {k: m for k, m in zip(ks, fits) if m is not None}
 
 

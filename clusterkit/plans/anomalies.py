@@ -16,6 +16,7 @@ from clusterkit.operators.encode import Dictionaries, fit_dictionaries
 from clusterkit.operators.normalise import ZScore, apply_zscore, fit_zscore, scale_vectors
 from clusterkit.operators.pca import Projection, apply_pca, fit_pca
 from clusterkit.plans.features import PCA_COMPONENTS, categorical_features, kept
+from clusterkit.sinks.text import append_lines
 from clusterkit.sources.records import RecordSpec, parse_records
 
 
@@ -95,3 +96,8 @@ def top_anomalies_job(lines: DataFrame, spec: RecordSpec, count: int = 10, **opt
     if model is None:
         return _none_of(lines)
     return farthest(model.anomalies(lines).select("value", "distance"), count, "value")
+
+
+def write_anomalies(found: DataFrame, path: str) -> None:
+    """The anomalous lines as text, as they came."""
+    append_lines(found, F.col("value"), path)

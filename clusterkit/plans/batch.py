@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clusterkit.functions.fields import last_nonempty_field
+from clusterkit.functions.fields import cluster_score_line, last_nonempty_field
 from clusterkit.operators.counts import cluster_label_counts, value_counts
 from clusterkit.operators.encode import Dictionaries, assemble_numeric
 from clusterkit.operators.kmeans import DEFAULT_K, assign, centers_table, estimate_k, fit
@@ -21,6 +21,7 @@ from clusterkit.operators.quality import (
     k_grid, sweep_default_fit, sweep_label_entropy, sweep_mean_distance,
 )
 from clusterkit.plans.features import PCA_COMPONENTS, categorical_features, kept, normalised, projected
+from clusterkit.sinks.text import append_lines
 from clusterkit.sources.records import RecordSpec, parse_records
 
 SWEEP_WORKERS = 4
@@ -109,3 +110,8 @@ def pca_entropy_job(
     )
     with kept(encoded) as plain, kept(projected(plain, components, normalise_first)) as data:
         return sweep_label_entropy(data, _grid(data, ks, step), init, workers=workers, **options)
+
+
+def write_scores(scores: DataFrame, path: str, decimals: int | None = None) -> None:
+    """A sweep's result as text, one line for each K: ``cluster 3 score 0.25``."""
+    append_lines(scores, cluster_score_line(F.col("k"), F.col("score"), decimals), path)

@@ -95,29 +95,35 @@ class RunningK:
 
 
 class FixedDictionaries:
-    """Category dictionaries of a stream. They come from history or from the first batch and stay:
-    the model's width must not change, and a value seen later encodes to zeros."""
+    """Category dictionaries of a stream. They come from history or from the first batch with a
+    usable line, are saved under that batch, and stay: the model's width must not change, and a
+    value seen later encodes to zeros. What is saved is always taken first, so a restart goes on
+    with the same dictionaries."""
 
     def __init__(self, spark: SparkSession, state_dir: str, spec: RecordSpec, known: Dictionaries | None = None):
         self._state = BatchState(spark, state_dir, "field string, value string, position int")
         self._spec = spec
-        self._known = known
+        self._given = known
+        self._saved: Dictionaries | None = None
 
     def get(self, lines: DataFrame, batch_id: int) -> Dictionaries:
         fields = self._spec.category_names()
-        if self._known is None:
-            rows = self._state.before(1) if batch_id > 0 else []
-            if rows:
-                found = {f: [] for f in fields}
-                for row in sorted(rows, key=lambda r: r["position"]):
-                    found[row["field"]].append(row["value"])
-                self._known = Dictionaries({f: tuple(v) for f, v in found.items()})
+        if self._saved is None:
+            rows = self._state.first()
+            if not rows:
+                found = self._given or fit_dictionaries(parse_records(lines, self._spec), fields)
+                values = found.values
+                rows = [(f, v, i) for f in values for i, v in enumerate(values[f])]
+                if not rows:
+                    return found  # no usable line yet: nothing is decided
+                self._state.write(batch_id, rows)
+                self._saved = found
             else:
-                self._known = fit_dictionaries(parse_records(lines, self._spec), fields)
-        if batch_id == 0:
-            values = self._known.values
-            self._state.write(0, [(f, v, i) for f in values for i, v in enumerate(values[f])])
-        return self._known
+                saved: dict[str, list[str]] = {f: [] for f in fields}
+                for row in sorted(rows, key=lambda r: r["position"]):
+                    saved[row["field"]].append(row["value"])
+                self._saved = Dictionaries({f: tuple(v) for f, v in saved.items()})
+        return self._saved
 
 
 def sweep_handler(

@@ -7,6 +7,7 @@ step instead of applying it twice.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,6 +29,17 @@ class BatchState:
             return []
         return self._spark.read.schema(self._schema).parquet(self._version(batch_id - 1)).collect()
 
+    def first(self) -> list:
+        """Rows of the earliest version that has any; none where nothing was written yet."""
+        try:
+            rows = self.history().collect()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        earliest = min((r["batch_id"] for r in rows), default=None)
+        return [r for r in rows if r["batch_id"] == earliest]
+
     def write(self, batch_id: int, rows: list) -> None:
         table = self._spark.createDataFrame(rows, self._schema).coalesce(1)
         table.write.mode("overwrite").parquet(self._version(batch_id))

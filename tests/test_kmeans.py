@@ -163,3 +163,47 @@ def test_a_model_too_large_for_a_task_is_refused(spark, monkeypatch):
     monkeypatch.setattr(kmeans, "MAX_MODEL_CELLS", 3)
     with pytest.raises(ValueError):
         assign(features(spark, [[1.0, 2.0]]), Clustering(np.zeros((2, 2))))
+
+
+BAD_ROWS = [(0, [0.0, 0.0]), (1, [10.0, 10.0]), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [1.0]),
+            (6, [1.0, 2.0, 3.0]), (7, [])]
+
+
+@pytest.mark.parametrize("copies", [1, 60])
+def test_unusable_rows_are_in_no_cluster_in_either_form(spark, copies):
+    df = spark.createDataFrame(BAD_ROWS, "id int, features array<double>").repartition(2)
+    # Centers far away only make the model large enough for the other form.
+    centers = np.array([[0.0, 0.0], [9.0, 9.0], *[[1e6 + i, 1e6] for i in range(copies)]])
+    assert kmeans._unrolls({0: centers}) == (copies == 1)
+    got = {r["id"]: (r["cluster"], r["distance"]) for r in assign(df, Clustering(centers)).collect()}
+    assert got[0] == (0, 0.0) and got[1] == (1, pytest.approx(2 ** 0.5))
+    assert all(got[i] == (None, None) for i in range(2, 8))
+    totals = kmeans.run_totals(df, {0: centers})[0]
+    assert totals.count.tolist()[:2] == [1, 1] and totals.count.sum() == 2 and not np.isnan(totals.total).any()
+
+
+def test_weights_are_those_of_the_centers_returned(spark):
+    df = features(spark, blobs(90))
+    model = lloyd(df, [[0.0, 0.0], [1.0, 1.0], [2.0, 0.0]], iterations=2)
+    rows = [r["cluster"] for r in assign(df, model).collect()]
+    assert model.weights.tolist() == [rows.count(k) for k in range(3)]
+
+
+def test_sparse_rows_are_measured_as_they_are(spark):
+    from pyspark.ml.linalg import Vectors
+
+    points = [Vectors.sparse(5, [1, 3], [2.0, -1.0]), Vectors.dense([1.0, 0.0, 0.0, 4.0, 0.0]), Vectors.sparse(5, [], [])]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(points)], ["id", "features"])
+    centers = np.array([[0.0, 2.0, 0.0, 0.0, 0.0], [1.0, 0.0, 0.0, 3.0, 0.0]])
+    got = {r["id"]: (r["cluster"], r["distance"]) for r in assign(df, Clustering(centers)).collect()}
+    gaps = np.array([[np.linalg.norm(p.toArray() - c) for c in centers] for p in points])
+    assert got == {i: (int(g.argmin()), pytest.approx(g.min())) for i, g in enumerate(gaps)}
+
+
+def test_a_sweep_holds_its_vectors_once(spark):
+    df = features(spark, blobs(60))
+    with kmeans.kept_vectors(df) as outer:
+        with kmeans.kept_vectors(outer) as inner:
+            assert inner.count() == 60
+        assert outer.storageLevel.useMemory  # not released by the fit inside
+    assert not outer.storageLevel.useMemory

@@ -71,6 +71,28 @@ def test_covariance(spark):
     assert got == pytest.approx({(0, 0): expected[0, 0], (0, 1): expected[0, 1], (1, 1): expected[1, 1]})
 
 
+@pytest.mark.parametrize("width", [3, 70])
+def test_statistics_of_wide_and_narrow_rows(spark, width):
+    points = np.random.default_rng(width).normal(1000.0, 1.0, size=(40, width))
+    df = features(spark, points)
+    got = {(r["i"], r["j"]): r["covariance"] for r in covariance(df).collect()}
+    expected = np.cov(points.T)
+    assert len(got) == width * (width + 1) // 2
+    assert all(c == pytest.approx(expected[i, j], rel=1e-9, abs=1e-9) for (i, j), c in got.items())
+    stats = vector_stats(df).orderBy("dim").collect()
+    assert [r["std"] for r in stats] == pytest.approx(points.std(0)) and [r["sum"] for r in stats] == pytest.approx(points.sum(0))
+
+
+@pytest.mark.parametrize("width", [3, 70])
+def test_nulls_mean_the_same_at_any_width(spark, width):
+    good, hole = [float(i) for i in range(width)], [None, *[float(2 * i) for i in range(1, width)]]
+    df = spark.createDataFrame([(0, good), (1, hole), (2, None), (3, [1.0])], "id int, features array<double>").coalesce(1)
+    params = fit_zscore(df)
+    assert params.count == 2 and np.isnan(params.mean[0]) and params.mean[1] == pytest.approx(1.5)
+    scaled = {r["id"]: r["features"] for r in apply_zscore(df.where("id < 2"), params, nan_to_zero=True).collect()}
+    assert scaled[0][0] == 0.0 and scaled[1][0] == 0.0 and scaled[1][1] == pytest.approx(1.0)
+
+
 def test_pca_known_values(spark):
     df = features(spark, PCA_ROWS)
     projection = fit_pca(df, 2)

@@ -159,6 +159,18 @@ def test_sweeps_per_batch_with_fixed_dictionaries(spark, tmp_path):
     assert reloaded.get(lines(spark, second), 1).values == {"kind": ("k0", "k1", "k2")}
 
 
+def test_dictionaries_wait_for_a_usable_line_and_outlive_restarts(spark, tmp_path):
+    def restarted():
+        return handlers.FixedDictionaries(spark, str(tmp_path / "d"), SPEC)
+
+    assert restarted().get(lines(spark, ["damaged"]), 0).width == 0
+    running = restarted()
+    assert running.get(lines(spark, ["damaged"]), 0).width == 0
+    assert running.get(lines(spark, ["a,p,1,2"]), 1).values == {"kind": ("p",)}
+    for batch_id in (1, 2, 3):  # replayed, and after restarts
+        assert restarted().get(lines(spark, ["b,q,1,2", "c,r,1,2"]), batch_id).values == {"kind": ("p",)}
+
+
 def test_normalised_sweep_with_given_k(spark, tmp_path):
     out = str(tmp_path / "scores")
     handle = handlers.sweep_handler(
