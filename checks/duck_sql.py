@@ -317,6 +317,36 @@ def item_sql() -> dict[str, str]:
     }
 
 
+def seeded_sql() -> dict[str, str]:
+    """Groups far apart are the one best clustering, so a fit from any seed must return them."""
+    two = "CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END"
+    three = "instr('ANR', l_returnflag)"
+    many = "l_suppkey % 15 * 10 + l_partkey % 10"
+
+    def points(group: str) -> str:
+        return (f"pts AS (SELECT l_orderkey, l_linenumber, {group} AS g, ({group})::DOUBLE * 1e4 + l_linenumber AS x0, "
+                "l_quantity::DOUBLE AS x1 FROM lineitem)")
+
+    def centers(group: str) -> str:
+        return chain([points(group)],
+                     f"SELECT (row_number() OVER (ORDER BY avg(x0)) - 1)::INTEGER AS cluster, count(*)::DOUBLE AS weight, "
+                     f"{r6('avg(x0)')} AS c0, {r6('avg(x1)')} AS c1 FROM pts GROUP BY g")
+
+    gap = "sqrt((x0 - m0) * (x0 - m0) + (x1 - m1) * (x1 - m1))"
+    near = ("d AS (SELECT *, {gap} AS distance FROM (SELECT *, avg(x0) OVER ({by}) AS m0, avg(x1) OVER ({by}) AS m1 FROM pts))")
+    each = near.format(gap=gap, by="PARTITION BY g")
+    return {
+        "q25c_seeded_default_fit": centers(two),
+        "q26c_seeded_best_of_ten": centers(three),
+        "q26d_seeded_careful_score": chain([points(three), each, each.replace("d AS", "one AS", 1).replace("PARTITION BY g", "")],
+            f"SELECT 1::INTEGER AS k, {r6('avg(distance)')} AS score FROM one UNION ALL "
+            f"SELECT 3::INTEGER AS k, {r6('avg(distance)')} AS score FROM d"),
+        "q32c_seeded_anomalies": chain([points(many), each],
+            f"SELECT l_orderkey, l_linenumber, {r4('distance')} AS distance FROM d WHERE distance > "
+            "(SELECT min(distance) FROM (SELECT distance FROM d ORDER BY distance DESC LIMIT 100))"),
+    }
+
+
 def job_sql() -> dict[str, str]:
     numbers = S.TRADE_NUMBERS
     fixed = lloyd("raw", numbers, start_values({0: S.trade_start(2)}), S.ITERATIONS)
@@ -465,4 +495,4 @@ def stream_sql() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
-    return {**plain_sql(), **item_sql(), **job_sql(), **stream_sql()}
+    return {**plain_sql(), **item_sql(), **seeded_sql(), **job_sql(), **stream_sql()}

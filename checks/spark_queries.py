@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import starts as S
 from checks.tables import (
-    EVENT_RECORD, LINEITEM_RECORD, embedding_features, event_batches, event_line, lineitem_features,
+    EVENT_RECORD, LINEITEM_RECORD, embedding_features, event_batches, event_line, lineitem, lineitem_features,
     lineitem_lines, table, trade_lines,
 )
 from clusterkit.functions.fields import cluster_count_line, last_nonempty_field
@@ -20,7 +20,7 @@ from clusterkit.operators.encode import (
     assemble_numeric, category_index, encode_vectors, fit_dictionaries, lookup_index,
 )
 from clusterkit.operators.kmeans import (
-    Clustering, assign, centers_table, estimate_k, fit, lloyd, with_center,
+    Clustering, assign, centers_table, estimate_k, fit, fit_best_of_ten, lloyd, with_center,
 )
 from clusterkit.functions.vectors import euclidean
 from clusterkit.operators.normalise import apply_zscore, covariance, fit_zscore, vector_stats
@@ -222,6 +222,50 @@ def item_mean_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(mean_distance(_assigned_items(spark, sf_dir)), "score")
 
 
+def far_apart(spark: SparkSession, sf_dir: str, group: str, scale: float = 1e4) -> DataFrame:
+    """lineitem as groups so far apart that one clustering is best: what a seeded fit must find."""
+    spot = F.expr(f"double({group}) * {scale}D")
+    return lineitem(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", F.array(spot + F.col("l_linenumber"), F.col("l_quantity")).alias("features"))
+
+
+def _by_first(spark: SparkSession, model: Clustering) -> DataFrame:
+    """Centers numbered by their first coordinate, as the numbers of a seeded fit are by chance."""
+    order = model.centers[:, 0].argsort()
+    sorted_model = Clustering(model.centers[order], model.weights[order])
+    return spread_out(centers_table(spark, sorted_model).withColumnRenamed("center", "features"), 2, "c", "cluster", "weight")
+
+
+TWO_GROUPS, THREE_GROUPS = "l_returnflag = 'N'", "instr('ANR', l_returnflag)"
+ANOMALY_GROUPS = "l_suppkey % 15 * 10 + l_partkey % 10"
+
+
+def seeded_default_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default fit: two clusters, k-means|| seeding."""
+    with kept(far_apart(spark, sf_dir, f"if({TWO_GROUPS}, 1, 0)").select("features")) as features:
+        return _by_first(spark, fit(features))
+
+
+def seeded_best_of_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The careful fit: ten seeds sharing their scans."""
+    with kept(far_apart(spark, sf_dir, THREE_GROUPS).select("features")) as features:
+        return _by_first(spark, fit_best_of_ten(features, 3, workers=4))
+
+
+def seeded_careful_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The careful fit's mean distance in a sweep without given starts."""
+    with kept(far_apart(spark, sf_dir, THREE_GROUPS).select("features")) as features:
+        return rounded(sweep_mean_distance(features, [1, 3], workers=2), "score")
+
+
+def seeded_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """150 clusters from k-means||, and the rows beyond the hundredth distance."""
+    rows = far_apart(spark, sf_dir, ANOMALY_GROUPS)
+    with kept(rows.select("features")) as features:
+        detector = fit_detector(features, ANOMALY_CLUSTERS, workers=4)
+    return detector.anomalies(rows).select("l_orderkey", "l_linenumber", r4("distance").alias("distance"))
+
+
 def item_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(label_entropy(_assigned_items(spark, sf_dir)), "score")
 
@@ -537,6 +581,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q27_pca_entropy_job": pca_entropy,
     "q28_normalised_sweep": normalised_sweep,
     "q28b_every_k_sweep": every_k_sweep,
+    "q25c_seeded_default_fit": seeded_default_fit,
+    "q26c_seeded_best_of_ten": seeded_best_of_ten,
+    "q26d_seeded_careful_score": seeded_careful_score,
+    "q32c_seeded_anomalies": seeded_anomalies,
     "q29_categorical_sweep": categorical_sweep,
     "q30_rank_threshold": item_threshold,
     "q31_anomalies": item_anomalies,
