@@ -362,8 +362,10 @@ def job_sql() -> dict[str, str]:
     starts = f"SELECT 0 AS run, cluster::INTEGER AS cluster, {', '.join(cols('x', 64))} FROM init WHERE cluster < 150"
     top = lloyd("pts", S.TRADE_WIDTH, start_values({0: S.spread(S.TRADE_WIDTH)(3)}), S.ITERATIONS)
     return {
-        "q23_k_sweep": chain([trades(TRADE_FIELDS), *raw_sweep],
-            f"SELECT *, score AS score2 FROM ({sweep_scores('near')})"),
+        "q23_k_sweep": chain(
+            [trades(TRADE_FIELDS), *raw_sweep,
+             *lloyd("raw", numbers, sweep_starts(S.careful_start), S.ITERATIONS, "_c")],
+            f"SELECT a.k, a.score, b.score AS score2 FROM ({sweep_scores('near')}) a JOIN ({sweep_scores('near_c')}) b USING (k)"),
         "q50c_score_lines": chain([trades(TRADE_FIELDS), *raw_sweep],
             "SELECT 'cluster ' || k || ' score ' || printf('%.4f', score) AS line FROM "
             "(SELECT run AS k, avg(sqrt(b.d2)) AS score FROM near GROUP BY run)"),

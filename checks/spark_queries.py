@@ -296,7 +296,9 @@ FIXED = {"iterations": S.ITERATIONS, "tolerance": 0.0}
 
 
 def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = jobs.raw_sweep_job(trade_lines(spark, sf_dir), TRADE_RECORD, S.SWEEP, S.trade_start, **FIXED)
+    scores = jobs.raw_sweep_job(
+        trade_lines(spark, sf_dir), TRADE_RECORD, S.SWEEP, S.trade_start, careful_init=S.careful_start, **FIXED
+    )
     return rounded(scores, "score", "score2")
 
 

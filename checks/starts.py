@@ -26,6 +26,11 @@ def trade_start(k: int) -> list[list[float]]:
     ]
 
 
+def careful_start(k: int) -> list[list[float]]:
+    """The same numbers with the notionals crowded at the low end of their range."""
+    return [[2e7, 2e7, 25.0, 4.0, 2e7, 3e4 * (j + 1) / k, 3e4 * (j + 1) / k, 0.04, 0.0, 0.0] for j in range(k)]
+
+
 def spread(width: int):
     """K -> starting centers for z-scored features."""
     return lambda k: diagonal_start(k, width).tolist()

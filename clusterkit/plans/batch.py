@@ -63,13 +63,14 @@ def cross_tab_job(
 
 def raw_sweep_job(
     lines: DataFrame, spec: RecordSpec, ks: Sequence[int] | None = None, init: Start | None = None,
-    step: int | None = None, workers: int = SWEEP_WORKERS, **options,
+    step: int | None = None, workers: int = SWEEP_WORKERS, careful_init: Start | None = None, **options,
 ) -> DataFrame:
-    """(k, score, score2): mean distance of a default fit and of the careful fit, numbers as they are."""
+    """(k, score, score2): mean distance of a default fit and of the careful fit, numbers as they are.
+    ``careful_init`` gives the careful fit starts of its own; without it both have those of ``init``."""
     with kept(assemble_numeric(parse_records(lines, spec), spec).select("features")) as features:
         ks = _grid(features, ks, step)
         first = sweep_default_fit(features, ks, init, workers=1, **options)
-        second = sweep_mean_distance(features, ks, init, workers=workers, **options)
+        second = sweep_mean_distance(features, ks, careful_init or init, workers=workers, **options)
     return first.join(second.withColumnRenamed("score", "score2"), "k")
 
 
