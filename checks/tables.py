@@ -94,10 +94,11 @@ def event_line() -> Column:
 
 
 def event_batches(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
-    """All events as lines, in equal ranges of event_id."""
+    """All events as lines, in equal ranges of event_id; the first is open below and takes null
+    ids, the last is open above."""
     events = table(spark, sf_dir, "events")
     end = events.agg(F.max("event_id")).first()[0] + 1
-    for batch in range(BATCHES):
-        low, high = -(-batch * end // BATCHES), -(-(batch + 1) * end // BATCHES)
-        part = events.where((F.col("event_id") >= low) & (F.col("event_id") < high))
-        yield part.select(event_line().alias("value"))
+    bounds = [-(-batch * end // BATCHES) for batch in range(1, BATCHES)]
+    batch = sum(((F.coalesce(F.col("event_id"), F.lit(-1)) >= b).cast("int") for b in bounds), F.lit(0))
+    for number in range(BATCHES):
+        yield events.where(batch == number).select(event_line().alias("value"))
