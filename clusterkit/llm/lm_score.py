@@ -36,6 +36,9 @@ EMBED, HIDDEN = 16, 32
 OFFSETS = (-2, -1, 1, 2)
 #: Words of a training step; longer words than this many bytes are always in a bucket.
 STEP, LONG_WORD = 16384, 64
+#: A copy of the network weighs as much as some 100,000 words, so a task that trains one is to have
+#: several times that: small partitions are joined until it does.
+TASK_WORDS = 500_000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -47,6 +50,7 @@ class Vocabulary:
     ids: dict[bytes, int]
     bucket_ids: list[int]
     log_share: np.ndarray
+    words: int = 0  # of the whole corpus
 
     def stream(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, two pads around each text, and the number of words of each text."""
@@ -88,7 +92,7 @@ def count_words(docs: DataFrame) -> Vocabulary:
             buckets[what] = i
         else:
             ids[what] = i
-    return Vocabulary(ids, buckets, np.log(share / share.sum()))
+    return Vocabulary(ids, buckets, np.log(share / share.sum()), sum(n for n, *_ in entries))
 
 
 class Network:
@@ -130,22 +134,17 @@ class Network:
         seen = self.parts["embed"][window].reshape(len(window), -1)
         return seen, np.tanh(seen @ self.parts["inner"] + self.parts["inner_bias"])
 
-    @staticmethod
-    def _log_softmax(x: np.ndarray) -> np.ndarray:
-        x = x - x.max(axis=1, keepdims=True)
-        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
     def _outputs(self, hidden: np.ndarray, cls: np.ndarray):
-        """Log probabilities of classes and, for rows sorted by class, of members."""
+        """Scores of classes and, for rows sorted by class, of members; and where classes begin."""
         p = self.parts
-        classes = self._log_softmax(hidden @ p["class"] + p["class_bias"])
+        classes = hidden @ p["class"] + p["class_bias"]
         members = np.empty((len(cls), MEMBERS), np.float32)
         edges = np.searchsorted(cls, np.arange(CLASSES + 1))
         for c in range(CLASSES):
             a, b = edges[c], edges[c + 1]
             if a < b:
                 members[a:b] = hidden[a:b] @ p["member"][c] + p["member_bias"][c]
-        return classes, self._log_softmax(members), edges
+        return classes, members, edges
 
     def log_probability(self, window: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of each target given its window, in the order given."""
@@ -153,9 +152,8 @@ class Network:
         cls, member = target[order] // MEMBERS, target[order] % MEMBERS
         hidden = self._hidden(window[order])[1]
         classes, members, _ = self._outputs(hidden, cls)
-        at = np.arange(len(order))
         out = np.empty(len(order), np.float64)
-        out[order] = classes[at, cls].astype(np.float64) + members[at, member]
+        out[order] = _log_share(classes, cls) + _log_share(members, member)
         return out
 
     def learn(self, window: np.ndarray, target: np.ndarray, rate: float = 0.08) -> None:
@@ -166,12 +164,7 @@ class Network:
         cls, member = target[order] // MEMBERS, target[order] % MEMBERS
         seen, hidden = self._hidden(window)
         classes, members, edges = self._outputs(hidden, cls)
-        at, n = np.arange(len(cls)), np.float32(len(cls))
-        d_class, d_member = np.exp(classes), np.exp(members)
-        d_class[at, cls] -= 1
-        d_member[at, member] -= 1
-        d_class /= n
-        d_member /= n
+        d_class, d_member = _gradient(classes, cls), _gradient(members, member)
         d_hidden = d_class @ p["class"].T
         grad = {"class": hidden.T @ d_class, "class_bias": d_class.sum(axis=0)}
         grad["member"] = np.zeros_like(p["member"])
@@ -184,15 +177,36 @@ class Network:
                 d_hidden[a:b] += d_member[a:b] @ p["member"][c].T
         d_hidden *= 1 - hidden * hidden
         grad["inner"], grad["inner_bias"] = seen.T @ d_hidden, d_hidden.sum(axis=0)
-        d_seen = (d_hidden @ p["inner"].T).reshape(-1, EMBED)
-        where = window.ravel()
+        d_seen = np.ascontiguousarray((d_hidden @ p["inner"].T).reshape(-1, EMBED).T, np.float64)
+        where = window.ravel().astype(np.int64)
         grad["embed"] = np.stack(
-            [np.bincount(where, d_seen[:, k], PAD + 1) for k in range(EMBED)], axis=1).astype(np.float32)
+            [np.bincount(where, d_seen[k], PAD + 1) for k in range(EMBED)], axis=1).astype(np.float32)
         for k, g in grad.items():
             self.speed[k] += g * g
             p[k] -= np.float32(rate) * g / np.sqrt(self.speed[k])
 
 
+def _exp(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of scores less each row's largest, in place, and the row sums."""
+    scores -= scores.max(axis=1, keepdims=True)
+    np.exp(scores, out=scores)
+    return scores, scores.sum(axis=1)
+
+
+def _log_share(scores: np.ndarray, which: np.ndarray) -> np.ndarray:
+    at = np.arange(len(which))
+    own = scores[at, which].astype(np.float64) - scores.max(axis=1)
+    return own - np.log(_exp(scores)[1])
+
+
+def _gradient(scores: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Of the mean negative log share, with respect to the scores."""
+    share, total = _exp(scores)
+    share /= (total * np.float32(len(which)))[:, None]
+    share[np.arange(len(which)), which] -= np.float32(1 / len(which))
+    return share
+
+
 def windows(stream: np.ndarray, step: int = STEP) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(window, target) of all words of a stream, some thousands at a time."""
     places = np.flatnonzero(stream != PAD)
@@ -261,7 +275,8 @@ def fit(docs: DataFrame, rounds: int = 2, id_col: str = "doc_id", text_col: str
     vocab = count_words(rows)
     net = Network.initial(vocab)
     for k in range(rounds):
-        net = _train(rows.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select("text"), net, vocab)
+        part = rows.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select("text")
+        net = _train(part.coalesce(max(1, vocab.words // rounds // TASK_WORDS)), net, vocab)
     return vocab, net
 
 
