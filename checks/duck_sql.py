@@ -317,6 +317,14 @@ def item_sql() -> dict[str, str]:
     }
 
 
+def covariance_sql() -> str:
+    return (
+        "WITH u AS (SELECT vec_id, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings) "
+        f"SELECT a.i::INTEGER AS i, b.i::INTEGER AS j, {r6('covar_samp(a.x, b.x)')} AS covariance "
+        "FROM u a JOIN u b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY 1, 2"
+    )
+
+
 def seeded_sql() -> dict[str, str]:
     """Groups far apart are the one best clustering, so a fit from any seed must return them."""
     two = "CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END"
@@ -336,6 +344,7 @@ def seeded_sql() -> dict[str, str]:
     near = ("d AS (SELECT *, {gap} AS distance FROM (SELECT *, avg(x0) OVER ({by}) AS m0, avg(x1) OVER ({by}) AS m1 FROM pts))")
     each = near.format(gap=gap, by="PARTITION BY g")
     return {
+        "q14b_covariance_embeddings": covariance_sql(),
         "q25c_seeded_default_fit": centers(two),
         "q26c_seeded_best_of_ten": centers(three),
         "q26d_seeded_careful_score": chain([points(three), each, each.replace("d AS", "one AS", 1).replace("PARTITION BY g", "")],

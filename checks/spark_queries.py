@@ -162,6 +162,11 @@ def lineitem_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(covariance(lineitem_features(spark, sf_dir)), "covariance")
 
 
+def embedding_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of the 64 dimensions of the embeddings."""
+    return rounded(covariance(embedding_features(spark, sf_dir)), "covariance")
+
+
 def pca_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = embedding_features(spark, sf_dir)
     return spread_out(apply_pca(rows, fit_pca(rows, PCA_COMPONENTS)), PCA_COMPONENTS, "p", "vec_id")
@@ -565,6 +570,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q12_zscore": zscore,
     "q13_zscore_nan_safe": zscore_nan_safe,
     "q14_covariance": lineitem_covariance,
+    "q14b_covariance_embeddings": embedding_covariance,
     "q15_pca_project": pca_embeddings,
     "q15b_pca_lineitem": pca_lineitem,
     "q16_k1_center": k1_center,
