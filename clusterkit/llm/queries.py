@@ -114,6 +114,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-#: The others cannot be put in SQL, or are too slow there over whole tables; tests/llm holds them
-#: against brute force.
-SQL: dict[str, str] = {"op2_quality_cascade": _QUALITY}
+# Every start of a 400-byte string, by content: right for any size, but slow beyond small tables.
+_REPEATS = """
+WITH d AS (
+    SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents
+), s AS (
+    SELECT doc_id, i, md5(b[i:i + 399]) AS h FROM d, unnest(range(1, octet_length(b) - 398)) AS u(i)
+), twice AS (
+    SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY h) AS c FROM s) WHERE c > 1
+), runs AS (
+    SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+        SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS fresh FROM twice)
+), spans AS (
+    SELECT doc_id, min(i) AS a, max(i) + 400 AS e FROM runs GROUP BY doc_id, run
+), cuts AS (
+    SELECT doc_id, list({'a': a, 'e': e} ORDER BY a) AS cut, sum(e - a)::BIGINT AS n_removed, count(*) AS n_spans
+    FROM spans GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+        coalesce(n_spans, 0)::BIGINT AS n_spans,
+        CASE WHEN cut IS NULL THEN [b] ELSE list_transform(range(0, len(cut) + 1), lambda k:
+            b[CASE WHEN k = 0 THEN 1 ELSE cut[k].e END : CASE WHEN k = len(cut) THEN octet_length(b) ELSE cut[k + 1].a - 1 END])
+        END AS pieces
+    FROM d LEFT JOIN cuts USING (doc_id)
+)
+SELECT doc_id, n_bytes, n_removed, n_spans, sha256(list_reduce(pieces, lambda x, y: x || y)) AS kept_sha256 FROM kept
+"""
+
+#: The others cannot be put in SQL; tests/llm holds them against brute force.
+SQL: dict[str, str] = {"op2_quality_cascade": _QUALITY, "op9_repeats": _REPEATS}
