@@ -70,13 +70,24 @@ class Vocabulary:
 
 
 def count_words(docs: DataFrame) -> Vocabulary:
-    """The vocabulary from counts over all texts of ``docs`` (doc_id, text). The driver gets the
-    most frequent words, of bounded length, and one count for each bucket."""
+    """The vocabulary from counts over all texts of ``docs`` (doc_id, text).
+
+    How many words there are of each order of frequency says from which on the most frequent are to
+    be looked for, so that tasks send the driver those few words, of bounded length, and not their
+    own most frequent ones each. Beside them it gets one count for each bucket.
+    """
     word = F.explode(F.split(F.translate("text", _UPPER, _UPPER.lower()), r"[\x20\x09-\x0D]+")).alias("word")
     counts = written(docs.select(word).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n")), "lm-words")
     tail = F.expr("substring(encode(word, 'UTF-8'), -2, 2)")
     short = counts.filter(F.octet_length("word") <= LONG_WORD)
-    top = [(r.word.encode(), r.n) for r in short.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
+    order = F.floor(F.log2("n") * 4).cast("int")
+    least, found = 0, 0
+    for r in sorted(short.groupBy(order.alias("o")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r.o):
+        least, found = r.o, found + r.n
+        if found >= WORDS:
+            break
+    likely = short.filter(order >= least)
+    top = [(r.word.encode(), r.n) for r in likely.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
     rest = {r.b: r.n for r in counts.groupBy(F.pmod(F.crc32(tail), F.lit(BUCKETS)).alias("b")).agg(F.sum("n").alias("n")).collect()}
     for w, n in top:
         rest[zlib.crc32(w[-2:]) % BUCKETS] -= n
