@@ -26,6 +26,8 @@ RULES = (
 FEATURES = ["length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio",
             "host_digit_ratio", "hyphens", "entropy", "parameters", "query_length", "https",
             "suffix_rate", "suffix_share", "domain_rate", "domain_share", "section_rate", "section_share"]
+#: Rows of the bounded sample that a task of the many short jobs of a fit is to have at least.
+TASK_ROWS = 10_000
 #: Columns whose label statistics are counted over all labelled URLs.
 STATISTICS = ("suffix", "domain", "section")
 
@@ -139,7 +141,7 @@ def fit_url_model(labelled: DataFrame, fit_rows: int = 50_000, trees: int = 20,
         model.trees = GBTClassifier(
             featuresCol="_features", labelCol="label", predictionCol="_block",
             maxIter=trees, maxDepth=depth, seed=7,
-        ).fit(rows.select("_features", "label"))
+        ).fit(rows.select("_features", "label").repartition(-(-min(n, fit_rows) // TASK_ROWS)))
     return model
 
 
