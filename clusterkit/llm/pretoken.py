@@ -53,7 +53,7 @@ def pieces(text: str, path: str) -> list[str]:
 
 
 @lru_cache(1)
-def _alphabet() -> dict[str, int]:
+def alphabet() -> dict[str, int]:
     """The printable stand-in of each byte: itself where printable, else the next free code."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -66,7 +66,7 @@ class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
-        byte = _alphabet()
+        byte = alphabet()
         model = data["model"]
         self.path = path
         self.id_of = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()}

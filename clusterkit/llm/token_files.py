@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clusterkit.llm.common import id_and_text, map_rows
-from clusterkit.llm.pretoken import PieceTable, blocks, library, vocabulary
+from clusterkit.llm.pretoken import PieceTable, alphabet, blocks, library, vocabulary
 from clusterkit.scratch import shared_dir
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
@@ -47,8 +47,13 @@ def library_ids(path: str) -> PieceTable:
     def packed(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}i", *ids)
 
+    # A piece needs no splitting any more: the library's model alone, given the bytes' stand-ins.
+    encode = library(path).model.tokenize
+    stand_in = {byte: char for char, byte in alphabet().items()}
+
     def fill(new: list[str]) -> list[bytes]:
-        return [packed(e.ids) for e in library(path).encode_batch_fast(new, add_special_tokens=False)]
+        printable = (piece.encode().decode("latin-1").translate(stand_in) for piece in new)
+        return [packed([token.id for token in encode(piece)]) for piece in printable]
 
     return PieceTable(vocabulary(path), fill, lambda i: packed([i]))
 
