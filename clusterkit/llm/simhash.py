@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clusterkit.llm import similar
 from clusterkit.llm.common import BATCH_ROWS, written
 from clusterkit.llm.components import components
 
@@ -200,9 +201,16 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
+             similarity: float | None = None) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest doc_id (null ids last), all
-    columns as they are. Of rows that repeat this doc_id with one fingerprint any one stays."""
+    columns as they are. Of rows that repeat this doc_id with one fingerprint any one stays.
+
+    With ``similarity`` texts link at this Jaccard similarity of their shingles or more, whatever
+    their fingerprints (``similar.py``): 64 bits do not tell 0.8 from less.
+    """
+    if similarity is not None:
+        return similar.keep_one(docs, similarity, id_col, text_col, size)
     columns = docs.columns
     name = "simhash_print"
     while name in columns:

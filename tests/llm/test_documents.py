@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from clusterkit.llm import components, pii, quality, repeats, simhash
+from clusterkit.llm import components, pii, quality, repeats, simhash, similar
 from tests.llm import cases
 
 # ---- SimHash
@@ -92,6 +92,53 @@ def test_one_document_of_each_class_stays(spark):
     assert simhash.keep_one(cases.empty(spark)).count() == 0
 
 
+def plain_similar(rows, size, similarity):
+    """Ids that stay: the smallest of each group linked by the Jaccard similarity of word shingles."""
+    sets = []
+    for _, t in rows:
+        words = t.lower().split()
+        sets.append({" ".join(words[k:k + size]) for k in range(max(1, len(words) - size + 1))} if words else set())
+    parent = list(range(len(rows)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if sets[a] == sets[b] or both >= similarity * (len(sets[a]) + len(sets[b]) - both):
+            parent[root(a)] = root(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[root(k)] = min(i, least.get(root(k), i))
+    return set(least.values())
+
+
+def test_near_copies_go_by_similarity(spark, monkeypatch):
+    monkeypatch.setattr(similar.links, "__defaults__", (3,))  # several tiles a bucket
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    rows = [(900, "x y"), (901, "X  y"), (902, ""), (903, " ")]
+    for _ in range(25):
+        words = [word() for _ in range(r.randrange(60, 300))]
+        for _ in range(r.choice([1, 2, 4, 9])):  # a chain of copies, each changed a little further
+            rows.append((len(rows), " ".join(words)))
+            for _ in range(r.randrange(1, 5)):
+                words[r.randrange(len(words))] = word()
+    r.shuffle(rows)
+    want = plain_similar(rows, 5, 0.8)
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), size=5, similarity=0.8)
+    assert {x.doc_id for x in got.collect()} == want and len(want) < len(rows) - 20
+
+
+def test_similarity_of_hard_rows(spark):
+    kept = simhash.keep_one(cases.frame(spark), similarity=0.8)
+    assert kept.columns == cases.frame(spark).columns
+    assert sorted(str(x.doc_id) for x in kept.collect()) == sorted(map(str, [None, 1, 4, 8, 9, 10, 11]))
+    assert simhash.keep_one(cases.empty(spark), similarity=0.8).count() == 0
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, 100), (200, 201), (201, 200), (203, 202), (202, 201)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(chain, "u long, v long")).collect()}

@@ -203,6 +203,17 @@ def test_pipeline_against_plain_stages(spark):
     assert got == want and bad
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_near_copy_stage_against_plain_similarity(spark):
+    from tests.llm.test_documents import plain_similar
+
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = [(r.doc_id, r.text or "") for r in documents.select("doc_id", "text").collect()]
+    want = plain_similar(rows, 5, 0.8)
+    got = [r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash"](spark, documents, SF_DIR).collect()]
+    assert sorted(got) == sorted(want) and len(want) < len({t for _, t in rows})
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(30)
