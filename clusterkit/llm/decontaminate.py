@@ -31,7 +31,7 @@ Q, WINDOW, STEP, RATE = 12, 96, 32, 0.0625
 #: Characters of benchmark items that one scan carries, and of texts searched at a time.
 BLOCK_CHARS, SEGMENT = 4_000_000, 2_000_000
 
-_BREAK = 0x10FFFF  # between documents; a gram that holds it meets none of an item
+_BREAK = 0x10FFFF  # between documents; no gram of an item and no part of a text holds it
 
 
 @lru_cache(1)
@@ -148,7 +148,8 @@ def _candidates(code: np.ndarray, ix: Index) -> tuple[np.ndarray, np.ndarray]:
 
 def _align(code: np.ndarray, window: np.ndarray, low: np.ndarray, ix: Index):
     """Least edits that turn a window into a part of the text inside its band, and that part's
-    (start, end); rows of one alignment table for all candidates at a time."""
+    (start, end); rows of one alignment table for all candidates at a time. No part holds a break
+    or reaches beyond the text."""
     # Paths may leave the band's diagonals by the budget on either side.
     pad = int(ix.budget.max(initial=0)) + 1
     width = 4 * pad + 1
@@ -164,8 +165,10 @@ def _align(code: np.ndarray, window: np.ndarray, low: np.ndarray, ix: Index):
     best, where, start = np.full(n, far), np.zeros(n, np.int64), np.zeros(n, np.int64)
     for i in range(WINDOW):
         at = np.clip(base[:, None] + i + column + shift, 0, len(padded) - 1)
-        differ = padded[at] != ix.chars[window, i][:, None]
-        step = cost + differ  # same diagonal
+        here = padded[at]
+        outside = here >= _BREAK
+        step = cost + (here != ix.chars[window, i][:, None])  # same diagonal
+        step[outside] = far
         skip = np.full((n, width), far, np.int32)  # a window character left out
         skip[:, :-1] = cost[:, 1:] + 1
         from_skip = skip < step
@@ -173,7 +176,7 @@ def _align(code: np.ndarray, window: np.ndarray, low: np.ndarray, ix: Index):
         source = begin.copy()
         source[:, :-1] = np.where(from_skip[:, :-1], begin[:, 1:], begin[:, :-1])
         for c in range(1, width):  # a text character too many
-            more = step[:, c - 1] + 1 < step[:, c]
+            more = (step[:, c - 1] + 1 < step[:, c]) & ~outside[:, c]
             step[more, c] = step[more, c - 1] + 1
             source[more, c] = source[more, c - 1]
         cost, begin = step, source

@@ -45,6 +45,19 @@ def test_windows_within_the_budget_are_found_and_no_others():
     assert found > 30
 
 
+def test_a_match_stays_in_its_text():
+    r = random.Random(7)
+    for cut in range(1, 7):
+        for size in (96, 150):
+            item = "".join(r.choice("abcdefghijklmnop") for _ in range(size))
+            index = decontaminate.Index.of([(1, item)])
+            other = lambda: "".join(r.choice("qrstuvwxyz ") for _ in range(r.randrange(20, 60)))
+            texts = [other(), item[cut:], other(), item[:-cut], other(), item[cut // 2:len(item) - (cut - cut // 2)], other()]
+            got = decontaminate.matches(texts, index)
+            assert {m[0] for m in got} == {1, 3, 5}, cut
+            assert all(0 <= a < b <= len(texts[n]) for n, _, _, _, a, b in got)
+
+
 def test_contamination_of_hard_rows(spark):
     item = cases.PROSE.strip()
     rows = [*cases.TEXTS, (30, "so it goes " * 9 + item.upper().replace(",", " --") + " and on"), (31, "nothing of it here, " * 9)]
