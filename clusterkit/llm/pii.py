@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
-One Aho-Corasick pass over a text finds anchors: at-signs, schemes, digits after a dot or a plus,
-digits, and words that announce an identifier. At each anchor a parser for one kind expands to
+One Aho-Corasick pass over a text, A-Z lower-cased, finds anchors: at-signs, schemes, digits after a
+dot or a plus, digits, colons of addresses, and words that announce an identifier. At each anchor a parser for one kind expands to
 both sides, inside the bounds of what the kind can hold, and validates what it has. Nothing else of
 the text is looked at, and all expansion is deterministic.
 
@@ -46,19 +46,31 @@ _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]").match
 _wide_domain = re.compile(r"[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)+").match
 _spelled = re.compile(r" ?([A-Za-z0-9-]+(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]+)+)", re.I).match
 _login = re.compile(r"([^\s/?#@:]+:[^\s/?#@]+)@").match
+_suffix = r"(?:[_-](?:id|key|value|string|text|[0-9]{1,3})){0,2}"
 _lead = re.compile(r"(?:[ _-]?(?:number|no\.?|id|key))?[ \t]{0,3}[=:#]?[ \t]{0,3}[\"']?", re.I).match
-_assigned = re.compile(r"[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?([A-Za-z0-9_./+=-]{16,})").match
+_assigned = re.compile(_suffix + r"[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?([A-Za-z0-9_./+=-]{16,})", re.I | re.A).match
+_quoted = re.compile(_suffix + r"[\"']?[ \t]{0,3}[=:][ \t]{0,3}([\"'])((?:(?!\1)[^\r\n]){4,128})\1", re.I | re.A).match
+_password = re.compile(_suffix + r"[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?([^\s\"'<>,;]{4,})", re.I | re.A).match
+_eight = re.compile(
+    r"(?:[0-9A-F]{1,4}:){6}(?:[0-9A-F]{1,4}:[0-9A-F]{1,4}(?![0-9A-Z])|(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}"
+    r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?![0-9A-Z]|\.[0-9]))(?!:[0-9A-F:])", re.I | re.A).match
+_group_before = re.compile(r"(?:^|[^0-9A-Z])(?:[0-9A-F]{1,4})?:$", re.I).search
 _iban = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}").match
 _ssn = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])").match
 _account = re.compile(r"[0-9](?:[ -]?[0-9]){5,16}(?![0-9])").match
 
-# The words that announce an identifier, in lower case.
+# The words that announce an identifier, in lower case. A password is short and of any characters.
 CUES = {
     "iban": ["iban"],
     "ssn": ["ssn", "social security"],
     "account": ["account", "acct", "konto", "compte", "cuenta"],
-    "secret": ["token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "private_key"],
+    "secret": ["token", "secret", "api_key", "apikey", "api-key", "api key", "access_key", "access-key", "access key",
+               "private_key", "private-key", "secret_key", "secret-key", "secret key"],
+    "password": ["password", "passwd", "passphrase", "pwd"],
 }
+#: Of anchors that are not named after what they find.
+ANNOUNCED = {"password": "secret", "ipv6_full": "ipv6"}
+_UPPER = {c: c + 32 for c in range(65, 91)}
 
 
 @lru_cache(1)
@@ -70,12 +82,14 @@ def anchors():
         words[d] = {"card"}
         words["." + d] = {"ip"}
         words["+" + d] = {"phone"}
-    for at in ("[at]", "(at)", "[AT]", "(AT)"):
+    for at in ("[at]", "(at)"):
         words[at] = {"email_spelled"}
+    for a in "0123456789abcdef":
+        for b in "0123456789abcdef":
+            words[f"{a}:{b}"] = {"ipv6_full"}
     for kind, cues in CUES.items():
         for cue in cues:
-            for form in (cue, cue.upper(), cue.capitalize()):
-                words.setdefault(form, set()).add(kind)
+            words.setdefault(cue, set()).add(kind)
     automaton = ahocorasick.Automaton()
     for word, kinds in words.items():
         for kind in kinds:
@@ -113,8 +127,10 @@ def find(text: str) -> list[tuple[str, int, int]]:
         if good:
             found.append((kind, a, b))
 
-    for last, (kind, size) in anchors().iter(text):
+    # Lower-cased in ASCII alone, so that places are those of the text.
+    for last, (cue, size) in anchors().iter(text.lower() if text.isascii() else text.translate(_UPPER)):
         at = last + 1 - size  # where the anchor starts
+        kind = ANNOUNCED.get(cue, cue)
         if at < end[kind]:
             continue
         if kind == "card":
@@ -138,6 +154,8 @@ def find(text: str) -> list[tuple[str, int, int]]:
         elif kind == "login":
             if m := _login(text, last + 1):
                 add(kind, m.start(1), m.end(1))
+        elif cue == "ipv6_full":
+            _ipv6_full(text, at, end, add)
         elif kind == "ipv6":
             _ipv6(text, at, end, add)
         elif kind == "email_spelled":
@@ -145,6 +163,11 @@ def find(text: str) -> list[tuple[str, int, int]]:
             a = _left(text, b, end[kind], LOCAL)
             if a < b and (m := _spelled(text, last + 1)):
                 add(kind, a, m.end())
+        elif cue == "password":
+            if m := _quoted(text, last + 1):
+                add(kind, m.start(2), m.end(2))
+            elif m := _password(text, last + 1):
+                add(kind, m.start(1), m.end(1))
         elif kind == "secret":
             if m := _assigned(text, last + 1):
                 add(kind, m.start(1), m.end(1))
@@ -177,6 +200,13 @@ def _ipv6(text: str, at: int, end: dict[str, int], add) -> None:
         add("ipv6", a, a + len(part))
 
 
+def _ipv6_full(text: str, at: int, end: dict[str, int], add) -> None:
+    """An address without "::", which has its own anchor: whole groups, no more around them."""
+    a = _left(text, at, max(end["ipv6"], at - 4), HEX - {":", "."})
+    if (m := _eight(text, a)) and not (a and text[a - 1].isalnum()) and not _group_before(text[max(0, a - 6):a]):
+        add("ipv6", a, m.end())
+
+
 def _announced(text: str, kind: str, at: int, add) -> None:
     start = _lead(text, at).end()
     if kind == "iban":
