@@ -3,7 +3,9 @@
 A small network sees the two words before and the two after a place, never the word itself, and
 gives a probability for every word of the vocabulary. A document's score is the sum of the log
 probabilities of all its words. The vocabulary is the most frequent words of the whole corpus;
-all others share buckets by their last two bytes. The output is a softmax over classes, then over
+all others share buckets by their last two bytes, and such a word's probability is the bucket's
+times the word's share of it: its count, of the bucket's count and number of words. What that
+leaves is for words that were not counted, spelled in bytes of equal probability. The output is a softmax over classes, then over
 the members of the word's class, so a word costs two small softmaxes and probabilities sum to one.
 
 Training covers every document once. The corpus is cut by a hash of the text into as many parts as
@@ -15,6 +17,7 @@ task and the driver hold one network at a time.
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections.abc import Iterator
@@ -27,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clusterkit.llm.common import BATCH_ROWS, id_and_text, map_rows, written
+from clusterkit.scratch import shared_dir
 
 CLASSES, MEMBERS = 64, 64
 BUCKETS = 96
@@ -40,6 +44,7 @@ STEP, LONG_WORD = 16384, 64
 #: several times that: small partitions are joined until it does.
 TASK_WORDS = 500_000
 
+COUNTS = "word string, n long"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -51,14 +56,20 @@ class Vocabulary:
     bucket_ids: list[int]
     log_share: np.ndarray
     words: int = 0  # of the whole corpus
+    counts: str = ""  # the table of words and their counts
+    bucket_count: np.ndarray | None = None  # of each bucket, of words outside the vocabulary
+    bucket_words: np.ndarray | None = None  # and how many different ones
 
-    def stream(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words, two pads around each text, and the number of words of each text."""
+    def stream(self, texts: list[str], rare: list[list[str]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, two pads around each text, and the number of words of each text. The
+        words of each text that are in buckets are appended to ``rare``."""
         pads, out, count = [PAD, PAD], [PAD, PAD], []
         get = self.ids.get
         for text in texts:
             words = text.encode().lower().split()
             found = list(map(get, words))
+            if rare is not None:
+                rare.append([w.decode("utf-8", "surrogatepass") for i, w in zip(found, words) if i is None])
             if None in found:
                 buckets = self.bucket_ids
                 found = [i if i is not None else buckets[zlib.crc32(w[-2:]) % BUCKETS]
@@ -77,8 +88,9 @@ def count_words(docs: DataFrame) -> Vocabulary:
     own most frequent ones each. Beside them it gets one count for each bucket.
     """
     word = F.explode(F.split(F.translate("text", _UPPER, _UPPER.lower()), r"[\x20\x09-\x0D]+")).alias("word")
-    counts = written(docs.select(word).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n")), "lm-words")
-    tail = F.expr("substring(encode(word, 'UTF-8'), -2, 2)")
+    path = shared_dir(docs.sparkSession, "lm-words")
+    docs.select(word).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n")).write.parquet(path)
+    counts = docs.sparkSession.read.schema(COUNTS).parquet(path)
     short = counts.filter(F.octet_length("word") <= LONG_WORD)
     order = F.floor(F.log2("n") * 4).cast("int")
     least, found = 0, 0
@@ -88,9 +100,11 @@ def count_words(docs: DataFrame) -> Vocabulary:
             break
     likely = short.filter(order >= least)
     top = [(r.word.encode(), r.n) for r in likely.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
-    rest = {r.b: r.n for r in counts.groupBy(F.pmod(F.crc32(tail), F.lit(BUCKETS)).alias("b")).agg(F.sum("n").alias("n")).collect()}
+    of_bucket = counts.groupBy(_bucket().alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()
+    rest, kinds = {r.b: r.n for r in of_bucket}, {r.b: r.kinds for r in of_bucket}
     for w, n in top:
         rest[zlib.crc32(w[-2:]) % BUCKETS] -= n
+        kinds[zlib.crc32(w[-2:]) % BUCKETS] -= 1
     entries = [(n, 0, w) for w, n in top] + [(rest.get(b, 0), 1, b) for b in range(BUCKETS)]
     entries.sort(key=lambda e: (-e[0], e[1], e[2] if e[1] else 0, e[2] if not e[1] else b""))
     ids, buckets = {}, [0] * BUCKETS
@@ -103,7 +117,25 @@ def count_words(docs: DataFrame) -> Vocabulary:
             buckets[what] = i
         else:
             ids[what] = i
-    return Vocabulary(ids, buckets, np.log(share / share.sum()), sum(n for n, *_ in entries))
+    each = (np.array([x.get(b, 0) for b in range(BUCKETS)], float) for x in (rest, kinds))
+    return Vocabulary(ids, buckets, np.log(share / share.sum()), sum(n for n, *_ in entries), path, *each)
+
+
+def _bucket():
+    tail = F.expr("substring(encode(word, 'UTF-8'), -2, 2)")
+    return F.pmod(F.crc32(tail), F.lit(BUCKETS)).cast("int")
+
+
+def _log_share_of_bucket(vocab: Vocabulary):
+    """Of columns word and n (null: not counted), the log probability of the word in its bucket.
+
+    Witten-Bell: words not counted have as much as the number of different words counted, and a
+    string of k bytes has 1 / 257^(k + 1) of it, which sums to one.
+    """
+    total = np.maximum(vocab.bucket_count + vocab.bucket_words, 1)
+    of = lambda x: F.element_at(F.array(*map(F.lit, np.log(x).tolist())), _bucket() + 1)
+    unseen = of(np.maximum(vocab.bucket_words, 1)) - (F.octet_length("word") + 1) * math.log(257)
+    return F.coalesce(F.log("n"), unseen) - of(total)
 
 
 class Network:
@@ -300,25 +332,36 @@ def lm_scores(docs: DataFrame, rounds: int = 2, fitted: tuple[Vocabulary, Networ
     columns are not read, an empty table gives no rows.
     """
     vocab, net = fitted or fit(docs, rounds, id_col, text_col)
-    shipped = docs.sparkSession.sparkContext.broadcast((vocab, net.parts))
+    spark = docs.sparkSession
+    shipped = spark.sparkContext.broadcast((vocab, net.parts))
 
     def make():
         words_of, parts = shipped.value
         model = Network(parts)
+        task = TaskContext.get().partitionId() << 33
+        rows = itertools.count(task)
 
         def work(batch: pa.RecordBatch) -> list:
-            stream, count = words_of.stream(batch.column("text").to_pylist())
+            rare: list[list[str]] = []
+            stream, count = words_of.stream(batch.column("text").to_pylist(), rare)
             each = [model.log_probability(w, t) for w, t in windows(stream)]
             ends = np.append(0, np.cumsum(np.concatenate(each) if each else np.zeros(0)))
             at = np.append(0, np.cumsum(count))
             total = ends[at[1:]] - ends[at[:-1]]
-            mean = [s / n if n else None for s, n in zip(total.tolist(), count.tolist())]
-            return [batch.column("doc_id"), count, total, mean]
+            return [batch.column("doc_id"), list(itertools.islice(rows, len(count))), count, total, rare]
 
         return work
 
-    return map_rows(
+    # Written, so that a row keeps its number while its rare words meet their counts.
+    scored = written(map_rows(
         id_and_text(docs, id_col, text_col), make,
-        "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double",
-        pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_likelihood", pa.float64()),
-                   ("mean_log_likelihood", pa.float64())]))
+        "doc_id long, row long, n_words long, total double, rare array<string>",
+        pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("total", pa.float64()),
+                   ("rare", pa.list_(pa.string()))])), "lm-scored")
+    counts = spark.read.schema(COUNTS).parquet(vocab.counts)
+    rare = scored.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
+    inside = rare.groupBy("row").agg(F.sum(_log_share_of_bucket(vocab)).alias("inside"))
+    score = F.col("total") + F.coalesce("inside", F.lit(0.0))
+    return scored.select("doc_id", "row", "n_words", "total").join(inside, "row", "left").select(
+        "doc_id", "n_words", score.alias("log_likelihood"),
+        F.when(F.col("n_words") > 0, score / F.col("n_words")).alias("mean_log_likelihood"))

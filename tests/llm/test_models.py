@@ -2,6 +2,7 @@
 
 import os
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -176,6 +177,36 @@ def test_scores_are_sums_over_words(prose):
     assert got.n_words == len(ids) and got.log_likelihood == pytest.approx(total, rel=1e-5)
 
 
+def test_words_of_a_bucket_have_their_share(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "WORDS", 3)
+    r = random.Random(9)
+    rare = {f"w{k}ing": 1 + k % 5 for k in range(40)} | {"é": 2, "語語": 3, "x" * 100: 1}
+    words = ["the"] * 300 + ["dog"] * 200 + ["cat"] * 100 + [w for w, n in rare.items() for _ in range(n)]
+    r.shuffle(words)
+    docs = spark.createDataFrame([(k, " ".join(words[k::7])) for k in range(7)], "doc_id long, text string")
+    vocab, net = lm_score.fit(docs)
+    assert len(vocab.ids) == 3
+    group = lambda w: zlib.crc32(w.encode()[-2:]) % lm_score.BUCKETS
+
+    def inside(w):
+        total = sum(n for v, n in rare.items() if group(v) == group(w))
+        kinds = sum(group(v) == group(w) for v in rare)
+        if w in rare:
+            return np.log(rare[w] / (total + kinds))
+        return np.log(max(kinds, 1) / max(total + kinds, 1)) - (len(w.encode()) + 1) * np.log(257)
+
+    texts = [docs.filter("doc_id = 3").first().text, "the w4ing dog", "the w0ing dog", "the zqxing dog", "the zq dog"]
+    held = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in lm_score.lm_scores(held, fitted=(vocab, net)).collect()}
+    for k, text in enumerate(texts):
+        stream, _ = vocab.stream([text])
+        network = sum(net.log_probability(w, t).sum() for w, t in lm_score.windows(stream))
+        want = network + sum(inside(w) for w in text.split() if w.encode() not in vocab.ids)
+        assert got[k].log_likelihood == pytest.approx(want, rel=1e-6)
+    # Of one bucket: frequent, rare, never seen.
+    assert got[1].log_likelihood > got[2].log_likelihood + 1 > got[3].log_likelihood + 10
+
+
 def test_gradient_is_that_of_the_loss(prose):
     vocab, net = lm_score.fit(prose)
     rng = np.random.default_rng(3)
