@@ -13,6 +13,7 @@ from clusterkit.llm.decontaminate import contamination
 from clusterkit.llm.lm_score import lm_scores
 from clusterkit.llm.pii import pii_digest
 from clusterkit.llm.quality import quality_report
+from clusterkit.llm.repair import damaged, repair_report, turns
 from clusterkit.llm.repeats import drop_repeats
 from clusterkit.llm.simhash import simhash_classes
 from clusterkit.llm.token_counts import token_counts
@@ -67,6 +68,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(damaged(turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality_cascade": op2_quality_cascade,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_trees": op8_url_trees,
     "op9_repeats": op9_repeats,
     "op10_lm_score": op10_lm_score,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 # The cascade's order changes no verdict, so a plain conjunction says the same.
