@@ -18,6 +18,7 @@ from clusterkit.llm.repeats import drop_repeats
 from clusterkit.llm.simhash import simhash_classes
 from clusterkit.llm.token_counts import token_counts
 from clusterkit.llm.token_files import token_files_digest
+from clusterkit.llm.top_k import top_k, whole_vectors
 from clusterkit.llm.url_filter import judge_urls
 
 
@@ -72,6 +73,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(damaged(turns(table(spark, sf_dir, "conversations"))))
 
 
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(whole_vectors(table(spark, sf_dir, "embeddings"), scale=64), lambda i: i % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality_cascade": op2_quality_cascade,
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repeats": op9_repeats,
     "op10_lm_score": op10_lm_score,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_top_k": op12_top_k,
 }
 
 # The cascade's order changes no verdict, so a plain conjunction says the same.
@@ -147,5 +153,18 @@ WITH d AS (
 SELECT doc_id, n_bytes, n_removed, n_spans, sha256(list_reduce(pieces, lambda x, y: x || y)) AS kept_sha256 FROM kept
 """
 
+_TOP_K = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+    FROM v q JOIN v d ON q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id AND len(d.v) = len(q.v)
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+WHERE rank <= 20
+"""
+
 #: The others cannot be put in SQL; tests/llm holds them against brute force.
-SQL: dict[str, str] = {"op2_quality_cascade": _QUALITY, "op9_repeats": _REPEATS}
+SQL: dict[str, str] = {"op2_quality_cascade": _QUALITY, "op9_repeats": _REPEATS, "op12_top_k": _TOP_K}
