@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clusterkit.llm.alignment import alignment_report
 from clusterkit.llm.bpe_trie import bpe_digest
 from clusterkit.llm.common import table
 from clusterkit.llm.decontaminate import contamination
@@ -22,11 +23,11 @@ from clusterkit.llm.top_k import top_k, whole_vectors
 from clusterkit.llm.url_filter import judge_urls
 
 
-def vocabulary_path() -> str:
-    """The vocabulary file, from the installed package of public tokenizers."""
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file, from the installed package of public tokenizers."""
     import public_tokenizers
 
-    return os.path.realpath(public_tokenizers.path("byte_bpe_50k.json"))
+    return os.path.realpath(public_tokenizers.path(name))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +78,10 @@ def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(whole_vectors(table(spark, sf_dir, "embeddings"), scale=64), lambda i: i % 20 == 0, k=20)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(table(spark, sf_dir, "documents"), vocabulary_path(), vocabulary_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality_cascade": op2_quality_cascade,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_score": op10_lm_score,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_top_k": op12_top_k,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # The cascade's order changes no verdict, so a plain conjunction says the same.
