@@ -13,11 +13,13 @@ TRADES = [trade_values(i) for i in range(10)]
 
 
 def trade_line(row: tuple, trade_id: str, tail: str = ",,,") -> str:
+    """A line of 28 fields; those without a column in ``row`` are named after their place."""
     day, quantity, counterparty, version, effective = row
-    return (
-        f"{day},Swap,{trade_id},BOOK,{counterparty},{day},{quantity},USD,,S,20150326,20150326 23:31:48,"
-        f"{version},S_USD_Swap,{effective},LE,DESK,,{quantity},{quantity},Amend,,,ACCEPT,{tail}"
-    )
+    fields = [f"F{i}" for i in range(24)]
+    fields[0], fields[2], fields[4], fields[5], fields[6] = day, trade_id, counterparty, day, quantity
+    fields[12], fields[14], fields[18], fields[19] = version, effective, quantity, quantity
+    fields[8] = fields[17] = fields[21] = fields[22] = ""
+    return ",".join(fields) + "," + tail
 
 
 TRADE_LINES = [trade_line(row, f"T{i}") for i, row in enumerate(TRADES)]

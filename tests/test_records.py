@@ -74,14 +74,14 @@ def test_tab_separated_numbers(spark):
 
 
 def test_network_record(spark):
-    line = ",".join(["0", "tcp", "http", "SF", *["181"] * 37, "normal."])
+    line = ",".join(["0", "one", "two", "three", *["181"] * 37, "plain."])
     row = parse_records(lines(spark, [line, "one damaged line"]), NETWORK_RECORD).collect()
-    assert len(row) == 1 and row[0]["label"] == "normal." and row[0]["f4"] == 181.0
+    assert len(row) == 1 and row[0]["label"] == "plain." and row[0]["f4"] == 181.0
 
 
 def test_last_nonempty_field_counts(spark):
     counted = value_counts(lines(spark, [*TRADE_LINES, "a,b", "a,b,,", "c"]), last_nonempty_field(F.col("value")))
-    assert [(r["value"], r["count"]) for r in counted.collect()] == [("ACCEPT", 10), ("b", 2), ("c", 1)]
+    assert [(r["value"], r["count"]) for r in counted.collect()] == [("F23", 10), ("b", 2), ("c", 1)]
 
 
 def test_reserved_field_names_are_refused():
