@@ -48,7 +48,18 @@ def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._written_path = path
+    return found
+
+
+def drop_written(*frames: DataFrame) -> None:
+    """Remove the folders of frames that ``written`` gave and that nothing reads any more, as all that
+    was made from them is written itself."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame._written_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def hashed(columns: list[str]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clusterkit.llm.common import written
+from clusterkit.llm.common import drop_written, written
 
 
 def _state(pairs: DataFrame) -> tuple:
@@ -34,7 +34,9 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         large = written(large, "components")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        before = pairs
         pairs = written(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), "components")
+        drop_written(before, large)
         now = _state(pairs)
         if now == state:
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(

@@ -232,14 +232,14 @@ def test_scores_of_hard_rows(spark):
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 def test_pipeline_against_plain_stages(spark):
     from clusterkit.llm import pii, quality
-    from tests.llm.test_documents import plain_classes, plain_fingerprint
+    from tests.llm.test_documents import plain_similar
     import hashlib
 
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
     rows = [(i, t) for i, t in rows if not any(rule.rejects(quality.Text(t)) for rule in quality.RULES)]
-    classes = plain_classes([(i, plain_fingerprint(t, 5)) for i, t in rows])
-    rows = [(i, t) for (i, t), (_, _, c) in zip(rows, classes) if i == c]
+    stay = plain_similar(rows, 5, 0.8)  # the rule of the stage: one of each group at similarity 0.8
+    rows = [(i, t) for i, t in rows if i in stay]
     index = decontaminate.Index.of([(r.item_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()])
     bad = {n for n, *_ in decontaminate.matches([t for _, t in rows], index)}
     want = {i: hashlib.sha256(pii.masked(t).encode()).hexdigest() for n, (i, t) in enumerate(rows) if n not in bad}
