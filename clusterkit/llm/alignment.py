@@ -34,7 +34,7 @@ from clusterkit.llm.common import BATCH_ROWS, id_and_text, written
 from clusterkit.llm.pretoken import vocabulary
 
 #: Characters of a chunk at least, unless the task has fewer: bounds memory, but for a longer document.
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 2_000_000
 
 # Fixed value: the pattern by which the public byte-level tokenizer cuts a text.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
