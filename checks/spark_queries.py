@@ -254,20 +254,20 @@ def seeded_default_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seeded_best_of_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The careful fit: ten seeds sharing their scans."""
     with kept(far_apart(spark, sf_dir, THREE_GROUPS).select("features")) as features:
-        return _by_first(spark, fit_best_of_ten(features, 3, workers=4))
+        return _by_first(spark, fit_best_of_ten(features, 3))
 
 
 def seeded_careful_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The careful fit's mean distance in a sweep without given starts."""
     with kept(far_apart(spark, sf_dir, THREE_GROUPS).select("features")) as features:
-        return rounded(sweep_mean_distance(features, [1, 3], workers=2), "score")
+        return rounded(sweep_mean_distance(features, [1, 3]), "score")
 
 
 def seeded_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """150 clusters from k-means||, and the rows beyond the hundredth distance."""
     rows = far_apart(spark, sf_dir, ANOMALY_GROUPS)
     with kept(rows.select("features")) as features:
-        detector = fit_detector(features, ANOMALY_CLUSTERS, workers=4)
+        detector = fit_detector(features, ANOMALY_CLUSTERS)
     return detector.anomalies(rows).select("l_orderkey", "l_linenumber", r4("distance").alias("distance"))
 
 
@@ -350,7 +350,7 @@ def default_job_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def restarts_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k-means|| seeding, ten restarts."""
     with kept(embedding_features(spark, sf_dir).select("features")) as features:
-        return rounded(sweep_mean_distance(features, [1, 2, 10], workers=4), "score")
+        return rounded(sweep_mean_distance(features, [1, 2, 10]), "score")
 
 
 def anomalies_fixed_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,7 +370,7 @@ def anomalies_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """150 clusters from k-means||."""
     rows = embedding_features(spark, sf_dir)
     with kept(rows.select("features")) as features:
-        detector = fit_detector(features, ANOMALY_CLUSTERS, workers=4)
+        detector = fit_detector(features, ANOMALY_CLUSTERS)
     return detector.anomalies(rows).select("vec_id", "cluster", r6("distance").alias("distance"))
 
 

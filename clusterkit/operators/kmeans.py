@@ -1,7 +1,8 @@
-"""K-means: Spark ML fits with restarts, fixed-start fits, assignment and distances.
+"""K-means: seeded and fixed-start fits, assignment and distances, on arrays and on sparse vectors.
 
 Many clusterings of the same rows (a sweep over K, restarts) share each scan: they are the
-"runs" of one pass. What a pass brings back is one row per run and cluster.
+"runs" of one pass. What a pass brings back is one row per run and cluster. Seeding is shared in the
+same way (``seeding.py``).
 
 Assignment has two forms, chosen by the number of coordinates in all centers (cells):
 
@@ -9,7 +10,8 @@ Assignment has two forms, chosen by the number of coordinates in all centers (ce
   100 cells take 0.3 s; the same with 200 cells takes 5 s, as the generated method becomes too
   large for the JIT compiler, so the bound is below that. Several runs in one method meet the
   same limit early (30 cells in four runs: 2.5 s per pass, most of it compilation);
-* all else: one matrix product per Arrow batch, 0.6 s at 500 cells.
+* all else: matrix products in Arrow batches, 0.6 s at 500 cells. Sparse rows come as compressed rows
+  (values, columns, starts) and meet the centers in the columns they have.
 
 Neither joins rows to centers, so nothing is shuffled but the per-cluster sums.
 """
@@ -17,19 +19,18 @@ Neither joins rows to centers, so nothing is shuffled but the per-cluster sums.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager, nullcontext
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clusterkit.functions import sqltext as q
 from clusterkit.functions.fields import k_rule_of_thumb, once
@@ -37,8 +38,10 @@ from clusterkit.functions.vectors import euclidean, squared_distances_text
 from clusterkit.operators.normalise import feature_width
 
 MAX_UNROLLED_CELLS = 96
-# Models travel with the tasks and are summed on the driver: 16 million doubles are 128 MB.
-MAX_MODEL_CELLS = 16_000_000
+# Models travel with the tasks and are summed on the driver: 64 million doubles are 512 MB. Runs that
+# are more together take their scans in groups.
+MAX_MODEL_CELLS = 64_000_000
+GROUP_CELLS = 8_000_000
 
 # Fixed values of the default and of the careful fit.
 DEFAULT_K = 2
@@ -58,7 +61,6 @@ class Clustering:
     centers: np.ndarray
     weights: np.ndarray | None = None
     cost: float | None = None
-    ml: KMeansModel | None = field(default=None, compare=False)
 
     @property
     def k(self) -> int:
@@ -109,36 +111,19 @@ def _unrolls(runs: Mapping[int, np.ndarray]) -> bool:
     return _cells(runs) <= MAX_UNROLLED_CELLS and len(runs) == 1
 
 
-def _nearest_rows() -> Callable:
-    """The Arrow form's helper, as a closure so that workers need no copy of this package."""
+def _kernel(width: int, sparse: bool) -> tuple[Callable, Callable, Callable, Callable]:
+    """The Arrow form's helpers, as closures so that workers need no copy of this package:
+
+    ``read(column)``: rows and which of them are usable;
+    ``take(rows, which)``: those rows;
+    ``nearest(rows, centers)``: nearest center (the lower id on a tie) and squared distance;
+    ``sums(rows, cluster, weight, k)``: sums of weighted rows by cluster.
+    """
     import numpy as np
 
-    def nearest(x, centers):
-        # |x|^2 - 2xc + |c|^2 rounds, so rows where two centers come out close are measured again.
-        origin = centers.mean(axis=0)
-        xs, cs = x - origin, centers - origin
-        x2, c2 = (xs * xs).sum(axis=1), (cs * cs).sum(axis=1)
-        rough = x2[:, None] - 2.0 * (xs @ cs.T) + c2[None, :]
-        cluster = rough.argmin(axis=1)
-        if len(centers) > 1:
-            margin = 1e-9 * (x2 + c2.max())
-            best = rough[np.arange(len(x)), cluster]
-            unsure = np.flatnonzero((rough <= (best + margin)[:, None]).sum(axis=1) > 1)
-            for start in range(0, len(unsure), 256):
-                rows = unsure[start:start + 256]
-                gaps = x[rows][:, None, :] - centers[None, :, :]
-                cluster[rows] = (gaps * gaps).sum(axis=2).argmin(axis=1)
-        gap = x - centers[cluster]
-        return cluster, (gap * gap).sum(axis=1)
-
-    return nearest
-
-
-def _matrix(width: int) -> Callable:
-    """Arrow arrays of doubles to a matrix and the rows of it that are usable, as closures."""
-    def matrix(column):
-        import numpy as np
+    TILE = 2_000_000  # products held at a time
 
+    def read_arrays(column):
         lengths = np.diff(column.offsets.to_numpy())
         values = column.values.to_numpy(zero_copy_only=False).astype(float)
         if not column.null_count and (lengths == width).all():
@@ -151,11 +136,146 @@ def _matrix(width: int) -> Callable:
             x[good] = values[begin[:, None] + np.arange(width)]
         return x, ~np.isnan(x).any(axis=1)
 
-    return matrix
+    def read_vectors(column):
+        # Structs of type (0: sparse), size, indices, values; a dense one has all columns.
+        kind = column.field("type").fill_null(1).to_numpy(zero_copy_only=False)
+        listed, held = column.field("indices"), column.field("values")
+        count = np.diff(held.offsets.to_numpy()) * held.is_valid().to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(count)])
+        values = held.flatten().to_numpy(zero_copy_only=False).astype(float)
+        columns = np.arange(starts[-1]) - np.repeat(starts[:-1], count)
+        columns[np.repeat(kind == 0, count)] = listed.flatten().to_numpy(zero_copy_only=False)
+        size = np.where(kind == 0, column.field("size").fill_null(-1).to_numpy(zero_copy_only=False), count)
+        bad = np.zeros(len(column), dtype=bool)
+        bad[np.repeat(np.arange(len(column)), count)[np.isnan(values)]] = True
+        valid = column.is_valid().to_numpy(zero_copy_only=False) & held.is_valid().to_numpy(zero_copy_only=False)
+        return (values, columns, starts), valid & ~bad & (size == width)
+
+    def take_vectors(rows, which):
+        values, columns, starts = rows
+        which = np.flatnonzero(which) if which.dtype == bool else which
+        count = (starts[1:] - starts[:-1])[which]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        place = np.arange(ends[-1]) - np.repeat(ends[:-1], count) + np.repeat(starts[:-1][which], count)
+        return values[place], columns[place], ends
+
+    def by_row(products, starts):
+        """Sums of the stretches between starts, of which some are empty."""
+        out = np.zeros((len(starts) - 1, *products.shape[1:]))
+        some = starts[1:] > starts[:-1]
+        if some.any():
+            out[some] = np.add.reduceat(products, starts[:-1][some], axis=0)
+        return out
+
+    def dense(rows):
+        values, columns, starts = rows
+        x = np.zeros((len(starts) - 1, width))
+        x[np.repeat(np.arange(len(x)), np.diff(starts)), columns] = values
+        return x
+
+    def products(rows, turned, origin):
+        # turned: centers less the origin, a column each; the shift of the rows is their product, too
+        if not sparse:
+            return (rows - origin) @ turned
+        values, columns, starts = rows
+        out = np.empty((len(starts) - 1, turned.shape[1]))
+        most = max(1, TILE // turned.shape[1])
+        a = 0
+        while a < len(out):
+            b = max(a + 1, int(np.searchsorted(starts, starts[a] + most, side="right")) - 1)
+            b = min(b, len(out))
+            part = slice(starts[a], starts[b])
+            out[a:b] = by_row(values[part, None] * turned[columns[part]], starts[a:b + 1] - starts[a])
+            a = b
+        return out
+
+    def nearest(rows, centers):
+        # |x|^2 - 2xc + |c|^2 rounds, so rows where two centers come out close are measured again.
+        # Centers are taken in tiles, with the two least values so far.
+        n = len(rows[2]) - 1 if sparse else len(rows)
+        origin = np.zeros(width) if sparse else centers.mean(axis=0)
+        x2 = by_row(rows[0] ** 2, rows[2]) if sparse else ((rows - origin) ** 2).sum(axis=1)
+        best, second, cluster = np.full(n, np.inf), np.full(n, np.inf), np.zeros(n, dtype="int64")
+        step = max(1, min(len(centers), TILE // max(1, n), TILE * 4 // max(1, width)))
+        largest = 0.0
+        tiles = [(c0, centers[c0:c0 + step]) for c0 in range(0, len(centers), step)]
+        for c0, some in tiles:
+            cs = some - origin
+            c2 = (cs * cs).sum(axis=1)
+            largest = max(largest, c2.max())
+            rough = x2[:, None] - 2.0 * products(rows, np.ascontiguousarray(cs.T), origin) + c2[None, :]
+            at = rough.argmin(axis=1)
+            low = rough[np.arange(n), at]
+            rough[np.arange(n), at] = np.inf
+            next_ = rough.min(axis=1)
+            second = np.minimum(np.maximum(best, low), np.minimum(second, next_))
+            cluster = np.where(low < best, at + c0, cluster)
+            best = np.minimum(best, low)
+        margin = 1e-9 * (x2 + largest)
+        unsure = np.flatnonzero(second <= best + margin)
+        for start in range(0, len(unsure), 256):
+            which = unsure[start:start + 256]
+            part = take(rows, which)
+            full = dense(part) if sparse else part
+            low, winner = np.full(len(which), np.inf), np.zeros(len(which), dtype="int64")
+            for c0, some in tiles:
+                cs = some - origin
+                rough = x2[which, None] - 2.0 * products(part, np.ascontiguousarray(cs.T), origin) + (cs * cs).sum(axis=1)[None, :]
+                r, c = np.nonzero(rough <= (best[which] + margin[which])[:, None])
+                for begin in range(0, len(r), max(1, TILE // max(1, width))):
+                    rr, cc = r[begin:begin + TILE // max(1, width) + 1], c[begin:begin + TILE // max(1, width) + 1]
+                    gap = full[rr] - some[cc]
+                    d2 = (gap * gap).sum(axis=1)
+                    order = np.lexsort((cc, d2, rr))
+                    first = order[np.concatenate([[True], rr[order][1:] != rr[order][:-1]])]
+                    better = d2[first] < low[rr[first]]
+                    first = first[better]
+                    low[rr[first]], winner[rr[first]] = d2[first], cc[first] + c0
+            cluster[which] = winner
+        if not sparse:
+            gap = rows - centers[cluster]
+            return cluster, (gap * gap).sum(axis=1)
+        values, columns, starts = rows
+        mine = centers[np.repeat(cluster, np.diff(starts)), columns]
+        c2 = (centers * centers).sum(axis=1)[cluster]
+        return cluster, by_row((values - mine) ** 2, starts) + np.maximum(0.0, c2 - by_row(mine * mine, starts))
+
+    def take(rows, which):
+        return take_vectors(rows, which) if sparse else rows[which]
+
+    def sums(rows, cluster, weight, total):
+        if not sparse:
+            order = np.argsort(cluster, kind="stable")
+            present, first = np.unique(cluster[order], return_index=True)
+            if len(present):
+                x = rows[order] if weight is None else rows[order] * weight[order, None]
+                total[present] += np.add.reduceat(x, first, axis=0)
+            return
+        values, columns, starts = rows
+        count = np.diff(starts)
+        if weight is not None:
+            values = values * np.repeat(weight, count)
+        cell = np.repeat(cluster, count) * width + columns
+        order = np.argsort(cell, kind="stable")
+        present, first = np.unique(cell[order], return_index=True)
+        if len(present):
+            total.ravel()[present] += np.add.reduceat(values[order], first)
+
+    return (read_vectors if sparse else read_arrays), take, nearest, sums
+
+
+def is_vector(df: DataFrame, features: str) -> bool:
+    """Whether the features are vectors, as such or as the structs they are made of."""
+    return isinstance(df.schema[features].dataType, (VectorUDT, T.StructType))
+
+
+def arrow_features(df: DataFrame, features: str) -> Column:
+    """The features as the Arrow form reads them: arrays, or vectors as structs."""
+    return F.unwrap_udt(features) if isinstance(df.schema[features].dataType, VectorUDT) else F.col(features)
 
 
-def _nearest_arrow(runs: Mapping[int, np.ndarray], width: int) -> Callable:
-    nearest, matrix = _nearest_rows(), _matrix(width)
+def _nearest_arrow(runs: Mapping[int, np.ndarray], width: int, sparse: bool) -> Callable:
+    read, take, nearest, _ = _kernel(width, sparse)
     labels = np.array(list(runs), dtype="int32")
     all_centers = list(runs.values())
 
@@ -163,21 +283,22 @@ def _nearest_arrow(runs: Mapping[int, np.ndarray], width: int) -> Callable:
         import numpy as np
         import pyarrow as pa
 
-        x, usable = matrix(features)
-        clusters = np.zeros((len(x), len(labels)), dtype="int32")
-        distances = np.zeros((len(x), len(labels)))
+        x, usable = read(features)
+        clusters = np.zeros((len(usable), len(labels)), dtype="int32")
+        distances = np.zeros((len(usable), len(labels)))
         if usable.any():
+            some = take(x, usable)
             for i, centers in enumerate(all_centers):
-                clusters[usable, i], squared = nearest(x[usable], centers)
+                clusters[usable, i], squared = nearest(some, centers)
                 distances[usable, i] = np.sqrt(squared)
         none = np.repeat(~usable, len(labels))
         entries = pa.StructArray.from_arrays(
-            [pa.array(np.tile(labels, len(x))), pa.array(clusters.ravel(), mask=none),
+            [pa.array(np.tile(labels, len(usable))), pa.array(clusters.ravel(), mask=none),
              pa.array(distances.ravel(), mask=none)],
             names=["run", "cluster", "distance"],
         )
-        offsets = np.arange(0, (len(x) + 1) * len(labels), len(labels), dtype="int32")
-        return pa.ListArray.from_arrays(offsets[:len(x) + 1], entries)
+        offsets = np.arange(0, (len(usable) + 1) * len(labels), len(labels), dtype="int32")
+        return pa.ListArray.from_arrays(offsets[:len(usable) + 1], entries)
 
     # PySpark reads the kind of UDF from the hints, which must be classes and not their names.
     assign.__annotations__ = {"features": pa.Array, "return": pa.Array}
@@ -187,9 +308,10 @@ def _nearest_arrow(runs: Mapping[int, np.ndarray], width: int) -> Callable:
 def with_nearest(df: DataFrame, runs: Mapping[int, np.ndarray], features: str = "features") -> DataFrame:
     """Add ``nearest``: per run the nearest center (the lower id on a tie) and its distance, both
     null for a row that is null, has a null or NaN, or is of another width."""
-    if not _unrolls(runs):
+    sparse = is_vector(df, features)
+    if sparse or not _unrolls(runs):
         width = next(iter(runs.values())).shape[1]
-        return df.withColumn("nearest", _nearest_arrow(runs, width)(F.col(features)))
+        return df.withColumn("nearest", _nearest_arrow(runs, width, sparse)(arrow_features(df, features)))
     (run, centers), = runs.items()
     entry = (
         f"array(named_struct('run', {run}, 'cluster', cast(array_position(__squared, array_min(__squared)) - 1 AS int), "
@@ -208,58 +330,15 @@ def assign(df: DataFrame, model: Clustering, features: str = "features", hold: b
     ``hold`` keeps filters on them above the features and the assignment, which would else be
     worked out again inside the filter.
     """
-    if isinstance(df.schema[features].dataType, VectorUDT):
-        return _assign_vectors(df, model, features)
     near = F.col("nearest")[0]
     if hold:
         df = df.withColumn(features, once(features))
     found = with_nearest(df, {0: model.centers}, features)
-    if hold and not _unrolls({0: model.centers}):
+    if hold and (is_vector(df, features) or not _unrolls({0: model.centers})):
         found = found.withColumn("nearest", once("nearest"))
     return found.withColumns({"cluster": near["cluster"], "distance": near["distance"]}).drop("nearest")
 
 
-def _assign_vectors(df: DataFrame, model: Clustering, features: str) -> DataFrame:
-    """Sparse rows stay sparse: |x|^2 - 2 x c + |c|^2 over the non-zero entries, in one Arrow pass.
-
-    The centers take part as one bounded matrix. Where two come out close, the lower id is taken
-    unless the other is nearer by more than rounding.
-    """
-    _cells({0: model.centers})
-    centers = model.centers
-
-    def near(x):
-        import numpy as np
-        import pyarrow as pa
-
-        size = len(x)
-        kind = x.field("type").to_numpy(zero_copy_only=False)
-        lists, values = x.field("indices").to_pylist(), x.field("values").to_pylist()
-        c2 = (centers * centers).sum(axis=1)
-        cluster, distance = np.zeros(size, dtype="int32"), np.zeros(size)
-        usable = np.zeros(size, dtype=bool)
-        widths = x.field("size").to_pylist()
-        for i in range(size):
-            if values[i] is None:
-                continue
-            v = np.array(values[i], dtype=float)
-            at = np.array(lists[i], dtype=int) if kind[i] == 0 else np.arange(len(v))
-            if np.isnan(v).any() or (widths[i] if kind[i] == 0 else len(v)) != centers.shape[1]:
-                continue
-            rough = c2 - 2.0 * (centers[:, at] @ v)
-            best = np.flatnonzero(rough <= rough.min() + 1e-9 * (c2.max() + v @ v))
-            exact = [((v - centers[b, at]) ** 2).sum() + max(0.0, c2[b] - (centers[b, at] ** 2).sum()) for b in best]
-            cluster[i], distance[i] = best[int(np.argmin(exact))], np.sqrt(min(exact))
-            usable[i] = True
-        return pa.StructArray.from_arrays(
-            [pa.array(cluster, mask=~usable), pa.array(distance, mask=~usable)], names=["cluster", "distance"])
-
-    near.__annotations__ = {"x": pa.Array, "return": pa.Array}
-    measured = F.arrow_udf(near, "struct<cluster:int,distance:double>")
-    found = df.withColumn("__near", measured(F.unwrap_udt(features)))
-    return found.withColumns({"cluster": F.col("__near.cluster"), "distance": F.col("__near.distance")}).drop("__near")
-
-
 def with_center(assigned: DataFrame, model: Clustering) -> DataFrame:
     """Add the ``center`` of each row's cluster. The table joined is the model, whose size is
     bounded, so it is broadcast."""
@@ -293,44 +372,56 @@ class RunTotals:
         return float(self.distance.sum() / rows) if rows else None
 
 
-def run_totals(df: DataFrame, runs: Mapping[int, np.ndarray], features: str = "features") -> dict[int, RunTotals]:
-    """Assign every row in every run and sum up per cluster, in one scan.
+def run_totals(
+    df: DataFrame, runs: Mapping[int, np.ndarray], features: str = "features", weight: str | None = None,
+) -> dict[int, RunTotals]:
+    """Assign every row in every run and sum up per cluster, in one scan. ``weight`` names a column
+    of how many rows each row stands for.
 
     Each task reduces its rows to one partial row per run and cluster before anything is shuffled,
     so a cluster that holds most of the data costs no more than the others.
     """
     width = next(iter(runs.values())).shape[1]
-    totals = _totals_unrolled if _unrolls(runs) else _totals_arrow
-    rows = totals(df, runs, width, features)
+    totals = _totals_unrolled if _unrolls(runs) and not is_vector(df, features) else _totals_arrow
+    _cells(runs)
+    rows = totals(df, runs, width, features, weight).where("cluster IS NOT NULL").toArrow().combine_chunks()
     result = {
         run: RunTotals(np.zeros(len(c), dtype="int64"), np.zeros(c.shape), np.zeros(len(c)), np.zeros(len(c)))
         for run, c in runs.items()
     }
-    for run, cluster, count, distance, squared, total in rows.where("cluster IS NOT NULL").collect():
-        totals = result[run]
-        totals.count[cluster] = count
-        totals.total[cluster] = np.asarray(total)
-        totals.distance[cluster] = distance
-        totals.squared[cluster] = squared
+    if not len(rows):
+        return result
+    run, cluster, count, distance, squared = (rows[c].to_numpy() for c in ("run", "cluster", "count", "distance", "squared"))
+    total = rows["total"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(rows), width)
+    for r in np.unique(run).tolist():
+        mine = np.flatnonzero(run == r)
+        t, at = result[r], cluster[mine]
+        t.count[at], t.distance[at], t.squared[at], t.total[at] = count[mine], distance[mine], squared[mine], total[mine]
     return result
 
 
-def _totals_unrolled(df: DataFrame, runs: Mapping[int, np.ndarray], width: int, features: str) -> DataFrame:
-    near = with_nearest(df.select(features), runs, features)
-    flat = near.select(features, F.col("nearest")[0].alias("n")).select(features, "n.*").where("cluster IS NOT NULL")
-    x = q.name(features)
-    sums = [F.expr(f"sum({x}[{i}])").alias(f"s{i}") for i in range(width)]
+def _totals_unrolled(
+    df: DataFrame, runs: Mapping[int, np.ndarray], width: int, features: str, weight: str | None
+) -> DataFrame:
+    rows = df.select(features, (F.lit(1) if weight is None else F.col(weight)).cast("bigint").alias("__weight"))
+    near = with_nearest(rows, runs, features)
+    flat = near.select(features, "__weight", F.col("nearest")[0].alias("n")).select(
+        features, "__weight", "n.*").where("cluster IS NOT NULL")
+    x, times = q.name(features), "" if weight is None else " * __weight"
+    sums = [F.expr(f"sum({x}[{i}]{times})").alias(f"s{i}") for i in range(width)]
     grouped = flat.groupBy("run", "cluster").agg(
-        F.count("*").alias("count"), F.sum("distance").alias("distance"),
-        F.expr("sum(distance * distance)").alias("squared"), *sums,
+        F.sum("__weight").alias("count"), F.expr(f"sum(distance{times})").alias("distance"),
+        F.expr(f"sum(distance * distance{times})").alias("squared"), *sums,
     )
     total = q.array([f"s{i}" for i in range(width)])
     return grouped.selectExpr("run", "cluster", "count", "distance", "squared", f"{total} AS total")
 
 
-def _totals_arrow(df: DataFrame, runs: Mapping[int, np.ndarray], width: int, features: str) -> DataFrame:
-    nearest, matrix = _nearest_rows(), _matrix(width)
-    fixed = dict(runs)
+def _totals_arrow(
+    df: DataFrame, runs: Mapping[int, np.ndarray], width: int, features: str, weight: str | None
+) -> DataFrame:
+    read, take, nearest, add = _kernel(width, is_vector(df, features))
+    fixed, weighted = dict(runs), weight is not None
 
     def partial(batches: Iterable) -> Iterable:
         import numpy as np
@@ -341,20 +432,22 @@ def _totals_arrow(df: DataFrame, runs: Mapping[int, np.ndarray], width: int, fea
             for run, c in fixed.items()
         }
         for batch in batches:
-            x, usable = matrix(batch.column(0))
-            x = x[usable]
-            if not len(x):
+            x, usable = read(batch.column(0))
+            if not usable.any():
                 continue
+            x = take(x, usable)
+            w = batch.column(1).to_numpy(zero_copy_only=False)[usable].astype("int64") if weighted else None
             for run, centers in fixed.items():
                 count, distance, squared, total = sums[run]
                 cluster, d2 = nearest(x, centers)
-                count += np.bincount(cluster, minlength=len(centers))
-                distance += np.bincount(cluster, weights=np.sqrt(d2), minlength=len(centers))
-                squared += np.bincount(cluster, weights=d2, minlength=len(centers))
-                order = np.argsort(cluster, kind="stable")
-                present, first = np.unique(cluster[order], return_index=True)
-                if len(present):
-                    total[present] += np.add.reduceat(x[order], first, axis=0)
+                each = 1 if w is None else w
+                if w is None:
+                    count += np.bincount(cluster, minlength=len(centers))
+                else:
+                    np.add.at(count, cluster, w)
+                distance += np.bincount(cluster, weights=np.sqrt(d2) * each, minlength=len(centers))
+                squared += np.bincount(cluster, weights=d2 * each, minlength=len(centers))
+                add(x, cluster, w, total)
         for run, (count, distance, squared, total) in sums.items():
             hit = np.flatnonzero(count)
             offsets = np.arange(0, (len(hit) + 1) * width, width, dtype="int32")[:len(hit) + 1]
@@ -368,7 +461,8 @@ def _totals_arrow(df: DataFrame, runs: Mapping[int, np.ndarray], width: int, fea
             )
 
     schema = "run int, cluster int, count bigint, distance double, squared double, total array<double>"
-    partials = df.select(features).mapInArrow(partial, schema)
+    columns = [arrow_features(df, features), *([F.col(weight)] if weighted else [])]
+    partials = df.select(*columns).mapInArrow(partial, schema)
     summed = partials.groupBy("run", "cluster").agg(
         F.sum("count").alias("count"), F.sum("distance").alias("distance"), F.sum("squared").alias("squared"),
         Summarizer.metrics("sum").summary(array_to_vector("total")).alias("s"),
@@ -381,33 +475,54 @@ def _totals_arrow(df: DataFrame, runs: Mapping[int, np.ndarray], width: int, fea
 # -- fits -------------------------------------------------------------------------------------
 
 
+def _grouped(runs: Mapping[int, np.ndarray]) -> list[list[int]]:
+    """Runs in groups of bounded size together."""
+    groups: list[list[int]] = []
+    cells = 0
+    for run, centers in runs.items():
+        if not groups or cells + centers.size > GROUP_CELLS:
+            groups.append([])
+            cells = 0
+        groups[-1].append(run)
+        cells += centers.size
+    return groups
+
+
 def lloyd_runs(
     df: DataFrame, starts: Mapping[int, np.ndarray], iterations: int = MAX_ITERATIONS,
-    tolerance: float = 0.0, features: str = "features",
+    tolerance: float = 0.0, features: str = "features", weight: str | None = None,
 ) -> dict[int, Clustering]:
-    """Fixed-start K-means for several starts at once, one scan per iteration for all of them.
+    """Fixed-start K-means for several starts at once, one scan per iteration for all of them (for
+    each ``GROUP_CELLS`` of them, where they are more).
 
     A center without rows stays where it is. A run whose centers all moved by no more than
     ``tolerance`` is finished and leaves the following scans. One scan more counts the rows of the
     centers as they are at the end.
     """
-    models = {run: Clustering(np.asarray(c, dtype=float)) for run, c in starts.items()}
-    active = dict(models)
+    starts = {run: np.asarray(c, dtype=float) for run, c in starts.items()}
+    found: dict[int, Clustering] = {}
+    for group in _grouped(starts):
+        found.update(_lloyd_group(df, {run: starts[run] for run in group}, iterations, tolerance, features, weight))
+    return {run: found[run] for run in starts}
+
+
+def _lloyd_group(
+    df: DataFrame, starts: Mapping[int, np.ndarray], iterations: int, tolerance: float, features: str, weight: str | None
+) -> dict[int, Clustering]:
+    centers = dict(starts)
+    active = set(starts)
     for _ in range(iterations):
         if not active:
             break
-        totals = run_totals(df, {run: m.centers for run, m in active.items()}, features)
+        totals = run_totals(df, {run: c for run, c in centers.items() if run in active}, features, weight)
         for run, t in totals.items():
-            old = models[run].centers
+            old = centers[run]
             new = np.where(t.count[:, None] > 0, t.total / np.maximum(t.count, 1)[:, None], old)
-            models[run] = Clustering(new)
-            moved = np.sqrt(((new - old) ** 2).sum(axis=1)).max()
-            if moved <= tolerance:
-                del active[run]
-            else:
-                active[run] = models[run]
-    totals = run_totals(df, {run: m.centers for run, m in models.items()}, features) if models else {}
-    return {run: Clustering(m.centers, totals[run].count, float(totals[run].squared.sum())) for run, m in models.items()}
+            centers[run] = new
+            if np.sqrt(((new - old) ** 2).sum(axis=1)).max() <= tolerance:
+                active.discard(run)
+    totals = run_totals(df, centers, features, weight)
+    return {run: Clustering(c, totals[run].count, float(totals[run].squared.sum())) for run, c in centers.items()}
 
 
 def lloyd(
@@ -426,68 +541,36 @@ def best_of(df: DataFrame, models: Mapping[int, Clustering], features: str = "fe
     return models[best]
 
 
-def _mean_center(df: DataFrame, features: str) -> Clustering | None:
-    """One cluster: its center is the mean (Spark ML refuses k = 1)."""
-    is_vector = isinstance(df.schema[features].dataType, VectorUDT)
-    vectors = F.col(features) if is_vector else array_to_vector(features)
-    if not is_vector:
-        df = df.where(usable_text(features, feature_width(df, features)))
-    s = df.select(Summarizer.metrics("mean", "count").summary(vectors).alias("s")).select("s.*").first()
-    if not s["count"]:
-        return None
-    return Clustering(s["mean"].toArray()[None, :], np.array([s["count"]]))
-
-
-def _ml_fit(vectors: DataFrame, k: int, seed: int, tolerance: float, iterations: int, features: str) -> Clustering:
-    estimator = KMeans(
-        k=k, seed=seed, tol=tolerance, maxIter=iterations, initSteps=SEEDING_STEPS,
-        featuresCol=features, predictionCol="cluster",
-    )
-    model = estimator.fit(vectors)
-    cost, sizes = model.summary.trainingCost, np.array(model.summary.clusterSizes)
-    return Clustering(np.array(model.clusterCenters()), sizes, cost, model)
+def distinct_rows(df: DataFrame, features: str = "features") -> DataFrame:
+    """The usable rows' features, each different one once, and ``weight``, how often it occurs. What a
+    seeded fit holds: repeated rows cost it nothing, and a crowded one is met as one row. Rows of
+    vectors come as the structs they are made of."""
+    if is_vector(df, features):
+        rows = df.select(arrow_features(df, features).alias(features)).where(F.col(features).isNotNull())
+    else:
+        rows = df.select(features).where(usable_text(features, feature_width(df, features)))
+    return rows.groupBy(features).agg(F.count("*").alias("weight"))
 
 
 @contextmanager
-def kept_vectors(df: DataFrame, features: str = "features") -> Iterator[DataFrame]:
-    """The usable rows' features as vectors, held for the fits inside. A frame that is held already
-    is handed on as it is, so that fits inside a sweep neither hold it twice nor release it."""
-    if isinstance(df.schema[features].dataType, VectorUDT):
-        vectors = df.select(features)
-    else:
-        width = feature_width(df, features)
-        vectors = df.select(features).where(usable_text(features, width)).select(
-            array_to_vector(features).alias(features))
-    if df.storageLevel.useMemory or df.storageLevel.useDisk:
-        if isinstance(df.schema[features].dataType, VectorUDT):
-            yield vectors
-            return
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+def kept_distinct(df: DataFrame, features: str = "features") -> Iterator[DataFrame]:
+    """``distinct_rows``, held for the scans inside."""
+    rows = distinct_rows(df, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield vectors
+        yield rows
     finally:
-        vectors.unpersist()
-
-
-def run_concurrently(spark: SparkSession, tasks: Sequence[Callable], workers: int) -> list:
-    """Run independent Spark jobs from a few driver threads; Spark's scheduler shares the cluster."""
-    if workers <= 1 or len(tasks) <= 1:
-        return [task() for task in tasks]
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        wrap = inheritable_thread_target(spark)
-        return list(pool.map(lambda run: run(), [wrap(task) for task in tasks]))
+        rows.unpersist()
 
 
 def fit(
     df: DataFrame, k: int = DEFAULT_K, init: Sequence | None = None, restarts: int = 1,
     tolerance: float = DEFAULT_TOLERANCE, iterations: int = MAX_ITERATIONS, seed: int = 0,
-    features: str = "features", workers: int = 1, vectors: DataFrame | None = None,
+    features: str = "features",
 ) -> Clustering | None:
     """Fit k clusters; None when k is 0 or there are no rows.
 
-    ``init=None``: k-means|| seeding by Spark ML, the best of ``restarts`` seeds. Several restarts of
-    arrays are seeded one by one and then share their scans. ``vectors``: the same rows as held
-    vectors, where a sweep has them already.
+    ``init=None``: k-means|| seeding (``seeding.py``), the best of ``restarts`` seeds, all of which
+    share their scans. The result depends on rows and seed, not on how the rows are dealt.
     ``init=[center, ...]``: exactly these starting centers.
     ``init=[[center, ...], ...]``: several starts sharing their scans, the best one kept.
     """
@@ -498,20 +581,31 @@ def fit(
         if starts.ndim == 2:
             return lloyd(df, starts, iterations, tolerance, features)
         return best_of(df, lloyd_runs(df, dict(enumerate(starts)), iterations, tolerance, features), features)
-    if feature_width(df, features) == 0:
-        return None
-    if k == 1:
-        return _mean_center(df, features)
-    seeds = range(seed, seed + restarts)
-    shared = restarts > 1 and not isinstance(df.schema[features].dataType, VectorUDT)
-    steps = 0 if shared else iterations
-    with nullcontext(vectors) if vectors is not None else kept_vectors(df, features) as held:
-        tasks = [(lambda s=s: _ml_fit(held, k, s, tolerance, steps, features)) for s in seeds]
-        fits = run_concurrently(df.sparkSession, tasks, workers)
-    if shared:
-        starts = {i: m.centers for i, m in enumerate(fits)}
-        return best_of(df, lloyd_runs(df, starts, iterations, tolerance, features), features)
-    return min(fits, key=lambda m: m.cost)
+    return fit_seeded(df, [k], restarts, tolerance, iterations, seed, features).get(k)
+
+
+def fit_seeded(
+    df: DataFrame, ks: Sequence[int], restarts: int, tolerance: float, iterations: int, seed: int = 0,
+    features: str = "features",
+) -> dict[int, Clustering]:
+    """The best of ``restarts`` seeded fits for each k, all of them in shared scans. No entry for a k
+    below 1 or where there are no rows; fewer centers than k where there are fewer different rows."""
+    from clusterkit.operators.seeding import seeded_starts
+
+    ks = sorted({k for k in ks if k >= 1})
+    width = feature_width(df, features)
+    if not ks or width == 0:
+        return {}
+    with kept_distinct(df, features) as rows:
+        starts = seeded_starts(rows, width, ks, range(seed, seed + restarts), features)
+        runs = {(k, s): c for k in ks for s, c in starts[k].items() if len(c)}
+        numbers = {n: key for n, key in enumerate(runs)}
+        models = lloyd_runs(rows, {n: runs[key] for n, key in numbers.items()}, iterations, tolerance, features, "weight")
+    best: dict[int, Clustering] = {}
+    for n, (k, _) in numbers.items():  # seeds in order, so the first of equals stays
+        if k not in best or models[n].cost < best[k].cost:
+            best[k] = models[n]
+    return best
 
 
 def fit_best_of_ten(df: DataFrame, k: int, init: Sequence | None = None, **options) -> Clustering | None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clusterkit.operators.kmeans import (
     DEFAULT_TOLERANCE, MAX_ITERATIONS, RESTARTS, RESTART_TOLERANCE, Clustering, assign,
-    assign_runs, best_of, fit, kept_vectors, lloyd_runs, run_concurrently, run_totals,
+    assign_runs, best_of, fit_seeded, lloyd_runs, run_totals,
 )
 
 SCORE_SCHEMA = "k int, score double"
@@ -61,20 +61,13 @@ def _fixed_start_fits(
 
 def fit_sweep(
     df: DataFrame, ks: Sequence[int], init: Start | None = None, restarts: int = RESTARTS,
-    tolerance: float = RESTART_TOLERANCE, iterations: int = MAX_ITERATIONS, workers: int = 1,
+    tolerance: float = RESTART_TOLERANCE, iterations: int = MAX_ITERATIONS, seed: int = 0,
 ) -> dict[int, Clustering]:
-    """One clustering per K. Starts that are given share their scans; k-means|| fits run on up to
-    ``workers`` driver threads."""
+    """One clustering per K. All K and all restarts share their scans, and those of the seeding where
+    no starts are given."""
     if init is not None:
         return _fixed_start_fits(df, ks, init, tolerance, iterations)
-    # The vectors are kept once, for all K, and released after the last fit.
-    with kept_vectors(df) as vectors:
-        tasks = [
-            (lambda k=k: fit(df, k, restarts=restarts, tolerance=tolerance, iterations=iterations, vectors=vectors))
-            for k in ks
-        ]
-        fits = run_concurrently(df.sparkSession, tasks, workers)
-    return {k: m for k, m in zip(ks, fits) if m is not None}
+    return fit_seeded(df, ks, restarts, tolerance, iterations, seed)
 
 
 def scores_table(spark: SparkSession, scores: Mapping[int, float | None]) -> DataFrame:

@@ -24,8 +24,6 @@ from clusterkit.plans.features import PCA_COMPONENTS, categorical_features, kept
 from clusterkit.sinks.text import append_lines
 from clusterkit.sources.records import RecordSpec, parse_records
 
-SWEEP_WORKERS = 4
-
 Start = Callable[[int], Sequence]
 
 
@@ -63,30 +61,30 @@ def cross_tab_job(
 
 def raw_sweep_job(
     lines: DataFrame, spec: RecordSpec, ks: Sequence[int] | None = None, init: Start | None = None,
-    step: int | None = None, workers: int = SWEEP_WORKERS, careful_init: Start | None = None, **options,
+    step: int | None = None, careful_init: Start | None = None, **options,
 ) -> DataFrame:
     """(k, score, score2): mean distance of a default fit and of the careful fit, numbers as they are.
     ``careful_init`` gives the careful fit starts of its own; without it both have those of ``init``."""
     with kept(assemble_numeric(parse_records(lines, spec), spec).select("features")) as features:
         ks = _grid(features, ks, step)
-        first = sweep_default_fit(features, ks, init, workers=1, **options)
-        second = sweep_mean_distance(features, ks, careful_init or init, workers=workers, **options)
+        first = sweep_default_fit(features, ks, init, **options)
+        second = sweep_mean_distance(features, ks, careful_init or init, **options)
     return first.join(second.withColumnRenamed("score", "score2"), "k")
 
 
 def normalised_sweep_job(
     lines: DataFrame, spec: RecordSpec, ks: Sequence[int] | None = None, init: Start | None = None,
-    step: int | None = None, workers: int = SWEEP_WORKERS, **options,
+    step: int | None = None, **options,
 ) -> DataFrame:
     """(k, score): the careful fit on z-scored numbers."""
     with kept(assemble_numeric(parse_records(lines, spec), spec).select("features")) as numbers:
         features = normalised(numbers)
-        return sweep_mean_distance(features, _grid(features, ks, step), init, workers=workers, **options)
+        return sweep_mean_distance(features, _grid(features, ks, step), init, **options)
 
 
 def categorical_sweep_job(
     lines: DataFrame, spec: RecordSpec, ks: Sequence[int] | None = None, init: Start | None = None,
-    step: int | None = None, workers: int = SWEEP_WORKERS, dictionaries: Dictionaries | None = None,
+    step: int | None = None, dictionaries: Dictionaries | None = None,
     include_label: bool = False, **options,
 ) -> DataFrame:
     """(k, score): the careful fit on z-scored numbers and one-hot categories."""
@@ -96,12 +94,12 @@ def categorical_sweep_job(
     )
     with kept(encoded.select("features")) as plain:
         features = normalised(plain)
-        return sweep_mean_distance(features, _grid(features, ks, step), init, workers=workers, **options)
+        return sweep_mean_distance(features, _grid(features, ks, step), init, **options)
 
 
 def pca_entropy_job(
     lines: DataFrame, spec: RecordSpec, ks: Sequence[int] | None = None, init: Start | None = None,
-    components: int = PCA_COMPONENTS, step: int | None = None, workers: int = SWEEP_WORKERS,
+    components: int = PCA_COMPONENTS, step: int | None = None,
     dictionaries: Dictionaries | None = None, label: str | None = None, include_label: bool = False,
     normalise_first: bool = False, **options,
 ) -> DataFrame:
@@ -110,7 +108,7 @@ def pca_entropy_job(
         _records(lines, spec, label), spec, dictionaries=dictionaries, include_label=include_label
     )
     with kept(encoded) as plain, kept(projected(plain, components, normalise_first)) as data:
-        return sweep_label_entropy(data, _grid(data, ks, step), init, workers=workers, **options)
+        return sweep_label_entropy(data, _grid(data, ks, step), init, **options)
 
 
 def write_scores(scores: DataFrame, path: str, decimals: int | None = None) -> None:

@@ -127,7 +127,7 @@ def test_no_cluster_and_no_rows(spark):
 
 def test_seeded_fit_finds_the_groups(spark):
     df = features(spark, blobs())
-    model = fit_best_of_ten(df, 3, workers=4)
+    model = fit_best_of_ten(df, 3)
     assert sorted(model.weights.tolist()) == [80, 80, 80]
     one = fit(df, 3)
     assert model.cost <= one.cost + 1e-9
@@ -200,10 +200,123 @@ def test_sparse_rows_are_measured_as_they_are(spark):
     assert got == {i: (int(g.argmin()), pytest.approx(g.min())) for i, g in enumerate(gaps)}
 
 
-def test_a_sweep_holds_its_vectors_once(spark):
-    df = features(spark, blobs(60))
-    with kmeans.kept_vectors(df) as outer:
-        with kmeans.kept_vectors(outer) as inner:
-            assert inner.count() == 60
-        assert outer.storageLevel.useMemory  # not released by the fit inside
-    assert not outer.storageLevel.useMemory
+def test_many_centers_are_met_in_tiles(spark):
+    rng = np.random.default_rng(2)
+    points, centers = rng.normal(size=(600, 30)), rng.normal(size=(5000, 30))
+    centers[4000:4010] = centers[:10]  # ties across tiles: the lower id
+    points[:10] = centers[:10]
+    rows = assign(features(spark, points.tolist()), Clustering(centers)).orderBy("id").collect()
+    gaps = [((centers - p) ** 2).sum(axis=1) for p in points]
+    assert [r["cluster"] for r in rows] == [int(g.argmin()) for g in gaps]
+    assert [r["distance"] for r in rows] == pytest.approx([float(np.sqrt(g.min())) for g in gaps], abs=1e-7)
+
+
+def sparse_rows(rng, count, width):
+    """Rows with few entries, some empty, some given in full; as vectors and as arrays."""
+    from pyspark.ml.linalg import Vectors
+
+    out = []
+    for i in range(count):
+        at = np.sort(rng.choice(width, rng.integers(0, 6), replace=False))
+        x = np.zeros(width)
+        x[at] = rng.normal(size=len(at)).round(2)
+        out.append((i, Vectors.dense(x) if i % 7 == 0 else Vectors.sparse(width, at, x[at]), x))
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 4, 9])
+def test_sparse_fit_from_given_starts_equals_the_dense_one(spark, k):
+    rows = sparse_rows(np.random.default_rng(3), 120, 40)
+    start = np.array([r[2] for r in rows[1:k + 1]])
+    vectors = spark.createDataFrame([(i, v) for i, v, _ in rows], ["id", "features"]).repartition(3)
+    model = fit(vectors, k, init=start, iterations=4, tolerance=0.0)
+    points = np.array([x for *_, x in rows])
+    assert model.centers == pytest.approx(brute_lloyd(points, start, 4))
+    assert model.cost == pytest.approx((brute(points, model.centers)[1] ** 2).sum())
+
+
+def test_wide_sparse_rows_fit_from_given_starts(spark):
+    rows = sparse_rows(np.random.default_rng(4), 60, 10_000)
+    points = np.array([x for *_, x in rows])
+    vectors = spark.createDataFrame([(i, v) for i, v, _ in rows], ["id", "features"]).repartition(2)
+    model = fit(vectors, 3, init=points[:3], iterations=3, tolerance=0.0)
+    assert model.centers == pytest.approx(brute_lloyd(points, points[:3], 3))
+    dense = fit(features(spark, points.tolist()), 3, init=points[:3], iterations=3, tolerance=0.0)
+    assert dense.centers == pytest.approx(model.centers)
+
+
+# -- seeding
+
+
+def noisy(count=400, width=3):
+    rng = np.random.default_rng(9)
+    return rng.normal(size=(count, width)).round(3).tolist()
+
+
+def test_seeded_fits_do_not_depend_on_how_rows_are_dealt(spark):
+    points = noisy()
+    models = [fit(features(spark, order, n), 7, restarts=3, seed=2) for order, n in ((points, 1), (points[::-1], 5))]
+    assert models[0].centers == pytest.approx(models[1].centers) and models[0].weights.tolist() == models[1].weights.tolist()
+    other = fit(features(spark, points), 7, seed=11)
+    assert sorted(other.centers[:, 0]) != pytest.approx(sorted(models[0].centers[:, 0]))
+
+
+def test_repeated_rows_weigh_as_often_as_they_occur(spark):
+    """Three spots hold nearly all rows: each gets a center, though each is one different row."""
+    points = [[0.0, 0.0]] * 300 + [[100.0, 0.0]] * 300 + [[0.0, 100.0]] * 300 + [[50.0 + 0.01 * i, 50.0] for i in range(40)]
+    model = fit(features(spark, points), 4, restarts=3)
+    assert sorted(model.weights.tolist()) == [40, 300, 300, 300]
+    spots = {tuple(np.round(c, 6)) for c in model.centers}
+    assert {(0.0, 0.0), (100.0, 0.0), (0.0, 100.0)} < spots
+
+
+def test_fewer_different_rows_than_clusters(spark):
+    model = fit(features(spark, [[1.0, 2.0]] * 5 + [[3.0, 4.0]] * 2), 6)
+    assert sorted(model.weights.tolist()) == [2, 5] and model.cost == 0.0
+
+
+def test_all_k_and_restarts_share_the_scans(spark, monkeypatch):
+    from clusterkit.operators import seeding
+    from clusterkit.operators.quality import fit_sweep
+
+    scans = {"drawn": 0, "seed totals": 0, "totals": 0}
+
+    def counted(name, call):
+        def run(*args, **options):
+            scans[name] += 1
+            return call(*args, **options)
+
+        return run
+
+    monkeypatch.setattr(seeding, "_drawn", counted("drawn", seeding._drawn))
+    monkeypatch.setattr(seeding, "run_totals", counted("seed totals", seeding.run_totals))
+    monkeypatch.setattr(kmeans, "run_totals", counted("totals", kmeans.run_totals))
+    models = fit_sweep(features(spark, noisy(150)), [1, 2, 3, 8], restarts=4, iterations=5)
+    assert {k: m.k for k, m in models.items()} == {1: 1, 2: 2, 3: 3, 8: 8}
+    assert scans == {"drawn": 1 + kmeans.SEEDING_STEPS, "seed totals": 1, "totals": 6}
+    costs = [models[k].cost for k in (1, 2, 3, 8)]
+    assert costs == sorted(costs, reverse=True)
+
+
+def test_seeding_is_about_as_good_as_the_best_of_many_random_starts(spark):
+    points = np.array(noisy(300, 2))
+    rng = np.random.default_rng(1)
+    plain = min((brute(points, brute_lloyd(points, points[rng.choice(300, 6, replace=False)], 20))[1] ** 2).sum() for _ in range(10))
+    model = fit_best_of_ten(features(spark, points.tolist()), 6)
+    assert model.cost <= plain * 1.03
+
+
+def test_sparse_rows_are_seeded_like_dense_ones(spark):
+    rows = sparse_rows(np.random.default_rng(5), 200, 12)
+    vectors = spark.createDataFrame([(i, v) for i, v, _ in rows], ["id", "features"]).repartition(3)
+    dense = features(spark, [x.tolist() for *_, x in rows])
+    assert fit(vectors, 4, restarts=2).cost == pytest.approx(fit(dense, 4, restarts=2).cost, rel=0.2)
+
+
+def test_runs_too_many_for_one_scan_are_grouped(spark, monkeypatch):
+    monkeypatch.setattr(kmeans, "GROUP_CELLS", 8)
+    starts = {k: np.array(blobs()[:k]) for k in (1, 2, 3, 4)}
+    assert kmeans._grouped(starts) == [[1, 2], [3], [4]]
+    models = lloyd_runs(features(spark, blobs()), starts, iterations=2)
+    for k, start in starts.items():
+        assert models[k].centers == pytest.approx(brute_lloyd(np.array(blobs()), start, 2))

@@ -65,7 +65,7 @@ def test_score_of_one_cluster_is_the_distance_to_the_mean(spark):
 def test_sweeps_fall_to_the_number_of_groups(spark):
     df = features(spark, blobs()).persist()
     fixed = {r["k"]: r["score"] for r in sweep_mean_distance(df, [1, 2, 3], lambda k: diagonal_start(k, 2, 0, 10)).collect()}
-    seeded = {r["k"]: r["score"] for r in sweep_mean_distance(df, [1, 2, 3], restarts=3, workers=3).collect()}
+    seeded = {r["k"]: r["score"] for r in sweep_mean_distance(df, [1, 2, 3], restarts=3).collect()}
     default = {r["k"]: r["score"] for r in sweep_default_fit(df, [1, 2, 3]).collect()}
     assert set(fixed) == set(seeded) == set(default) == {1, 2, 3}
     assert seeded[1] > seeded[2] > seeded[3] and seeded[3] < 1
