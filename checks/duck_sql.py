@@ -9,6 +9,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from checks import starts as S
+from checks.seeded_sql import seeded
+from clusterkit.operators.anomaly import ANOMALY_CLUSTERS
+from clusterkit.operators.kmeans import DEFAULT_K, DEFAULT_TOLERANCE, RESTARTS, RESTART_TOLERANCE
 
 POWER_STEPS = 400
 
@@ -343,7 +346,21 @@ def seeded_sql() -> dict[str, str]:
     gap = "sqrt((x0 - m0) * (x0 - m0) + (x1 - m1) * (x1 - m1))"
     near = ("d AS (SELECT *, {gap} AS distance FROM (SELECT *, avg(x0) OVER ({by}) AS m0, avg(x1) OVER ({by}) AS m1 FROM pts))")
     each = near.format(gap=gap, by="PARTITION BY g")
+    ten = range(RESTARTS)
     return {
+        "q25_default_job": chain(
+            [trades(TRADE_FIELDS), *seeded("raw", S.TRADE_NUMBERS, [DEFAULT_K], [0], DEFAULT_TOLERANCE),
+             f"near AS ({nearest('raw', 'best', S.TRADE_NUMBERS)})"],
+            "SELECT n.b.cluster::INTEGER AS cluster, p.label, count(*) AS count FROM near n JOIN raw p USING (pid) GROUP BY 1, 2",
+            recursive=True),
+        "q26_restarts_score": chain(
+            [EMBEDDINGS, *seeded("emb", 64, [1, 2, 10], ten, RESTART_TOLERANCE), f"near AS ({nearest('emb', 'best', 64)})"],
+            sweep_scores("near"), recursive=True),
+        "q32b_anomalies_seeded": chain(
+            [EMBEDDINGS, *seeded("emb", 64, [ANOMALY_CLUSTERS], ten, RESTART_TOLERANCE),
+             f"near AS MATERIALIZED ({nearest('emb', 'best', 64)})"],
+            f"SELECT p.vec_id, n.b.cluster::INTEGER AS cluster, {r6(DISTANCE)} AS distance FROM near n JOIN emb p USING (pid) "
+            f"WHERE {DISTANCE} > {threshold('near')}", recursive=True),
         "q14b_covariance_embeddings": covariance_sql(),
         "q25c_seeded_default_fit": centers(two),
         "q26c_seeded_best_of_ten": centers(three),
