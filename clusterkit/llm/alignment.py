@@ -31,14 +31,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clusterkit.llm.common import BATCH_ROWS, id_and_text, written
-from clusterkit.llm.pretoken import vocabulary
+from clusterkit.llm.pretoken import rank_encoding, vocabulary
 
 #: Characters of a chunk at least, unless the task has fewer: bounds memory, but for a longer document.
 CHUNK_CHARS = 2_000_000
 
-# Fixed value: the pattern by which the public byte-level tokenizer cuts a text.
-PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
 
 # -- the two tokenizers -------------------------------------------------------------------------
 
@@ -58,21 +55,13 @@ def _side(encode, bytes_of: list[bytes]) -> Side:
 
 @lru_cache(2)
 def byte_side(path: str) -> Side:
-    """A byte-level BPE file; special strings in a text are ordinary text. Ids must rise with the
-    order of the merges, as they are what decides which merge comes first here."""
-    vocab = vocabulary(path)
-    merged = [(vocab.rank[i], i) for i in range(len(vocab.rank)) if vocab.rank[i] >= 0]
-    if sorted(merged) != sorted(merged, key=lambda m: m[1]):
-        raise ValueError(f"{path}: ids do not follow the order of merges")
-    import tiktoken
-
-    ranks = dict(vocab.id_of)
-    known = tiktoken.Encoding("aligned", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    """A byte-level BPE file; special strings in a text are ordinary text."""
+    known = rank_encoding(path)
 
     def encode(texts: list[str]) -> list[np.ndarray]:
         return [np.array(known.encode_ordinary(text), dtype="int64") for text in texts]
 
-    return _side(encode, vocab.bytes_of)
+    return _side(encode, vocabulary(path).bytes_of)
 
 
 @lru_cache(2)

@@ -9,9 +9,7 @@ columns beside the ids, touches those pages only.
 
 from __future__ import annotations
 
-import struct
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clusterkit.llm.common import id_and_text, map_rows
-from clusterkit.llm.pretoken import PieceTable, alphabet, blocks, library, vocabulary
+from clusterkit.llm.pretoken import rank_encoding
 from clusterkit.scratch import shared_dir
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
@@ -40,49 +38,29 @@ def layout(row_group_bytes: int, page_rows: int) -> dict[str, str]:
     }
 
 
-@lru_cache(2)
-def library_ids(path: str) -> PieceTable:
-    """Of each piece its ids by the tokenizers library, as little-endian 32-bit integers. A
-    worker keeps the table from task to task."""
-    def packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}i", *ids)
-
-    # A piece needs no splitting any more: the library's model alone, given the bytes' stand-ins.
-    encode = library(path).model.tokenize
-    stand_in = {byte: char for char, byte in alphabet().items()}
-
-    def fill(new: list[str]) -> list[bytes]:
-        printable = (piece.encode().decode("latin-1").translate(stand_in) for piece in new)
-        return [packed([token.id for token in encode(piece)]) for piece in printable]
-
-    return PieceTable(vocabulary(path), fill, lambda i: packed([i]))
-
-
 def write_tokens(docs: DataFrame, vocab_path: str, out: str, end_id: int = 0, id_col: str = "doc_id",
                  text_col: str = "text", row_group_bytes: int = 32 << 20, page_rows: int = 1000) -> None:
-    """Encode every text with the tokenizers library, add ``end_id``, write sorted by doc_id.
+    """Encode every text as the tokenizers library does, add ``end_id``, write sorted by doc_id.
 
     Rows are dealt out by ranges of (doc_id, text hash): a doc_id that many rows share is split,
     and equal rows are equal in any order. Null texts are empty (the end id alone); null ids come
-    first. An empty table gives files without rows. Distinct pieces of a batch are encoded once.
+    first. An empty table gives files without rows; columns of other names are not read.
     """
     salt = F.xxhash64("text")
     rows = id_and_text(docs, id_col, text_col)
     rows = rows.repartitionByRange("doc_id", salt).sortWithinPartitions("doc_id", salt)
 
     def make():
-        known = library_ids(vocab_path)
-        end = np.array([end_id], "<i4").tobytes()
+        encode = rank_encoding(vocab_path).encode
         part, start = TaskContext.get().partitionId(), 0
 
         def work(batch: pa.RecordBatch) -> list:
             nonlocal start
             texts = batch.column("text").to_pylist()
-            got = [b"".join(map(known.__getitem__, split)) + end
-                   for run in blocks(texts) for split in known.learn(run)]
-            count = np.array([len(x) // 4 for x in got], np.int64)
+            got = [np.array([*encode(text, allowed_special="all"), end_id], np.int32) for text in texts]
+            count = np.array([len(x) for x in got], np.int64)
             ends = np.r_[0, np.cumsum(count)]
-            flat = np.frombuffer(b"".join(got), "<i4")
+            flat = np.concatenate(got) if got else np.zeros(0, np.int32)
             starts = start + ends[:-1]
             start += int(ends[-1])
             return [batch.column("doc_id"), np.full(len(got), part, np.int32), starts, count,
@@ -96,7 +74,8 @@ def write_tokens(docs: DataFrame, vocab_path: str, out: str, end_id: int = 0, id
 
 def read_tokens(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """doc_id, n_tokens, ids of the documents from ``first`` to ``last`` (None: no bound); the
-    bounds reach the row groups and pages of the files."""
+    bounds reach the row groups and pages of the files. With a bound rows without an id are left out;
+    files without rows give none; repeated rows come as often as they were written."""
     files = spark.read.schema(SCHEMA).parquet(path)
     if first is not None:
         files = files.filter(F.col("doc_id") >= first)
@@ -109,7 +88,8 @@ def read_offsets(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens of all documents, without reading ids.
 
     ``start`` is the number of ids before the document: that within its part, which the file
-    holds, and the totals of the parts before, of which there is one row for each part.
+    holds, and the totals of the parts before, of which there is one row for each part. Null ids come
+    first, repeated rows have starts of their own, files without rows give none.
     """
     return _with_start(spark, spark.read.schema(SCHEMA).parquet(path), path).select("doc_id", "start", "n_tokens")
 
@@ -123,7 +103,8 @@ def _with_start(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
 
 
 def token_digest(spark: SparkSession, path: str) -> DataFrame:
-    """Columns doc_id, start, n_tokens, ids_crc32, all read from the files."""
+    """Columns doc_id, start, n_tokens, ids_crc32, all read from the files: one row for each row
+    written, none for files without rows."""
     def make():
         def work(batch: pa.RecordBatch) -> list:
             ids = batch.column("ids")

@@ -145,3 +145,14 @@ def test_files_of_an_empty_table(spark, tmp_path):
     out = str(tmp_path / "tokens")
     token_files.write_tokens(cases.empty(spark), PATH, out)
     assert token_files.token_digest(spark, out).count() == 0
+
+
+def test_ranks_give_the_librarys_ids():
+    """Each code point between and beside letters, digits, spaces and itself."""
+    encode = pretoken.rank_encoding(PATH).encode
+    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
+    for begin in range(0, len(points), 50_000):
+        texts = [f"a{c}b {c} {c}{c}1{c}!" for c in map(chr, points[begin:begin + 50_000])]
+        assert library_ids(texts) == [encode(t, allowed_special="all") for t in texts]
+    for text in ("<|endoftext|>a <|endoftext|><|endoftext|>", " " * 5000, "\n \n" * 3000 + "x", "ab" * 50_000, "", "\x00"):
+        assert library_ids([text]) == [encode(text, allowed_special="all")]
