@@ -1,8 +1,9 @@
 """Passages of a benchmark in documents, by q-gram counts in diagonal bands and banded alignment.
 
 Texts and items are normalised: letters lower-cased, each run of anything but letters and digits
-one space. An item is cut into overlapping windows; a document holds a window if some part of
-it is within the window's edit budget. The q-gram lemma: a window of m characters and a part within
+one space. An item is cut into windows that begin every few characters, so any fragment a little longer
+than a window holds one whole; a document holds a window if some part of it is within the window's
+edit budget. The q-gram lemma: a window of m characters and a part within
 k edits share at least m - q + 1 - k q q-grams, and these lie on diagonals (place in the text less
 place in the window) that differ by at most k. So the shared q-grams are counted in bands of 2 (k + 1)
 diagonals, each overlapping half of the next, which leaves every such match whole in one band; bands
@@ -14,6 +15,7 @@ block meeting all documents in one scan without a shuffle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
@@ -26,8 +28,11 @@ from pyspark.sql import functions as F
 from clusterkit.llm.common import BATCH_ROWS, id_and_text
 from clusterkit.llm.pretoken import blocks
 
-#: Characters of a q-gram, of a window and between window starts; edits for a character.
-Q, WINDOW, STEP, RATE = 12, 96, 32, 0.0625
+#: Characters of a q-gram, of a window and between window starts; edits for a character. A fragment of
+#: WINDOW + STEP - 1 = 52 characters holds a whole window, and 3 edits are allowed in one.
+Q, WINDOW, STEP, RATE = 12, 50, 3, 0.0625
+#: Shared grams that are dealt to windows at a time.
+HITS = 500_000
 #: Characters of benchmark items that one scan carries, and of texts searched at a time.
 BLOCK_CHARS, SEGMENT = 4_000_000, 2_000_000
 
@@ -73,51 +78,93 @@ def _grams(code: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Windows of items, and where each gram occurs in them."""
+    """Windows of items, and where each gram occurs in the items."""
 
     item: np.ndarray  # of each window
+    start: np.ndarray  # place of each window in the item
     size: np.ndarray
     budget: np.ndarray
     need: np.ndarray  # shared grams that the lemma asks for
-    chars: np.ndarray  # window x WINDOW, padded
+    flat: np.ndarray  # characters of all items, each followed by WINDOW signs that match nothing
+    begin: np.ndarray  # place of each window in ``flat``
+    windows: np.ndarray  # first window of each item, and one more
     gram: np.ndarray  # sorted, distinct
     first: np.ndarray  # of each gram into the next two, and one more
-    window: np.ndarray
-    at: np.ndarray
+    holder: np.ndarray  # item
+    at: np.ndarray  # place in it
     seen: np.ndarray  # a bit map of gram hashes, so that most grams of clean text stop there
 
+    @property
+    def chars(self) -> np.ndarray:
+        """Characters of each window, padded."""
+        return self.flat[self.begin[:, None] + np.arange(WINDOW)]
+
     @staticmethod
     def of(items: list[tuple[int, str]]) -> "Index":
-        rows = []
+        none = np.zeros(0, np.int64)
+        flat, starts, sizes, begins, grams, holder, at = ([] for _ in range(7))
+        item, windows, used = [], [0], 0
         for k, (_, text) in enumerate(items):
             code = normalise(text)[0]
             code = code[(code[:1] == 0).sum():]
             code = code[:len(code) - int(len(code) > 0 and code[-1] == 0)]
-            if len(code) < Q:
-                continue
-            last = max(0, len(code) - WINDOW)
-            rows += [(k, code[a:a + WINDOW]) for a in sorted({*range(0, last, STEP), last})]
-        item = np.array([k for k, _ in rows], np.int64)
-        size = np.array([len(c) for _, c in rows], np.int64)
+            if len(code) >= Q:
+                last = max(0, len(code) - WINDOW)
+                start = np.append(np.arange(0, last, STEP), last)
+                starts.append(start)
+                sizes.append(np.full(len(start), min(len(code), WINDOW)))
+                begins.append(start + used)
+                item.append(np.full(len(start), k))
+                g = _grams(code)
+                grams.append(g)
+                holder.append(np.full(len(g), k))
+                at.append(np.arange(len(g)))
+                flat += [code, np.full(WINDOW, _BREAK + 1, np.uint32)]
+                used += len(code) + WINDOW
+            windows.append(windows[-1] + (len(starts[-1]) if len(code) >= Q else 0))
+        join = lambda x: np.concatenate(x) if x else none
+        size = join(sizes)
         budget = (size * RATE).astype(np.int64)
         budget = np.minimum(budget, np.maximum(0, (size - Q) // Q))  # so that the lemma asks for one gram
-        chars = np.full((len(rows), WINDOW), _BREAK + 1, np.uint32)
-        grams, window, at = [], [], []
-        for w, (_, code) in enumerate(rows):
-            chars[w, :len(code)] = code
-            g = _grams(code)
-            grams.append(g)
-            window.append(np.full(len(g), w))
-            at.append(np.arange(len(g)))
-        flat = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        gram, first = np.unique(flat[order], return_index=True)
+        found = join(grams).astype(np.uint64)
+        order = np.argsort(found, kind="stable")
+        gram, first = np.unique(found[order], return_index=True)
         bits = 1 << max(16, int(len(gram) * 16).bit_length())
         seen = np.zeros(bits, bool)
         seen[(gram & np.uint64(bits - 1)).astype(np.int64)] = True
-        join = lambda x: np.concatenate(x)[order] if x else np.zeros(0, np.int64)
-        return Index(item, size, budget, size - Q + 1 - budget * Q, chars, gram,
-                     np.append(first, len(flat)), join(window), join(at), seen)
+        return Index(join(item), join(starts), size, budget, size - Q + 1 - budget * Q, join(flat).astype(np.uint32),
+                     join(begins), np.array(windows), gram, np.append(first, len(found)), join(holder)[order],
+                     join(at)[order], seen)
+
+
+#: The index built last in this process, by the key of the block it is of.
+_built: dict[str, Index] = {}
+
+
+def _index(key: str, block: list[tuple[int, str]]) -> Index:
+    if key not in _built:
+        _built.clear()
+        _built[key] = Index.of(block)
+    return _built[key]
+
+
+def _bands(place: np.ndarray, holder: np.ndarray, at: np.ndarray, ix: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of window and band, with the grams that they share: of grams at ``place`` in the text and
+    ``at`` in item ``holder``."""
+    keys = []
+    before, count = ix.windows[holder], ix.windows[holder + 1] - ix.windows[holder]
+    reach = WINDOW - Q  # a window holds the grams that begin up to here
+    tries = [(at // STEP - o, None) for o in range(reach // STEP + 1)] + [(count - 1, True)]
+    for number, last in tries:
+        fits = np.ones(len(at), bool) if last else (number >= 0) & (number < count - 1)
+        window = before[fits] + number[fits]
+        offset = at[fits] - ix.start[window]
+        inside = (offset >= 0) & (offset <= ix.size[window] - Q)
+        window, diagonal = window[inside], place[fits][inside] - offset[inside] + WINDOW  # not negative
+        band = diagonal // (ix.budget[window] + 1)
+        # Each diagonal is in the band that starts at its half and in the one before.
+        keys += [window << 40 | band, window << 40 | (band - 1)]
+    return np.unique(np.concatenate(keys), return_counts=True)
 
 
 def _candidates(code: np.ndarray, ix: Index) -> tuple[np.ndarray, np.ndarray]:
@@ -132,14 +179,19 @@ def _candidates(code: np.ndarray, ix: Index) -> tuple[np.ndarray, np.ndarray]:
     real = ix.gram[to] == h[place]
     place, to = place[real], to[real]
     many = ix.first[to + 1] - ix.first[to]
-    entry = np.repeat(ix.first[to] - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
-    window = ix.window[entry]
-    diagonal = np.repeat(place, many) - ix.at[entry] + WINDOW  # not negative
-    half = ix.budget[window] + 1
-    band = diagonal // half
-    # Each diagonal is in the band that starts at its half and in the one before.
-    key = np.concatenate([window << 40 | band, window << 40 | (band - 1)])
-    key, count = np.unique(key, return_counts=True)
+    ends = np.cumsum(many)
+    found = []
+    a = 0
+    while a < len(place):  # shares of bounded size, one place at least
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] - many[a] + HITS, "right")))
+        part = many[a:b]
+        entry = np.repeat(ix.first[to[a:b]] - np.r_[0, np.cumsum(part)[:-1]], part) + np.arange(part.sum())
+        found.append(_bands(np.repeat(place[a:b], part), ix.holder[entry], ix.at[entry], ix))
+        a = b
+    if not found:
+        return none, none
+    key, where = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    count = np.bincount(where, weights=np.concatenate([c for _, c in found]), minlength=len(key))
     window, band = key >> 40, key & ((1 << 40) - 1)
     good = (count >= ix.need[window]) & (band < 1 << 39)
     window, band = window[good], band[good]
@@ -167,7 +219,7 @@ def _align(code: np.ndarray, window: np.ndarray, low: np.ndarray, ix: Index):
         at = np.clip(base[:, None] + i + column + shift, 0, len(padded) - 1)
         here = padded[at]
         outside = here >= _BREAK
-        step = cost + (here != ix.chars[window, i][:, None])  # same diagonal
+        step = cost + (here != ix.flat[ix.begin[window] + i][:, None])  # same diagonal
         step[outside] = far
         skip = np.full((n, width), far, np.int32)  # a window character left out
         skip[:, :-1] = cost[:, 1:] + 1
@@ -233,7 +285,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``edits`` is the least of the windows; ``first`` and ``last`` bound all of them, in code points,
     end exclusive. Items of under ``Q`` characters, normalised, are in no document by definition,
     nor are null items. Null and empty texts hold none. Null ids stay null, repeated rows and items
-    are each reported, other columns are not read.
+    are each reported, other columns are not read; an empty table of either kind gives no rows.
     """
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -241,10 +293,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = "doc_id long, item_id long, n_windows int, edits int, first int, last int"
 
     def scan(block: list[tuple[int, str]]) -> DataFrame:
-        shipped = spark.sparkContext.broadcast(block)
+        shipped, key = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ix = Index.of(shipped.value)
+            ix = _index(key, shipped.value)
             ids = [i for i, _ in shipped.value]
             for batch in batches:
                 ids_of = batch.column("doc_id").to_pylist()
@@ -267,16 +319,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that hold no window of an item, all columns as they are. Null texts
-    hold none."""
+    """The rows of ``docs`` that hold no window of an item, all columns as they are, whatever their
+    names. Null and empty texts hold none, repeated rows stay or go alike; without items all rows stay,
+    and an empty table gives an empty one."""
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def scan(rows: DataFrame, block: list[tuple]) -> DataFrame:
-        shipped = spark.sparkContext.broadcast(block)
+        shipped, key = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ix = Index.of(shipped.value)
+            ix = _index(key, shipped.value)
             for batch in batches:
                 texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
                 bad = {n for n, *_ in matches(texts, ix)}

@@ -80,6 +80,44 @@ def test_contamination_of_hard_rows(spark):
     assert decontaminate.keep_clean(docs, bench.limit(0)).count() == len(rows)
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_fragments_and_replaced_words_are_found(spark):
+    """Shares of the benchmark's items found in clean text: whole, with words replaced, and as fragments."""
+    r = random.Random(12)
+    items = [(x.item_id, x.text) for x in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
+    index = decontaminate.Index.of(items)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(3, 9)))
+    around = lambda: " ".join(word() for _ in range(40))
+
+    def share(change):
+        texts, changed = [], [change(text.split()) for _, text in items]
+        changed = [(k, words) for k, words in enumerate(changed) if words]
+        texts = [f"{around()} {' '.join(words)} {around()}" for _, words in changed]
+        found = {(n, item) for n, item, *_ in decontaminate.matches(texts, index)}
+        return sum((n, k) in found for n, (k, _) in enumerate(changed)) / len(changed)
+
+    def fragment(size):
+        def cut(words):
+            a = r.randrange(max(1, len(words) - size + 1))
+            return words[a:a + size] if len(words) >= size else None
+
+        return cut
+
+    def replaced(count):
+        def change(words):
+            for k in r.sample(range(len(words)), count):
+                words[k] = word()
+            return words
+
+        return change
+
+    assert share(lambda words: words) == 1.0
+    assert share(fragment(13)) >= 0.9
+    assert share(replaced(1)) >= 0.95 and share(replaced(2)) >= 0.8
+    clean = [around() for _ in range(300)]
+    assert not decontaminate.matches(clean, index)
+
+
 def test_long_texts_are_searched_in_parts(monkeypatch):
     monkeypatch.setattr(decontaminate, "SEGMENT", 300)
     index = decontaminate.Index.of([(1, cases.PROSE)])
