@@ -13,13 +13,38 @@ from clusterkit.operators.kmeans import Clustering, assign, estimate_k, fit_best
 # Fixed values.
 ANOMALY_RANK = 100
 ANOMALY_CLUSTERS = 150
+# Ranks up to this are merged in one task; bins of a histogram that narrows down a larger one.
+MERGED_RANK, BINS = 100_000, 4096
 
 
-def rank_threshold(assigned: DataFrame, rank: int = ANOMALY_RANK) -> DataFrame:
+def rank_threshold(assigned: DataFrame, rank: int = ANOMALY_RANK, merged: int = MERGED_RANK) -> DataFrame:
     """The rank-th largest distance, or the smallest one if there are fewer rows, as (threshold).
-    Each task keeps its own top ``rank`` rows; only those are merged."""
-    top = assigned.select("distance").orderBy(F.desc("distance")).limit(rank)
-    return top.agg(F.min("distance").alias("threshold"))
+
+    Up to ``merged`` rows each task keeps its own top ``rank``, and only those are merged. A larger
+    rank is narrowed down first: a histogram of all distances says in which of its bins the rank lies,
+    that bin is divided in the next scan, and so on until it holds ``merged`` rows or one value. A bin
+    is bounded by the least and the largest distance in it, so ties end the search.
+    """
+    distances = assigned.select("distance").where("distance IS NOT NULL")
+    if rank <= merged:
+        return distances.orderBy(F.desc("distance")).limit(rank).agg(F.min("distance").alias("threshold"))
+    low, high, count = distances.agg(F.min("distance"), F.max("distance"), F.count("*")).first()
+    spark = assigned.sparkSession
+    if count <= rank or low == high:
+        return spark.createDataFrame([(low,)], "threshold double")
+    d = F.col("distance")
+    while count > merged and low < high:
+        at = F.least(F.floor((d - F.lit(low)) / F.lit(high - low) * BINS), F.lit(BINS - 1))
+        inside = distances.where((d >= F.lit(low)) & (d <= F.lit(high)))
+        bins = inside.groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.min(d).alias("low"), F.max(d).alias("high"))
+        for row in bins.orderBy(F.desc("bin")).collect():  # at most BINS rows
+            if rank <= row["n"]:
+                break
+            rank -= row["n"]
+        low, high, count = row["low"], row["high"], row["n"]
+    if low == high:
+        return spark.createDataFrame([(low,)], "threshold double")
+    return rank_threshold(distances.where((d >= F.lit(low)) & (d <= F.lit(high))), rank, max(merged, rank))
 
 
 @dataclass(frozen=True)

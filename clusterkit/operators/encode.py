@@ -113,7 +113,8 @@ def encode_vectors(
     # The encoder takes its widths from the indexer's column metadata: the fit scans no rows.
     blocks = encoder.fit(indexed).transform(indexed)
     order = [f"{n}__block" if n in dictionaries.values else n for n in spec.feature_order(include_label)]
-    assembled = VectorAssembler(inputCols=order, outputCol="features").transform(blocks)
+    # NaN is a number like any other here; what it means is said by the scaling.
+    assembled = VectorAssembler(inputCols=order, outputCol="features", handleInvalid="keep").transform(blocks)
     return assembled.select("label", *keep, "features")
 
 

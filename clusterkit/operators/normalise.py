@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -164,14 +165,45 @@ def apply_zscore(
     return df.withColumn(features, scaled)
 
 
-def scale_vectors(df: DataFrame, params: ZScore, features: str = "features") -> DataFrame:
+def scale_vectors(
+    df: DataFrame, params: ZScore, features: str = "features", nan_to_zero: bool = False
+) -> DataFrame:
     """Divide a features vector by the deviations and leave out the shift.
 
     Distances do not change when all points move by the same amount, so clusters, distances and
     anomalies are those of the full z-score, and a sparse row stays sparse. Centers found here
     are z-score centers plus ``params.mean / params.divisor``.
+
+    ``nan_to_zero``: what would be a z-score of NaN becomes the place of a z-score of zero. For a
+    coordinate that is NaN this is the mean divided by the deviation; in a dimension without a mean
+    all coordinates have it, so all become zero.
     """
-    product = ElementwiseProduct(
-        scalingVec=Vectors.dense(1.0 / params.divisor), inputCol=features, outputCol="__scaled"
-    )
-    return product.transform(df).drop(features).withColumnRenamed("__scaled", features)
+    if not nan_to_zero:
+        product = ElementwiseProduct(
+            scalingVec=Vectors.dense(1.0 / params.divisor), inputCol=features, outputCol="__scaled"
+        )
+        return product.transform(df).drop(features).withColumnRenamed("__scaled", features)
+    known = ~np.isnan(params.mean) & ~np.isnan(params.divisor)
+    factor = np.where(known, 1.0 / np.where(known, params.divisor, 1.0), 0.0)
+    center = np.where(known, params.mean, 0.0) * factor
+
+    def scaled(x):
+        import numpy as np
+        import pyarrow as pa
+
+        # Stored entries alone: those of a sparse vector have columns, a full one has them all.
+        values, columns = x.field("values"), x.field("indices")
+        sparse = x.field("type").fill_null(0).to_numpy(zero_copy_only=False) == 0
+        count = np.diff(values.offsets.to_numpy()) * values.is_valid().to_numpy(zero_copy_only=False)
+        first = np.cumsum(count) - count
+        at = np.arange(count.sum()) - np.repeat(first, count)
+        at[np.repeat(sparse, count)] = columns.flatten().to_numpy(zero_copy_only=False)
+        old = values.flatten().to_numpy(zero_copy_only=False).astype(float)
+        new = np.where(known[at], np.where(np.isnan(old), center[at], old * factor[at]), 0.0)
+        offsets = pa.array(np.append(first, count.sum()).astype("int32"), mask=np.append(values.is_null().to_numpy(zero_copy_only=False), False))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(new), type=values.type)
+        return pa.StructArray.from_arrays(
+            [x.field("type"), x.field("size"), columns, lists], fields=list(x.type), mask=x.is_null())
+
+    scaled.__annotations__ = {"x": pa.Array, "return": pa.Array}
+    return df.withColumn(features, F.arrow_udf(scaled, VectorUDT())(F.unwrap_udt(features)))

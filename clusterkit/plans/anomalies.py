@@ -14,7 +14,7 @@ from clusterkit.operators.anomaly import (
 )
 from clusterkit.operators.encode import Dictionaries, fit_dictionaries
 from clusterkit.operators.normalise import ZScore, apply_zscore, fit_zscore, scale_vectors
-from clusterkit.operators.pca import Projection, apply_pca, fit_pca
+from clusterkit.operators.pca import Projection, WideProjection, apply_pca, fit_pca
 from clusterkit.plans.features import PCA_COMPONENTS, categorical_features, kept
 from clusterkit.sinks.text import append_lines
 from clusterkit.sources.records import RecordSpec, parse_records
@@ -22,7 +22,7 @@ from clusterkit.sources.records import RecordSpec, parse_records
 
 def _scaled(df: DataFrame, zscore: ZScore) -> DataFrame:
     if isinstance(df.schema["features"].dataType, VectorUDT):
-        return scale_vectors(df, zscore)
+        return scale_vectors(df, zscore, nan_to_zero=True)
     return apply_zscore(df, zscore, nan_to_zero=True)
 
 
@@ -33,7 +33,7 @@ class AnomalyModel:
 
     spec: RecordSpec
     dictionaries: Dictionaries
-    projection: Projection | None
+    projection: Projection | WideProjection | None
     zscore: ZScore
     detector: Detector
     include_label: bool

@@ -53,7 +53,7 @@ def normalised(df: DataFrame, nan_to_zero: bool = False) -> DataFrame:
     if params is None:
         return df
     if isinstance(df.schema["features"].dataType, VectorUDT):
-        return scale_vectors(df, params)
+        return scale_vectors(df, params, nan_to_zero=nan_to_zero)
     return apply_zscore(df, params, nan_to_zero=nan_to_zero)
 
 

@@ -116,3 +116,87 @@ def test_pca_rows_are_uncentered_products(spark):
     projection = fit_pca(df, 1)
     got = np.array([r["features"] for r in apply_pca(df, projection).orderBy("id").collect()])
     assert got == pytest.approx(points @ projection.components)
+
+
+def nan_rows(rng, count, width):
+    """Rows of zeros and ones with two numbers in front; NaN in one number here and there."""
+    x = (rng.random((count, width)) < 0.02).astype(float)
+    x[:, 0], x[:, 1] = rng.normal(size=count), rng.normal(size=count) * 50 + 7
+    return x
+
+
+@pytest.mark.parametrize("width", [200, 300])
+@pytest.mark.parametrize("fitted_on_nan", [True, False])
+def test_nan_on_sparse_rows_is_the_zero_of_the_score(spark, width, fitted_on_nan):
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(width)
+    clean, dirty = nan_rows(rng, 60, width), nan_rows(rng, 60, width)
+    dirty[::5, 1] = np.nan
+    dirty[7, 0] = np.nan
+    points = dirty if fitted_on_nan else clean
+    arrays = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(points)], "id int, features array<double>")
+    made = [(i, Vectors.dense(x) if i % 4 == 0 else Vectors.sparse(width, np.flatnonzero(x != 0), x[x != 0])) for i, x in enumerate(dirty)]
+    params = fit_zscore(arrays)
+    flat = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(dirty)], "id int, features array<double>")
+    want = np.array([r["features"] for r in apply_zscore(flat, params, nan_to_zero=True).orderBy("id").collect()])
+    scaled = scale_vectors(spark.createDataFrame(made, ["id", "features"]), params, nan_to_zero=True)
+    got = np.array([r["features"].toArray() for r in scaled.orderBy("id").collect()])
+    assert not np.isnan(got).any() and not np.isnan(want).any()
+    for a in range(0, 60, 7):  # distances are those of the full score
+        assert np.linalg.norm(got - got[a], axis=1) == pytest.approx(np.linalg.norm(want - want[a], axis=1), abs=1e-9)
+
+
+def test_same_anomalies_on_either_side_of_the_array_width(spark, monkeypatch):
+    """Rows with a NaN number are scored alike as arrays and as sparse vectors."""
+    from clusterkit.plans import anomalies, features as plan_features
+    from clusterkit.sources.records import RecordSpec
+
+    spec = RecordSpec(names=("id", "x", "y", "kind"), numeric=(1, 2), categorical=(3,), label=0)
+    rng = np.random.default_rng(6)
+    lines = [f"r{i},{rng.normal():.4f},{'NaN' if i % 11 == 0 else f'{rng.normal():.4f}'},k{i % 9}" for i in range(150)]
+    given = spark.createDataFrame([(line,) for line in lines], "value string")
+    found = []
+    for width in (256, 3):
+        monkeypatch.setattr(plan_features, "MAX_ARRAY_WIDTH", width)
+        rows = anomalies.pca_anomalies_job(given, spec, components=None, k=1, rank=20)
+        found.append({r["value"].split(",")[0]: round(r["distance"], 6) for r in rows.collect()})
+    assert len(found[0]) == 19 and found[0] == found[1]
+
+
+# -- wide principal components
+
+
+def wide_sparse(rng, count, width, factors):
+    """Sparse rows along a few directions of falling weight."""
+    directions = []
+    for f in range(factors):
+        d = np.zeros(width)
+        d[rng.choice(width, 40, replace=False)] = rng.normal(size=40)
+        directions.append(d / np.linalg.norm(d) * 10 * 0.6 ** f)
+    return np.array([sum(rng.normal() * d for d in directions) for _ in range(count)])
+
+
+@pytest.mark.parametrize("width, form", [(20_000, "vectors"), (300, "arrays")])
+def test_wide_components_equal_those_of_numpy(spark, monkeypatch, width, form):
+    from pyspark.ml.linalg import Vectors
+
+    from clusterkit.operators import pca
+
+    monkeypatch.setattr(pca, "MAX_PCA_WIDTH", 250)
+    rng = np.random.default_rng(8)
+    points = wide_sparse(rng, 90, width, 8)
+    if form == "vectors":
+        rows = [(i, Vectors.sparse(width, np.flatnonzero(x), x[np.flatnonzero(x)])) for i, x in enumerate(points)]
+        df = spark.createDataFrame(rows, ["id", "features"]).repartition(3)
+    else:
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(points)], "id int, features array<double>").repartition(3)
+    model = pca.fit_pca(df, 5)
+    centered = points - points.mean(axis=0)
+    _, singular, right = np.linalg.svd(centered, full_matrices=False)
+    want = pca._turned(right[:5].T)
+    assert isinstance(model, pca.WideProjection)
+    assert model.components == pytest.approx(want, abs=1e-6)
+    assert model.explained_variance == pytest.approx((singular ** 2 / (singular ** 2).sum())[:5])
+    got = np.array([r["features"] for r in pca.apply_pca(df, model).orderBy("id").collect()])
+    assert got == pytest.approx(points @ want, abs=1e-5)

@@ -173,3 +173,50 @@ def test_a_threshold_does_not_repeat_the_features(spark, width):
     assert plan.lower().count("log1p") == 1 and plan.count("ArrowEvalPython") <= 1
     gaps = np.linalg.norm(np.log1p(abs(points))[:, None, :] - centers[None, :, :], axis=2).min(axis=1)
     assert found.count() == (gaps > 0.5).sum()
+
+
+# -- entropy of many runs, large ranks
+
+
+@pytest.mark.parametrize("labels", ["few", "unique", "hot", "nulls"])
+def test_entropy_of_runs_equals_that_of_each(spark, labels):
+    from clusterkit.operators.kmeans import Clustering, assign
+    from clusterkit.operators.quality import run_entropies
+
+    rng = np.random.default_rng(3)
+    label = {"few": lambda i: f"l{i % 5}", "unique": lambda i: f"l{i // 2}" if i % 3 else f"u{i}",
+             "hot": lambda i: "hot" if i % 3 else f"l{i % 7}", "nulls": lambda i: None if i % 4 == 0 else f"{i % 3}"}[labels]
+    points = rng.normal(size=(900, 2))
+    rows = [(label(i), [float(x) for x in p]) for i, p in enumerate(points)] + [("bad", None), ("bad", [1.0, float("nan")])]
+    df = spark.createDataFrame(rows, "label string, features array<double>").repartition(5)
+    models = {k: Clustering(points[:k]) for k in (1, 3, 8)}
+    got = run_entropies(df, models, split_rows=100)
+    for k, model in models.items():
+        assert got[k] == pytest.approx(label_entropy(assign(df, model)).first()["score"])
+
+
+def test_entropy_of_runs_shuffles_each_row_once(spark):
+    """What is dealt out are the rows, whatever the number of runs: no row for each row and run."""
+    from clusterkit.operators import quality
+    from clusterkit.operators.kmeans import Clustering
+
+    sent = {}
+    rows = spark.range(400).selectExpr("cast(id % 50 AS string) AS label", "array(double(id % 17), double(id % 5)) AS features")
+    for runs in (1, 12):
+        models = {r: Clustering(np.random.default_rng(r).normal(size=(4, 2))) for r in range(runs)}
+        dealt = rows.select("label", F.lit(False).alias("split"), "features").repartition("label").sortWithinPartitions("label")
+        found = quality._label_runs(dealt, models)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        sent[runs] = plan.count("Exchange")
+        assert "Generate" not in plan and found.count() <= runs * 4 * spark.sparkContext.defaultParallelism * 2
+    assert sent[1] == sent[12]
+
+
+@pytest.mark.parametrize("rank", [1, 40, 999, 2500, 3999, 4000, 9000])
+def test_large_ranks_are_narrowed_down(spark, rank):
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.exponential(size=2000), np.full(1500, 0.25), rng.normal(size=500) ** 2 * 1e-9])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "distance double").repartition(4)
+    want = np.sort(values)[::-1][min(rank, len(values)) - 1]
+    assert rank_threshold(df, rank, merged=30).first()["threshold"] == want
+    assert rank_threshold(df, rank).first()["threshold"] == want
