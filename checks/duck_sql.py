@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from checks import starts as S
-from checks.seeded_sql import seeded
+from checks.seeded_sql import lloyd_until, near_rows, seeded
 from clusterkit.operators.anomaly import ANOMALY_CLUSTERS
-from clusterkit.operators.kmeans import DEFAULT_K, DEFAULT_TOLERANCE, RESTARTS, RESTART_TOLERANCE
+from clusterkit.operators.kmeans import (
+    DEFAULT_K, DEFAULT_TOLERANCE, MAX_ITERATIONS, RESTARTS, RESTART_TOLERANCE,
+)
 
 POWER_STEPS = 400
 
@@ -422,6 +424,50 @@ def job_sql() -> dict[str, str]:
     }
 
 
+def every_k(points: str, expressions: Sequence[str], limit: str | None = None) -> str:
+    """A start for every K up to the rule of thumb (or ``limit``), its points by expressions of j and k."""
+    x = ", ".join(f"({e})::DOUBLE AS x{i}" for i, e in enumerate(expressions))
+    limit = limit or f"(SELECT floor(sqrt(count(*) // 2)) FROM {points})"
+    return (f"SELECT k::INTEGER AS run, k::INTEGER AS k, 0 AS seed, j::INTEGER AS cluster, false AS done, {x} "
+            f"FROM range(1, {limit}::BIGINT + 1) t(k), range(k) u(j)")
+
+
+DIAGONAL = "-1.0::DOUBLE + 2.0::DOUBLE * ((j + 0.5::DOUBLE) / k)"
+EVENT_POINT = ["50.0", "200.0::DOUBLE * (j + 0.5::DOUBLE) / k", "12.0"]
+
+
+def default_sql() -> dict[str, str]:
+    """Jobs with their own parameters: every K, 20 iterations, the stop at 1e-6, K by the rule of thumb."""
+    width = len(EVENT_SLOTS)
+
+    def scores(points: str, count: int, tag: str = "") -> str:
+        return f"SELECT run AS k, {r6('avg(sqrt(b.d2))')} AS score FROM ({near_rows(points, f's{tag}_{MAX_ITERATIONS}', count, '1')}) GROUP BY run"
+
+    weigh = lambda name, count: f"{name}1 AS MATERIALIZED (SELECT pid, 1 AS w, {', '.join(cols('x', count))} FROM {name})"
+    running = [events(EVENT_FIELDS)]
+    for b in range(S.BATCHES):
+        mean_k = (f"(SELECT sum(k) // count(*) FROM (SELECT batch_id, floor(sqrt(count(*) // 2))::BIGINT AS k FROM ev "
+                  f"WHERE batch_id <= {b} GROUP BY 1))")
+        running += [one_batch(b), zscored(f"ev{b}", f"pts{b}", 3, "p.pid"), weigh(f"pts{b}", 3),
+                    *lloyd_until(f"pts{b}1", 3, every_k("", [DIAGONAL] * 3, mean_k), RESTART_TOLERANCE, f"_b{b}")]
+    features = "pts AS MATERIALIZED (SELECT event_id AS pid, value AS x0, hour(ts)::DOUBLE AS x1 FROM events)"
+    thumb = "(SELECT floor(sqrt(count(*) // 2))::BIGINT FROM pts)"
+    return {
+        "q23b_raw_sweep_default": chain(
+            [events(EVENT_FIELDS, "pts"), weigh("pts", 3), *lloyd_until("pts1", 3, every_k("pts", EVENT_POINT), RESTART_TOLERANCE)],
+            f"SELECT k, score, score AS score2 FROM ({scores('pts1', 3)})"),
+        "q29b_categorical_sweep_default": chain(
+            [events(EVENT_SLOTS, "raw"), zscored("raw", "pts", width, "p.pid"), weigh("pts", width),
+             *lloyd_until("pts1", width, every_k("pts", [DIAGONAL] * width), RESTART_TOLERANCE)], scores("pts1", width)),
+        "q46d_stream_running_sweep": chain(
+            running, " UNION ALL ".join(f"SELECT {b}::BIGINT AS batch_id, k, score FROM ({scores(f'pts{b}1', 3, f'_b{b}')})"
+                                        for b in range(S.BATCHES))),
+        "q55_detector_estimated_k": chain(
+            [features, *seeded("pts", 2, thumb, range(RESTARTS), RESTART_TOLERANCE), f"near AS MATERIALIZED ({nearest('pts', 'best', 2)})"],
+            f"SELECT pid AS event_id, {r6(DISTANCE)} AS distance FROM near n WHERE {DISTANCE} > {threshold('near')}", recursive=True),
+    }
+
+
 def online(width: int, starts: Sequence[Sequence[float]]) -> list[str]:
     """Online K-means over the batches: ``m{b}`` (cluster, weight, x...) and ``near_b{b}`` after batch b."""
     parts = [
@@ -480,6 +526,8 @@ def stream_sql() -> dict[str, str]:
     labelled = per_batch(
         "SELECT {b}::BIGINT AS batch_id, n.b.cluster AS cluster, p.label, count(*) AS count "
         "FROM near_b{b} n JOIN ev{b} p USING (pid) GROUP BY 2, 3")
+    predicted = per_batch("SELECT {b}::BIGINT AS batch_id, b.cluster::VARCHAR AS line FROM near_b{b}")
+    outcome = ("CASE WHEN event_id % 13 = 0 THEN 'field count' WHEN event_id % 17 = 0 THEN 'not a number' ELSE 'kept' END")
     texts = per_batch("SELECT {b}::BIGINT AS batch_id, printf('%.6f,%.6f', x0, x1) AS line FROM m{b}")
     scores = per_batch(
         f"SELECT {{b}}::BIGINT AS batch_id, run AS k, {r6('avg(sqrt(b.d2))')} AS score FROM near_b{{b}} GROUP BY run")
@@ -504,7 +552,11 @@ def stream_sql() -> dict[str, str]:
         "q40_stream_parse":
             "SELECT event_id, user_id::DOUBLE AS user_id, event_type, value AS amount, hour(ts)::DOUBLE AS hour FROM events",
         "q41_stream_kmeans": chain(trained, centers),
+        "q41b_online_interval": chain(trained, centers),
         "q42_stream_assign": chain(trained, assigned),
+        "q42b_prediction_text": chain(trained, predicted),
+        "q49_observed_rejects": f"SELECT {outcome} AS outcome, count(*) AS lines FROM events GROUP BY 1",
+        "q49b_stream_rejects": f"SELECT {BATCH} AS batch_id, {outcome} AS outcome, count(*) AS lines FROM events GROUP BY 1, 2",
         "q43_stream_cluster_label": chain(trained, labelled),
         "q44_stream_center_log": chain(trained, texts),
         "q45_stream_running_k":
@@ -523,4 +575,4 @@ def stream_sql() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
-    return {**plain_sql(), **item_sql(), **seeded_sql(), **job_sql(), **stream_sql()}
+    return {**plain_sql(), **item_sql(), **seeded_sql(), **job_sql(), **default_sql(), **stream_sql()}

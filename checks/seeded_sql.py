@@ -27,19 +27,46 @@ def _factors(seeds: Sequence[int], step: int) -> str:
     return f"(VALUES {rows}) f(seed, factor)"
 
 
-def seeded(points: str, width: int, ks: Sequence[int], seeds: Sequence[int], tolerance: float, tag: str = "") -> list[str]:
-    """CTEs that end in ``best{tag}`` (run: the k, cluster, x...) from ``points`` (x...)."""
+def lloyd_until(rows: str, width: int, starts: str, tolerance: float, tag: str = "", weight: str = "p.w") -> list[str]:
+    """CTEs that end in ``s{tag}_{MAX_ITERATIONS}`` from ``rows`` (pid, x...) and ``starts``, a query of
+    run, k, seed, cluster, done, x...: runs that stand still keep their centers."""
+    parts = [f"s{tag}_0 AS MATERIALIZED ({starts})"]
+    for i in range(1, MAX_ITERATIONS + 1):
+        old = f"s{tag}_{i - 1}"
+        means = ", ".join(f"sum(p.x{j} * n.w) / sum(n.w) AS x{j}" for j in range(width))
+        kept = ", ".join(f"CASE WHEN o.done OR m.x{j} IS NULL THEN o.x{j} ELSE m.x{j} END AS x{j}" for j in range(width))
+        moved = f"sqrt({_squared(width, 'a', 'o')})"
+        parts.append(
+            f"s{tag}_{i} AS MATERIALIZED (WITH m AS (SELECT n.run, n.b.cluster AS cluster, {means} "
+            f"FROM ({near_rows(rows, old, width, weight, 'WHERE NOT c.done')}) n "
+            f"JOIN {rows} p USING (pid) GROUP BY 1, 2), a AS (SELECT o.run, o.k, o.seed, o.cluster, o.done, {kept} FROM {old} o "
+            f"LEFT JOIN m ON m.run = o.run AND m.cluster = o.cluster) SELECT a.run, a.k, a.seed, a.cluster, "
+            f"a.done OR max({moved}) OVER (PARTITION BY a.run) <= {tolerance!r} AS done, {_x(width, 'a')} "
+            f"FROM a JOIN {old} o ON o.run = a.run AND o.cluster = a.cluster)"
+        )
+    return parts
+
+
+def near_rows(rows: str, centers: str, width: int, weight: str = "p.w", where: str = "") -> str:
+    """(pid, run, w, b.d2, b.cluster) of the nearest centers, the lower id on a tie."""
+    return (f"SELECT p.pid, c.run, any_value({weight}) AS w, min({{'d2': {_squared(width, 'p', 'c')}, 'cluster': c.cluster}}) AS b "
+            f"FROM {rows} p CROSS JOIN {centers} c {where} GROUP BY p.pid, c.run")
+
+
+def seeded(points: str, width: int, ks: Sequence[int] | str, seeds: Sequence[int], tolerance: float, tag: str = "") -> list[str]:
+    """CTEs that end in ``best{tag}`` (run: the k, cluster, x...) from ``points`` (x...). ``ks`` may
+    be SQL for one k that depends on the data."""
     first, second = mixing_factors(width)
     terms = [f"(x{i} * {float(a)!r}::DOUBLE - floor(x{i} * {float(a)!r}::DOUBLE)) * {float(b)!r}::DOUBLE"
              for i, (a, b) in enumerate(zip(first, second))]
-    rows, most = f"rows{tag}", max(ks)
-    count = OVERSAMPLING * most
+    rows, most = f"rows{tag}", ks if isinstance(ks, str) else max(ks)
+    count = f"{OVERSAMPLING} * {most}" if isinstance(ks, str) else OVERSAMPLING * most
     parts = [
         f"{rows} AS MATERIALIZED (SELECT row_number() OVER () AS pid, count(*) AS w, {_x(width)}, {' + '.join(terms)} AS mixed "
         f"FROM {points} GROUP BY {_x(width)})"
     ]
 
-    def drawn(mass: str, n: int) -> str:
+    def drawn(mass: str, n: int | str) -> str:
         """Of (seed, pid, mixed, factor and what the mass needs) the n least keys of each seed."""
         return (f"SELECT seed, pid, key FROM (SELECT seed, pid, -ln({_u('factor')}) / ({mass}) AS key FROM src "
                 f"WHERE {_u('factor')} > 0 AND {mass} > 0) QUALIFY row_number() OVER (PARTITION BY seed ORDER BY key) <= {n}")
@@ -76,29 +103,15 @@ def seeded(points: str, width: int, ks: Sequence[int], seeds: Sequence[int], tol
     )
     parts.append(f"starts{tag} AS MATERIALIZED (SELECT seed, t - 1 AS cluster, {_x(width)} FROM thin{tag} WHERE pick = place)")
     # One run for each k and seed; finished ones keep their centers.
-    grid = ", ".join(f"({n}, {k}, {s})" for n, (k, s) in enumerate((k, s) for k in sorted(ks) for s in seeds))
-    parts.append(f"s{tag}_0 AS MATERIALIZED (SELECT g.run, g.k, g.seed, s.cluster, false AS done, {_x(width, 's')} "
-                 f"FROM (VALUES {grid}) g(run, k, seed) JOIN starts{tag} s ON s.seed = g.seed AND s.cluster < g.k)")
-
-    def near(centers: str) -> str:
-        return (f"SELECT p.pid, c.run, any_value(p.w) AS w, min({{'d2': {_squared(width, 'p', 'c')}, 'cluster': c.cluster}}) AS b "
-                f"FROM {rows} p CROSS JOIN {centers} c GROUP BY p.pid, c.run")
-
-    for i in range(1, MAX_ITERATIONS + 1):
-        old = f"s{tag}_{i - 1}"
-        means = ", ".join(f"sum(p.x{j} * n.w) / sum(n.w) AS x{j}" for j in range(width))
-        kept = ", ".join(f"CASE WHEN o.done OR m.x{j} IS NULL THEN o.x{j} ELSE m.x{j} END AS x{j}" for j in range(width))
-        moved = f"sqrt({_squared(width, 'a', 'o')})"
-        parts.append(
-            f"s{tag}_{i} AS MATERIALIZED (WITH m AS (SELECT n.run, n.b.cluster AS cluster, {means} FROM ({near(old)}) n "
-            f"JOIN {rows} p USING (pid) GROUP BY 1, 2), a AS (SELECT o.run, o.k, o.seed, o.cluster, o.done, {kept} FROM {old} o "
-            f"LEFT JOIN m ON m.run = o.run AND m.cluster = o.cluster) SELECT a.run, a.k, a.seed, a.cluster, "
-            f"a.done OR max({moved}) OVER (PARTITION BY a.run) <= {tolerance!r} AS done, {_x(width, 'a')} "
-            f"FROM a JOIN {old} o ON o.run = a.run AND o.cluster = a.cluster)"
-        )
+    each = ", ".join(f"({s})" for s in seeds)
+    wanted = f"(SELECT {most})" if isinstance(ks, str) else "(VALUES " + ", ".join(f"({k})" for k in sorted(ks)) + ")"
+    parts += lloyd_until(
+        rows, width, f"SELECT (g.k * {len(seeds)} + row_number) AS run, g.k, g.seed, s.cluster, false AS done, {_x(width, 's')} "
+        f"FROM (SELECT k, seed, row_number() OVER (PARTITION BY k ORDER BY seed) - 1 AS row_number FROM {wanted} a(k), "
+        f"(VALUES {each}) b(seed)) g JOIN starts{tag} s ON s.seed = g.seed AND s.cluster < g.k", tolerance, tag)
     last = f"s{tag}_{MAX_ITERATIONS}"
     parts.append(
-        f"best{tag} AS MATERIALIZED (WITH costs AS (SELECT run, sum(b.d2 * w) AS cost FROM ({near(last)}) GROUP BY run), "
+        f"best{tag} AS MATERIALIZED (WITH costs AS (SELECT run, sum(b.d2 * w) AS cost FROM ({near_rows(rows, last, width)}) GROUP BY run), "
         f"won AS (SELECT c.k, arg_min(c.run, {{'cost': costs.cost, 'seed': c.seed}}) AS run FROM "
         f"(SELECT DISTINCT run, k, seed FROM {last}) c JOIN costs USING (run) GROUP BY c.k) "
         f"SELECT c.k AS run, c.cluster, {_x(width, 'c')} FROM {last} c JOIN won ON won.run = c.run)"

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from checks import starts as S
@@ -20,7 +21,7 @@ from clusterkit.operators.encode import (
     assemble_numeric, category_index, encode_vectors, fit_dictionaries, lookup_index,
 )
 from clusterkit.operators.kmeans import (
-    Clustering, assign, centers_table, estimate_k, fit, fit_best_of_ten, lloyd, with_center,
+    RESTART_TOLERANCE, Clustering, assign, centers_table, estimate_k, fit, fit_best_of_ten, lloyd, with_center,
 )
 from clusterkit.functions.vectors import euclidean
 from clusterkit.operators.normalise import apply_zscore, covariance, fit_zscore, vector_stats
@@ -32,7 +33,8 @@ from clusterkit.plans.features import PCA_COMPONENTS, kept
 from clusterkit.scratch import shared_dir
 from clusterkit.sinks.text import append_lines
 from clusterkit.sources.records import (
-    TRADE_RECORD, RecordSpec, parse_numbers, parse_records, rejected_records, split_records,
+    TRADE_RECORD, RecordSpec, observed_records, outcome_rows, parse_numbers, parse_records, rejected_records,
+    split_records,
 )
 from clusterkit.sources.text import read_lines, stream_lines
 from clusterkit.streaming import batches as handlers
@@ -530,6 +532,134 @@ def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# -- jobs with their own parameters -----------------------------------------------------------
+
+
+def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(event_line().alias("value"))
+
+
+def raw_sweep_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every K up to the rule of thumb, 20 iterations, the job's own tolerance."""
+    return rounded(jobs.raw_sweep_job(
+        _event_lines(spark, sf_dir), EVENT_RECORD, init=S.event_start, tolerance=RESTART_TOLERANCE), "score", "score2")
+
+
+def categorical_sweep_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(jobs.categorical_sweep_job(_event_lines(spark, sf_dir), EVENT_RECORD, init=S.spread(8)), "score")
+
+
+def detector_estimated_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K by the rule of thumb, ten seeds, the hundredth distance."""
+    rows = _event_features(_event_lines(spark, sf_dir)).drop("label")
+    with kept(rows.select("features")) as features:
+        detector = fit_detector(features)
+    return detector.anomalies(rows).select("event_id", r6("distance").alias("distance"))
+
+
+def pca_anomalies_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15 components, 150 clusters, ten seeds."""
+    return _label_and_distance(anomaly_jobs.pca_anomalies_job(trade_lines(spark, sf_dir), TRADE_RECORD))
+
+
+def top10_anomalies_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """150 clusters of all features, ten seeds."""
+    return _label_and_distance(anomaly_jobs.top_anomalies_job(trade_lines(spark, sf_dir), TRADE_RECORD))
+
+
+def stream_running_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch with every K up to the running estimate."""
+    out = shared_dir(spark, "sweep")
+    handle = handlers.sweep_handler(
+        jobs.normalised_sweep_job, EVENT_RECORD, out, handlers.RunningK(spark, shared_dir(spark, "running-k")), init=S.spread(3))
+
+    def start(lines: DataFrame, checkpoint: str):
+        return start_batches(lines, handle, checkpoint, availableNow=True)
+
+    _stream_events(spark, sf_dir, start)
+    return rounded(_batches_of(spark, out).select("batch_id", "k", "score"), "score")
+
+
+class _Lost(Exception):
+    """What stops a batch after its state was written."""
+
+
+def online_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query on an interval takes a file a batch; in the second batch it is stopped between the
+    state and the commit, and goes on from the checkpoint with that batch once more."""
+    landing, checkpoint = shared_dir(spark, "landing"), shared_dir(spark, "checkpoint")
+    for number, part in enumerate(event_batches(spark, sf_dir)):
+        part.coalesce(1).write.mode("append").text(landing)
+    model = OnlineKMeans(spark, shared_dir(spark, "centers"), init=S.EVENT_STARTS)
+    seen: list[int] = []
+
+    def on_batch(batch: DataFrame, centers: Clustering, batch_id: int) -> None:
+        seen.append(batch_id)
+        if seen == [0, 1]:
+            raise _Lost("after the state of batch 1")
+
+    def start():
+        lines = stream_lines(spark, landing, max_files_per_trigger=1)
+        return model.start(_event_features(lines), checkpoint, on_batch, processingTime="1 second")
+
+    query = start()
+    try:
+        query.processAllAvailable()
+    except StreamingQueryException:
+        query.stop()
+        query = start()
+        query.processAllAvailable()
+    query.stop()
+    if seen[:3] != [0, 1, 1]:
+        raise AssertionError(f"batches {seen}: the second was not replayed")
+    history = model.history().withColumnRenamed("center", "features")
+    return spread_out(history, 2, "c", F.col("batch_id").cast("bigint").alias("batch_id"), "cluster", "weight")
+
+
+def prediction_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every row of each batch, as text."""
+    out = shared_dir(spark, "prediction-text")
+    _online(spark, sf_dir, handlers.prediction_text_writer(out))
+    return read_lines(spark, out).select(F.col("batch_id").cast("bigint").alias("batch_id"), F.col("value").alias("line"))
+
+
+def _spoilt(lines: DataFrame) -> DataFrame:
+    """Event lines, some of them cut short and some with a word for a number."""
+    event_id = F.split("value", ",")[0].cast("bigint")
+    return lines.select(F.when(event_id % 13 == 0, F.concat(event_id.cast("string"), F.lit(",cut")))
+                        .when(event_id % 17 == 0, F.regexp_replace("value", "^([^,]*),[^,]*,", "$1,many,"))
+                        .otherwise(F.col("value")).alias("value"))
+
+
+def observed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines taken and left out by a job, counted as it runs."""
+    watch = Observation("lines")
+    records = observed_records(_spoilt(_event_lines(spark, sf_dir)), EVENT_RECORD, watch)
+    out = shared_dir(spark, "observed")
+    records.write.parquet(out)
+    counted = spark.createDataFrame(outcome_rows(watch.get), "outcome string, lines bigint")
+    written = spark.read.parquet(out).count()
+    return counted.where((F.col("outcome") != "kept") | (F.col("lines") == written))
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for every batch of a stream, by the job that trains on the batch."""
+    counts = handlers.RejectCounts(spark, shared_dir(spark, "reject-counts"), EVENT_RECORD)
+    model = OnlineKMeans(spark, shared_dir(spark, "centers"), init=S.EVENT_STARTS)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        records = counts.records(_spoilt(batch), batch_id)
+        with kept(records.select(F.array("amount", "hour").alias("features"))) as features:
+            model.update(features, batch_id)
+        counts.save(batch_id)
+
+    def start(lines: DataFrame, checkpoint: str):
+        return start_batches(lines, handle, checkpoint, availableNow=True)
+
+    _stream_events(spark, sf_dir, start)
+    return counts.history().select(F.col("batch_id").cast("bigint").alias("batch_id"), "outcome", "lines")
+
+
 # -- sinks ------------------------------------------------------------------------------------
 
 
@@ -611,6 +741,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q46c_stream_categorical_sweep": stream_categorical_sweep,
     "q47_stream_pca_entropy": stream_pca_entropy,
     "q48_stream_anomalies": stream_anomalies,
+    "q23b_raw_sweep_default": raw_sweep_default,
+    "q29b_categorical_sweep_default": categorical_sweep_default,
+    "q33b_top10_anomalies_default": top10_anomalies_default,
+    "q34b_pca_anomalies_default": pca_anomalies_default,
+    "q41b_online_interval": online_interval,
+    "q42b_prediction_text": prediction_text,
+    "q46d_stream_running_sweep": stream_running_sweep,
+    "q49_observed_rejects": observed_rejects,
+    "q49b_stream_rejects": stream_rejects,
+    "q55_detector_estimated_k": detector_estimated_k,
     "q50_report_lines": report_lines,
     "q50b_anomaly_lines": anomaly_lines,
     "q50c_score_lines": score_lines,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clusterkit.functions import sqltext as q
@@ -90,11 +90,15 @@ def split_records(lines: DataFrame, spec: RecordSpec) -> DataFrame:
 
 def parse_records(lines: DataFrame, spec: RecordSpec) -> DataFrame:
     """The well-formed lines: ``value``, ``label``, numeric fields as double, the rest as text."""
+    return _typed(_split(lines, spec), spec)
+
+
+def _typed(split: DataFrame, spec: RecordSpec) -> DataFrame:
     typed = [
         f"{blank_to_zero_text(f'parts[{i}]') if i in spec.numeric else f'parts[{i}]'} AS {q.name(name)}"
         for i, name in enumerate(spec.names)
     ]
-    good = _split(lines, spec).where(f"{_is_complete(spec)} AND {_all_numbers(spec)}")
+    good = split.where(f"{_is_complete(spec)} AND {_all_numbers(spec)}")
     return good.selectExpr("value", f"parts[{spec.label}] AS label", *typed)
 
 
@@ -104,6 +108,30 @@ def rejected_records(lines: DataFrame, spec: RecordSpec) -> DataFrame:
     return _split(lines, spec).select("value", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
+OUTCOMES = ("kept", "field count", "not a number")
+
+
+def _outcome_counts(spec: RecordSpec) -> list[Column]:
+    complete, numbers = F.expr(_is_complete(spec)), F.expr(_all_numbers(spec))
+    outcome = F.when(~complete, OUTCOMES[1]).when(~numbers, OUTCOMES[2]).otherwise(OUTCOMES[0])
+    return [F.count(F.when(outcome == name, 1)).alias(name) for name in OUTCOMES]
+
+
+def observed_records(lines: DataFrame, spec: RecordSpec, watch: Observation | str) -> DataFrame:
+    """``parse_records``, with the lines kept and left out counted on the way, by reason.
+
+    The counts are metrics of whatever job reads the records, so nothing is scanned for them alone:
+    of an ``Observation`` they are its ``get`` after the first action, and by a name they are those of a
+    stream's progress (``rejects_of``). A job that stops early, a ``limit``, has counted what it read.
+    """
+    return _typed(_split(lines, spec).observe(watch, *_outcome_counts(spec)), spec)
+
+
+def outcome_rows(metrics: dict[str, int]) -> list[tuple[str, int]]:
+    """(outcome, lines) of the metrics of ``observed_records``, outcomes without lines left out."""
+    return [(name, metrics[name]) for name in OUTCOMES if metrics.get(name)]
+
+
 def _numbers(lines: DataFrame, delimiter: str) -> DataFrame:
     fields = split_fields(F.col("value"), delimiter)
     return lines.select("value", once(F.transform(fields, lambda x: x.try_cast("double"))).alias("features"))

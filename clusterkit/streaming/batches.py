@@ -6,9 +6,10 @@ batch replaces it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clusterkit.functions.fields import center_text, cluster_count_line
@@ -19,7 +20,7 @@ from clusterkit.operators.quality import k_grid
 from clusterkit.plans.anomalies import AnomalyModel
 from clusterkit.plans.features import kept
 from clusterkit.sinks.text import write_batch_lines
-from clusterkit.sources.records import RecordSpec, parse_records
+from clusterkit.sources.records import RecordSpec, observed_records, outcome_rows, parse_records
 from clusterkit.streaming.state import BatchState
 
 
@@ -126,6 +127,30 @@ class FixedDictionaries:
         return self._saved
 
 
+class RejectCounts:
+    """Lines kept and left out of every batch, counted by the job that reads the batch.
+
+    ``records(lines, batch_id)`` are the parsed lines; ``save(batch_id)``, called after the batch's
+    job, writes what was counted under that batch, so a replayed batch replaces its counts.
+    """
+
+    def __init__(self, spark: SparkSession, state_dir: str, spec: RecordSpec):
+        self._state = BatchState(spark, state_dir, "outcome string, lines bigint")
+        self._spec = spec
+        self._watched: dict[int, Observation] = {}
+
+    def records(self, lines: DataFrame, batch_id: int) -> DataFrame:
+        self._watched[batch_id] = Observation(f"lines-{batch_id}-{uuid.uuid4().hex}")
+        return observed_records(lines, self._spec, self._watched[batch_id])
+
+    def save(self, batch_id: int) -> None:
+        self._state.write(batch_id, outcome_rows(self._watched.pop(batch_id).get))
+
+    def history(self) -> DataFrame:
+        """(outcome, lines, batch_id) of all batches."""
+        return self._state.history()
+
+
 def sweep_handler(
     job: Callable[..., DataFrame], spec: RecordSpec, directory: str, running_k: RunningK,
     dictionaries: FixedDictionaries | None = None, ks: Sequence[int] | None = None,
