@@ -147,12 +147,14 @@ def order_rules(texts: Sequence[str], rules: Sequence[Rule] = RULES) -> list[Rul
 
 def sampled_order(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 500,
                   sample_chars: int = 50_000, text_col: str = "text") -> list[Rule]:
-    """The order by a sample: the first ``sample_rows`` texts of at most ``sample_chars``
-    characters that Spark meets, so what the driver holds is bounded by the two. It decides the
-    order only. An empty table leaves the rules as given."""
+    """The order by a sample: of the texts of at most ``sample_chars`` characters, in all partitions,
+    the ``sample_rows`` with the least hashes, so the sample is the same however the rows are dealt and
+    what the driver holds is bounded by the two. It decides the order only. An empty table, or one of
+    longer texts alone, leaves the rules as given."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")
-    taken = docs.select(text).filter(F.length("text") <= sample_chars).take(sample_rows)
-    return order_rules([r.text for r in taken], rules) if taken else list(rules)
+    taken = docs.select(text).filter(F.length("text") <= sample_chars).orderBy(F.xxhash64("text"), "text").limit(sample_rows)
+    texts = [r.text for r in taken.collect()]
+    return order_rules(texts, rules) if texts else list(rules)
 
 
 def first_rejection(t: Text, rules: Sequence[Rule]) -> str | None:
@@ -162,7 +164,8 @@ def first_rejection(t: Text, rules: Sequence[Rule]) -> str | None:
 def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 500,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, kept, rejected_by (the rule that stopped the cascade, or null).
+    n_repeat_words, base_failed, kept, rejected_by (the rule that stopped the cascade, or null). All
+    counts are returned, so all are taken here; ``keep_good`` is the cascade that stops early.
 
     Null and empty texts have no words and fail the base. Null ids stay null, repeated rows are
     each judged, other columns are not read, an empty table gives no rows.
@@ -195,7 +198,8 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int =
     """The rows of ``docs``, all columns as they are, whose text no rule rejects.
 
     Only the cascade runs here: a rejected text is measured no further. Null texts are empty and
-    are rejected for want of words by the base rules.
+    are rejected for want of words by the base rules. Repeated rows stay or go alike, other columns may
+    have any names, an empty table gives an empty one.
     """
     ordered = sampled_order(docs, rules, sample_rows, text_col=text_col)
 

@@ -146,17 +146,18 @@ WITH d AS (
 ), spans AS (
     SELECT doc_id, min(i) AS a, max(i) + 400 AS e FROM runs GROUP BY doc_id, run
 ), cuts AS (
-    SELECT doc_id, list({'a': a, 'e': e} ORDER BY a) AS cut, sum(e - a)::BIGINT AS n_removed, count(*) AS n_spans
+    SELECT doc_id, list({'a': a, 'e': e} ORDER BY a) AS cut, sum(e - a)::BIGINT AS n_removed, count(*) AS n_spans,
+        string_agg((a - 1)::VARCHAR || ':' || (e - 1)::VARCHAR, ',' ORDER BY a) AS spans
     FROM spans GROUP BY doc_id
 ), kept AS (
     SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
-        coalesce(n_spans, 0)::BIGINT AS n_spans,
+        coalesce(n_spans, 0)::BIGINT AS n_spans, coalesce(spans, '') AS spans,
         CASE WHEN cut IS NULL THEN [b] ELSE list_transform(range(0, len(cut) + 1), lambda k:
             b[CASE WHEN k = 0 THEN 1 ELSE cut[k].e END : CASE WHEN k = len(cut) THEN octet_length(b) ELSE cut[k + 1].a - 1 END])
         END AS pieces
     FROM d LEFT JOIN cuts USING (doc_id)
 )
-SELECT doc_id, n_bytes, n_removed, n_spans, sha256(list_reduce(pieces, lambda x, y: x || y)) AS kept_sha256 FROM kept
+SELECT doc_id, n_bytes, n_removed, n_spans, sha256(list_reduce(pieces, lambda x, y: x || y)) AS kept_sha256, spans FROM kept
 """
 
 _TOP_K = """
@@ -172,5 +173,83 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20
 """
 
+def _repair_sql() -> str:
+    """Viterbi's states as one text each, cost in eight digits and then the edits, so that the least
+    text is the cheapest path and of equals the least; the turns follow each other by recursion. crc32
+    is worked out bit by bit, as DuckDB has none."""
+    def add(state: str, cost: str, letter: str) -> str:
+        return f"(lpad((left({state}, 8)::BIGINT + {cost})::VARCHAR, 8, '0') || substr({state}, 9) || '{letter}')"
+
+    def least(*paths: str) -> str:
+        # least() passes over nulls: states that cannot be reached.
+        return f"least({', '.join(paths)})" if len(paths) > 1 else paths[0]
+
+    after = {"z": (("s", "s"), ("u", "u")), "s": (("u", "u"),), "u": (("a", "a"),), "a": (("u", "u"),)}
+    reached: dict[str, list[str]] = {x: [add(x, "2", "D")] for x in "zsua"}
+    for old, moves in after.items():
+        for initial, new in moves:
+            reached[new].append(f"CASE WHEN NOT must AND initial = '{initial}' THEN {add(old, 'extra', 'K')} END")
+            if initial != "s":
+                reached[new].append(f"CASE WHEN NOT must AND initial <> '{initial}' THEN {add(old, 'extra + 1', 'R')} END")
+    turns = ", ".join(f"{least(*paths)} AS {x}" for x, paths in reached.items())
+    # One turn at a time: what the turn gives, then the insertions after it.
+    insert_u = least("u", *(add(x, "5", "I") for x in "zsa"))
+    return f"""
+WITH RECURSIVE crc AS MATERIALIZED (
+    SELECT list(c ORDER BY n) AS t FROM (SELECT n, list_reduce(list_prepend(n, range(8)),
+        lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c FROM range(256) r(n))
+), keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), faulted AS (
+    SELECT k.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda c: ord(c)::BIGINT)),
+        lambda x, b: xor(x >> 8, crc.t[(xor(x, b) & 255) + 1])), 4294967295::BIGINT) % 20 AS fault FROM keyed k CROSS JOIN crc
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM faulted, range(CASE WHEN fault = 3 THEN 2 ELSE 1 END) WHERE fault <> 0
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+        left(role, 1) AS initial, regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS body FROM damaged
+), marked AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM ordered
+), faults AS MATERIALIZED (
+    SELECT *, body = '' AS blank, body <> '' AND again AS duplicate,
+        body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS truncated FROM marked
+), steps AS MATERIALIZED (
+    SELECT conv_id, n, initial, blank OR duplicate AS must, CASE WHEN truncated THEN 5 ELSE 0 END AS extra FROM faults
+), walk AS (
+    SELECT conv_id, 0::BIGINT AS n, '00000000' AS z, NULL::VARCHAR AS s, '00000005I' AS u, '00000010II' AS a
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT conv_id, n, z, s, u, {least("a", add("u", "5", "I"))} FROM (
+        SELECT conv_id, n, z, s, {insert_u} AS u, a FROM (
+            SELECT w.conv_id, t.n, {turns} FROM walk w JOIN steps t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.n = w.n + 1))
+), ends AS MATERIALIZED (
+    SELECT conv_id, left(least(z, a), 8)::BIGINT AS cost, substr(least(z, a), 9) AS audit FROM walk
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1
+), letters AS (
+    SELECT conv_id, i, audit[i] AS letter, length(audit) - length(replace(audit, 'D', '')) AS gone, audit FROM ends, range(1, length(audit) + 1) r(i)
+), placed AS (
+    SELECT conv_id, letter, i, length(audit) - gone AS kept,
+        length(replace(left(audit, i), 'I', '')) AS n, length(replace(left(audit, i), 'D', '')) AS place FROM letters
+), lines AS (
+    SELECT p.conv_id, p.i, CASE WHEN letter = 'K' THEN f.role WHEN (kept - place) % 2 = 0 THEN 'assistant' ELSE 'user' END
+        || ':' || CASE WHEN letter = 'I' THEN '' ELSE f.text END AS line
+    FROM placed p LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.n = p.n WHERE letter <> 'D'
+), texts AS (
+    SELECT conv_id, string_agg(line, chr(10) ORDER BY i) AS t FROM lines GROUP BY conv_id
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+        count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 #: The others cannot be put in SQL; tests/llm holds them against brute force.
-SQL: dict[str, str] = {"op2_quality_cascade": _QUALITY, "op9_repeats": _REPEATS, "op12_top_k": _TOP_K}
+SQL: dict[str, str] = {"op2_quality_cascade": _QUALITY, "op9_repeats": _REPEATS, "op11_conversation_repair": _repair_sql(), "op12_top_k": _TOP_K}

@@ -366,9 +366,10 @@ def repeated_places(docs: DataFrame, length: int = 400, gram: int = GRAM) -> Dat
 
 def drop_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, id_col: str = "doc_id",
                  text_col: str = "text", with_kept: bool = True) -> DataFrame:
-    """Columns doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (binary), one
-    row for each row of ``docs``: every byte inside a string of ``length`` bytes that also starts elsewhere, in
-    the same text or another, is removed.
+    """Columns doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (the removed runs as start:end in
+    bytes, end exclusive, comma-joined) and, if asked for, kept (binary), one row for each row of ``docs``:
+    every byte inside a string of ``length`` bytes that also starts elsewhere, in the same text or
+    another, is removed.
 
     Null and empty texts have no bytes. Rows repeated with one id are copies of each other. Null
     ids stay null. Other columns are not read. An empty table gives no rows.
@@ -386,11 +387,12 @@ def drop_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, id_col: s
                 spans = merged([(r["start"], r["end"]) for r in runs or []])
                 edges = [0, *(x for s in spans for x in s), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                out.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
-            columns = list(zip(*out)) or [[]] * 5
+                out.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(),
+                            ",".join(f"{a}:{b}" for a, b in spans), kept))
+            columns = list(zip(*out)) or [[]] * 6
             yield _batch([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))], names)
 
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_kept
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.string()] + [pa.binary()] * with_kept
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"] + ["kept"] * with_kept
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * with_kept
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans string"
     return joined.mapInArrow(run, schema + ", kept binary" * with_kept)

@@ -129,7 +129,8 @@ def _rates(labelled: DataFrame, by: str, prior: float, total: int, smooth: float
 
 def fit_url_model(labelled: DataFrame, fit_rows: int = 50_000, trees: int = 20, depth: int = 4) -> UrlModel:
     """From features and ``label`` (1.0: block). ``fit_rows`` bounds the sample the trees are fitted
-    on: rows are taken by a hash of the URL, about so many; the statistics count all rows. Labels
+    on: different URLs are taken by their hash, about so many, each with the weight of its rows, so a
+    URL that much of the table repeats is one row of the sample; the statistics count all rows. Labels
     of one kind, or none, give no trees, and that kind (or allow) for all."""
     n, blocked = labelled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     prior = blocked / n if n else 0.0
@@ -137,11 +138,13 @@ def fit_url_model(labelled: DataFrame, fit_rows: int = 50_000, trees: int = 20,
     if 0 < blocked < n:
         share = min(1.0, fit_rows / n)
         sample = labelled.filter(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < max(1, int(share * (1 << 20))))
+        weights = sample.groupBy("url").agg(F.count("*").cast("double").alias("_weight"))
+        sample = sample.dropDuplicates(["url"]).join(weights, "url")
         rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(model._joined(sample))
         model.trees = GBTClassifier(
-            featuresCol="_features", labelCol="label", predictionCol="_block",
+            featuresCol="_features", labelCol="label", weightCol="_weight", predictionCol="_block",
             maxIter=trees, maxDepth=depth, seed=7,
-        ).fit(rows.select("_features", "label").repartition(-(-min(n, fit_rows) // TASK_ROWS)))
+        ).fit(rows.select("_features", "label", "_weight").repartition(-(-min(n, fit_rows) // TASK_ROWS)))
     return model
 
 
