@@ -443,6 +443,8 @@ def default_sql() -> dict[str, str]:
     def scores(points: str, count: int, tag: str = "") -> str:
         return f"SELECT run AS k, {r6('avg(sqrt(b.d2))')} AS score FROM ({near_rows(points, f's{tag}_{MAX_ITERATIONS}', count, '1')}) GROUP BY run"
 
+    labelled = ("SELECT n.run AS k, n.b.cluster AS cluster, p.label, count(*) AS n FROM "
+                f"({near_rows('pts1', f's_{MAX_ITERATIONS}', 3, '1')}) n JOIN pts p USING (pid) GROUP BY 1, 2, 3")
     weigh = lambda name, count: f"{name}1 AS MATERIALIZED (SELECT pid, 1 AS w, {', '.join(cols('x', count))} FROM {name})"
     running = [events(EVENT_FIELDS)]
     for b in range(S.BATCHES):
@@ -459,6 +461,11 @@ def default_sql() -> dict[str, str]:
         "q29b_categorical_sweep_default": chain(
             [events(EVENT_SLOTS, "raw"), zscored("raw", "pts", width, "p.pid"), weigh("pts", width),
              *lloyd_until("pts1", width, every_k("pts", [DIAGONAL] * width), RESTART_TOLERANCE)], scores("pts1", width)),
+        "q27b_pca_entropy_default": chain(
+            [events(EVENT_SLOTS, "raw"), *principal("raw", width, 3),
+             projection("raw", "proj", width, 3, "p.pid, p.label"), zscored("proj", "pts", 3, "p.pid, p.label"), weigh("pts", 3),
+             *lloyd_until("pts1", 3, every_k("pts", [DIAGONAL] * 3), RESTART_TOLERANCE)],
+            f"SELECT * FROM ({entropy(labelled, 'k')})", recursive=True),
         "q46d_stream_running_sweep": chain(
             running, " UNION ALL ".join(f"SELECT {b}::BIGINT AS batch_id, k, score FROM ({scores(f'pts{b}1', 3, f'_b{b}')})"
                                         for b in range(S.BATCHES))),

@@ -549,6 +549,11 @@ def categorical_sweep_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(jobs.categorical_sweep_job(_event_lines(spark, sf_dir), EVENT_RECORD, init=S.spread(8)), "score")
 
 
+def pca_entropy_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(jobs.pca_entropy_job(
+        _event_lines(spark, sf_dir), EVENT_RECORD, init=S.spread(3), components=3, label="event_type"), "score")
+
+
 def detector_estimated_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K by the rule of thumb, ten seeds, the hundredth distance."""
     rows = _event_features(_event_lines(spark, sf_dir)).drop("label")
@@ -742,6 +747,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q47_stream_pca_entropy": stream_pca_entropy,
     "q48_stream_anomalies": stream_anomalies,
     "q23b_raw_sweep_default": raw_sweep_default,
+    "q27b_pca_entropy_default": pca_entropy_default,
     "q29b_categorical_sweep_default": categorical_sweep_default,
     "q33b_top10_anomalies_default": top10_anomalies_default,
     "q34b_pca_anomalies_default": pca_anomalies_default,

@@ -216,3 +216,45 @@ def test_a_file_path_is_no_streaming_source(spark, tmp_path):
     with pytest.raises(Exception):
         stream = stream_lines(spark, str(tmp_path / "in" / "part0.txt"))
         run(start_batches(stream, lambda df, i: None, str(tmp_path / "c"), availableNow=True))
+
+
+def test_rejects_are_counted_by_the_job_that_reads_them(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    from clusterkit.sources.records import observed_records, outcome_rows
+
+    given = lines(spark, ["a,k,1,2", "b,k,1", "c,k,x,2", "d,k,3,4", "e", "f,k,,7"]).repartition(3)
+    watch = Observation("lines")
+    assert sorted(r["label"] for r in observed_records(given, SPEC, watch).collect()) == ["a", "d", "f"]
+    assert outcome_rows(watch.get) == [("kept", 3), ("field count", 2), ("not a number", 1)]
+    nothing = Observation("none")
+    assert observed_records(given.limit(0), SPEC, nothing).collect() == [] and outcome_rows(nothing.get) == []
+
+
+def test_reject_counts_of_a_stream_survive_a_replay(spark, tmp_path):
+    landing, state = tmp_path / "in", str(tmp_path / "counts")
+    seen = []
+
+    def start():
+        counts = handlers.RejectCounts(spark, state, SPEC)
+
+        def handle(batch, batch_id):
+            counts.records(batch, batch_id).write.mode("overwrite").parquet(str(tmp_path / f"out{batch_id}"))
+            counts.save(batch_id)
+            seen.append(batch_id)
+            if seen == [0, 1]:
+                raise RuntimeError("lost after the state")
+
+        return counts, start_batches(stream_lines(spark, str(landing)), handle, str(tmp_path / "check"), availableNow=True)
+
+    land(landing, 0, ["a,k,1,2", "b,k,1"])
+    counts, query = start()
+    run(query)
+    land(landing, 1, ["c,k,x,2", "d,k,3,4", "e,k,5,6"])
+    counts, query = start()
+    with pytest.raises(Exception):
+        query.awaitTermination(120)
+    counts, query = start()
+    run(query)
+    got = sorted((r["batch_id"], r["outcome"], r["lines"]) for r in counts.history().collect())
+    assert got == [(0, "field count", 1), (0, "kept", 1), (1, "kept", 2), (1, "not a number", 1)] and seen == [0, 1, 1]
