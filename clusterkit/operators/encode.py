@@ -6,7 +6,10 @@ from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from clusterkit.functions import sqltext as q
 from clusterkit.scratch import shared_dir
 from clusterkit.sources.records import RecordSpec
 
-# A one-hot row is as wide as its dictionaries, so they must stay model-sized.
+# Dictionaries that are held whole, by the driver and in plans, have at most so many values together.
 MAX_ENCODED_WIDTH = 100_000
 # Above this width an array of literals per row loses to a sparse vector.
 MAX_ARRAY_WIDTH = 256
@@ -118,6 +121,104 @@ def encode_vectors(
     return assembled.select("label", *keep, "features")
 
 
+@dataclass(frozen=True)
+class WideDictionaries:
+    """Dictionaries of any width. Fields with few values are held as values, the others are tables of
+    (value, index) that no process holds whole; ``sizes`` says how many values every field has."""
+
+    narrow: Dictionaries
+    tables: dict[str, DataFrame]
+    sizes: dict[str, int]
+
+    @property
+    def width(self) -> int:
+        return sum(self.sizes.values())
+
+
+def fit_any_dictionaries(
+    records: DataFrame, fields: Sequence[str], max_width: int = MAX_ENCODED_WIDTH
+) -> Dictionaries | WideDictionaries:
+    """``fit_dictionaries`` where all values together are at most ``max_width``; else the narrowest
+    fields that are so together are held and the others become tables. The distinct pairs of field
+    and value are counted, not fetched."""
+    fields = list(fields)
+    if not fields:
+        return Dictionaries({})
+    values = q.array([f"coalesce({q.name(f)}, '')" for f in fields])
+    counts = records.select(F.expr(f"posexplode({values})")).distinct().groupBy("pos").agg(F.count("*").alias("n")).collect()
+    sizes = {fields[r["pos"]]: r["n"] for r in counts}
+    sizes = {f: sizes.get(f, 0) for f in fields}
+    held, total = [], 0
+    for f in sorted(fields, key=lambda f: (sizes[f], f)):
+        if total + sizes[f] <= max_width:
+            held.append(f)
+            total += sizes[f]
+    narrow = fit_dictionaries(records, [f for f in fields if f in held], max_width)
+    if len(held) == len(fields):
+        return narrow
+    return WideDictionaries(narrow, {f: category_index(records, f) for f in fields if f not in held}, sizes)
+
+
+def encode_wide(
+    records: DataFrame, spec: RecordSpec, dictionaries: WideDictionaries, *keep: str, include_label: bool = False,
+) -> DataFrame:
+    """The layout of ``encode_vectors`` for dictionaries of any width, as sparse vectors.
+
+    A row meets the tables of its wide fields by joins on the value (``lookup_index``, which splits a
+    value that holds much of the data); what it gets is an index, so nothing as wide as the features
+    exists for a row. A value that is in no dictionary encodes to an all-zero block.
+    """
+    rows = records
+    for n, (field, table) in enumerate(dictionaries.tables.items()):
+        rows = lookup_index(rows, field, table.withColumnRenamed("index", f"__wide{n}"))
+    wide = {field: f"__wide{n}" for n, field in enumerate(dictionaries.tables)}
+    narrow = {}
+    for n, (field, values) in enumerate(dictionaries.narrow.values.items()):
+        narrow[field] = f"__narrow{n}"
+        rows = rows.withColumn(f"__text{n}", F.concat(F.lit("="), _value(field)))
+        rows = StringIndexerModel.from_labels(
+            ["=" + v for v in values], inputCol=f"__text{n}", outputCol=narrow[field], handleInvalid="keep").transform(rows)
+    places, numbers, offsets, at = [], [], [], 0
+    for field in spec.feature_order(include_label):
+        offsets.append(at)
+        if field in wide:
+            places.append(F.col(wide[field]).cast("int"))
+        elif field in narrow:  # the indexer gives unknown values the place after the last
+            index = F.col(narrow[field]).cast("int")
+            places.append(F.when(index < len(dictionaries.narrow.values[field]), index))
+        else:
+            places.append(F.lit(0))
+            numbers.append(F.col(field).cast("double"))
+            at += 1
+            continue
+        numbers.append(F.when(places[-1].isNotNull(), 1.0).otherwise(0.0))
+        at += dictionaries.sizes[field]
+    features = _sparse_rows(offsets, at)(F.array(*[F.coalesce(p, F.lit(0)) for p in places]), F.array(*numbers))
+    return rows.select("label", *keep, features.alias("features"))
+
+
+def _sparse_rows(offsets: list[int], width: int):
+    """Sparse vectors from the place of each field in its block and its value there."""
+    base = np.array(offsets, dtype="int64")
+
+    def build(places, values):
+        import numpy as np
+        import pyarrow as pa
+
+        count = len(base)
+        index = places.flatten().to_numpy(zero_copy_only=False).reshape(-1, count) + base
+        value = values.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, count)
+        some = value != 0  # NaN, which a null number becomes, is kept
+        ends = pa.array(np.concatenate([[0], np.cumsum(some.sum(axis=1))]).astype("int32"))
+        return pa.StructArray.from_arrays(
+            [pa.array(np.zeros(len(value), "int8")), pa.array(np.full(len(value), width, "int32")),
+             pa.ListArray.from_arrays(ends, pa.array(index[some].astype("int32"))),
+             pa.ListArray.from_arrays(ends, pa.array(value[some]))], names=["type", "size", "indices", "values"])
+
+    build.__annotations__ = {"places": pa.Array, "values": pa.Array, "return": pa.Array}
+    return F.arrow_udf(build, VectorUDT())
+
+
 def _value(field: str) -> Column:
     """A category value; null counts as the empty text, as in ``fit_dictionaries``."""
     return F.coalesce(F.col(field).cast("string"), F.lit(""))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clusterkit.operators.anomaly import (
     ANOMALY_CLUSTERS, ANOMALY_RANK, Detector, farthest, fit_detector,
 )
-from clusterkit.operators.encode import Dictionaries, fit_dictionaries
+from clusterkit.operators.encode import Dictionaries, WideDictionaries, fit_any_dictionaries
 from clusterkit.operators.normalise import ZScore, apply_zscore, fit_zscore, scale_vectors
 from clusterkit.operators.pca import Projection, WideProjection, apply_pca, fit_pca
 from clusterkit.plans.features import PCA_COMPONENTS, categorical_features, kept
@@ -29,10 +29,10 @@ def _scaled(df: DataFrame, zscore: ZScore) -> DataFrame:
 @dataclass(frozen=True)
 class AnomalyModel:
     """Everything fitted, all of it model-sized. ``anomalies`` is a stateless projection and
-    filter, so it takes a streaming DataFrame of lines as well."""
+    filter, so it takes a streaming DataFrame of lines as well, unless dictionaries are tables."""
 
     spec: RecordSpec
-    dictionaries: Dictionaries
+    dictionaries: Dictionaries | WideDictionaries
     projection: Projection | WideProjection | None
     zscore: ZScore
     detector: Detector
@@ -60,7 +60,7 @@ def fit_anomaly_model(
     """Encode, project (``components=None`` leaves that out), z-score, cluster and take the
     threshold. None if no line can be used."""
     records = parse_records(lines, spec)
-    dictionaries = fit_dictionaries(records, spec.category_names(include_label))
+    dictionaries = fit_any_dictionaries(records, spec.category_names(include_label))
     dense = init is not None
     encoded = categorical_features(
         records, spec, dictionaries=dictionaries, include_label=include_label, dense=dense

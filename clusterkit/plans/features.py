@@ -10,7 +10,8 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 
 from clusterkit.operators.encode import (
-    MAX_ARRAY_WIDTH, Dictionaries, encode_arrays, encode_vectors, fit_dictionaries,
+    MAX_ARRAY_WIDTH, Dictionaries, WideDictionaries, encode_arrays, encode_vectors, encode_wide,
+    fit_any_dictionaries,
 )
 from clusterkit.operators.normalise import apply_zscore, fit_zscore, scale_vectors
 from clusterkit.operators.pca import apply_pca, fit_pca
@@ -32,15 +33,20 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def categorical_features(
-    records: DataFrame, spec: RecordSpec, *keep: str, dictionaries: Dictionaries | None = None,
+    records: DataFrame, spec: RecordSpec, *keep: str, dictionaries: Dictionaries | WideDictionaries | None = None,
     include_label: bool = False, dense: bool = False,
 ) -> DataFrame:
-    """One-hot and numeric features: arrays while narrow, else sparse vectors.
+    """One-hot and numeric features: arrays while narrow, else sparse vectors, whose dictionaries are
+    tables where they are too wide to be held.
 
     ``dense`` asks for arrays at any width, which given starting centers need.
     """
     if dictionaries is None:
-        dictionaries = fit_dictionaries(records, spec.category_names(include_label))
+        dictionaries = fit_any_dictionaries(records, spec.category_names(include_label))
+    if isinstance(dictionaries, WideDictionaries):
+        if dense:
+            raise ValueError(f"arrays of {dictionaries.width} category slots: given starts ask for them, fits without do not")
+        return encode_wide(records, spec, dictionaries, *keep, include_label=include_label)
     width = len(spec.numeric) + dictionaries.width
     encode = encode_arrays if dense or width <= MAX_ARRAY_WIDTH else encode_vectors
     return encode(records, spec, dictionaries, *keep, include_label=include_label)

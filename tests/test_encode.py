@@ -91,3 +91,58 @@ def test_category_index_and_lookup(spark, small):
     assert {r["id"]: r["index"] for r in joined.collect()} == {
         i: ["", "a", "b", "c", "d"].index(k or "") for i, k in enumerate(kinds)}
     assert category_index(df.limit(0), "kind").count() == 0
+
+
+# -- dictionaries of any width
+
+
+def kind_records(spark, count, kinds):
+    given = spark.range(count).selectExpr(
+        f"concat('r', id, ',', id % 7, ',k', id % {kinds}, ',', if(id % 3 = 0, 'hot', concat('u', id)), ',', id % 5) AS value")
+    spec = RecordSpec(names=("id", "x", "kind", "user", "y"), numeric=(1, 4), categorical=(2, 3), label=0)
+    return parse_records(given, spec), spec
+
+
+def test_wide_encoding_equals_that_of_held_dictionaries(spark):
+    from clusterkit.operators.encode import WideDictionaries, encode_wide, fit_any_dictionaries
+
+    data, spec = kind_records(spark, 400, 9)
+    held = fit_any_dictionaries(data, spec.category_names())
+    wide = fit_any_dictionaries(data, spec.category_names(), max_width=20)
+    assert isinstance(held, Dictionaries) and isinstance(wide, WideDictionaries)
+    assert list(wide.tables) == ["user"] and wide.width == held.width
+    want = {r["label"]: r["features"] for r in encode_vectors(data, spec, held).collect()}
+    got = {r["label"]: r["features"] for r in encode_wide(data, spec, wide).collect()}
+    assert got.keys() == want.keys() and all(list(got[k].toArray()) == list(want[k].toArray()) for k in want)
+    assert all(isinstance(v, SparseVector) for v in got.values())
+    other = parse_records(lines(spark, ["new,NaN,zz,nobody,3", "n2,1,k1,hot,0"]), spec)
+    unseen = {r["label"]: r["features"] for r in encode_wide(other, spec, wide).collect()}
+    known = {r["label"]: r["features"] for r in encode_vectors(other, spec, held).collect()}
+    for k in known:
+        assert repr(list(unseen[k].toArray())) == repr(list(known[k].toArray()))
+
+
+def test_a_million_values_are_encoded(spark):
+    from clusterkit.operators.encode import encode_wide, fit_any_dictionaries
+
+    data, spec = kind_records(spark, 1_500_000, 11)
+    dictionaries = fit_any_dictionaries(data, spec.category_names())
+    assert dictionaries.sizes == {"kind": 11, "user": 1_000_001} and list(dictionaries.tables) == ["user"]
+    rows = encode_wide(data, spec, dictionaries).select(F.unwrap_udt("features").alias("f"))
+    # One slot for each category: the user's block comes first after the first number.
+    slots = rows.select(F.explode("f.indices").alias("i")).where("i >= 1 AND i < 1000002").groupBy("i").count()
+    found = slots.agg(F.count("*"), F.sum("count"), F.max("count")).first()
+    assert tuple(found) == (1_000_001, 1_500_000, 500_000)
+    assert rows.where(f"f.size <> {2 + 11 + 1_000_001}").isEmpty()
+
+
+def test_jobs_take_dictionaries_too_wide_to_be_held(spark, monkeypatch):
+    from clusterkit.operators import encode
+    from clusterkit.plans.batch import categorical_sweep_job
+
+    given = lines(spark, [f"r{i},{i % 4},k{i % 30},{i % 3}" for i in range(90)])
+    spec = RecordSpec(names=("id", "x", "kind", "y"), numeric=(1, 3), categorical=(2,), label=0)
+    want = {r["k"]: r["score"] for r in categorical_sweep_job(given, spec, ks=[1], restarts=2).collect()}
+    monkeypatch.setattr(encode.fit_any_dictionaries, "__defaults__", (10,))
+    got = {r["k"]: r["score"] for r in categorical_sweep_job(given, spec, ks=[1], restarts=2).collect()}
+    assert got.keys() == want.keys() and got[1] == pytest.approx(want[1])
