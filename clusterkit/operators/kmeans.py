@@ -42,6 +42,8 @@ MAX_UNROLLED_CELLS = 96
 # are more together take their scans in groups.
 MAX_MODEL_CELLS = 64_000_000
 GROUP_CELLS = 8_000_000
+# From so many centers on bounds are worth the 20 bytes a row and run that carry them; runs of one scan.
+BOUNDED_K, BOUNDED_RUNS = 32, 64
 
 # Fixed values of the default and of the careful fit.
 DEFAULT_K = 2
@@ -116,7 +118,8 @@ def _kernel(width: int, sparse: bool) -> tuple[Callable, Callable, Callable, Cal
 
     ``read(column)``: rows and which of them are usable;
     ``take(rows, which)``: those rows;
-    ``nearest(rows, centers)``: nearest center (the lower id on a tie) and squared distance;
+    ``nearest(rows, centers)``: nearest center (the lower id on a tie) and squared distance, and where
+    it is asked for, a bound below which no other center's distance is;
     ``sums(rows, cluster, weight, k)``: sums of weighted rows by cluster.
     """
     import numpy as np
@@ -189,7 +192,7 @@ def _kernel(width: int, sparse: bool) -> tuple[Callable, Callable, Callable, Cal
             a = b
         return out
 
-    def nearest(rows, centers):
+    def nearest(rows, centers, with_next=False):
         # |x|^2 - 2xc + |c|^2 rounds, so rows where two centers come out close are measured again.
         # Centers are taken in tiles, with the two least values so far.
         n = len(rows[2]) - 1 if sparse else len(rows)
@@ -212,6 +215,7 @@ def _kernel(width: int, sparse: bool) -> tuple[Callable, Callable, Callable, Cal
             cluster = np.where(low < best, at + c0, cluster)
             best = np.minimum(best, low)
         margin = 1e-9 * (x2 + largest)
+        beyond = np.sqrt(np.maximum(0.0, second - margin)) if with_next else None
         unsure = np.flatnonzero(second <= best + margin)
         for start in range(0, len(unsure), 256):
             which = unsure[start:start + 256]
@@ -234,11 +238,25 @@ def _kernel(width: int, sparse: bool) -> tuple[Callable, Callable, Callable, Cal
             cluster[which] = winner
         if not sparse:
             gap = rows - centers[cluster]
-            return cluster, (gap * gap).sum(axis=1)
+            squared = (gap * gap).sum(axis=1)
+            return (cluster, squared, beyond) if with_next else (cluster, squared)
         values, columns, starts = rows
         mine = centers[np.repeat(cluster, np.diff(starts)), columns]
         c2 = (centers * centers).sum(axis=1)[cluster]
-        return cluster, by_row((values - mine) ** 2, starts) + np.maximum(0.0, c2 - by_row(mine * mine, starts))
+        squared = by_row((values - mine) ** 2, starts) + np.maximum(0.0, c2 - by_row(mine * mine, starts))
+        return (cluster, squared, beyond) if with_next else (cluster, squared)
+
+    def to_own(rows, centers):
+        """Distance of each row to its own one of ``centers``, a center a row."""
+        if not sparse:
+            gap = rows - centers
+            return np.sqrt((gap * gap).sum(axis=1))
+        values, columns, starts = rows
+        mine = centers[np.repeat(np.arange(len(starts) - 1), np.diff(starts)), columns]
+        rest = np.maximum(0.0, (centers * centers).sum(axis=1) - by_row(mine * mine, starts))
+        return np.sqrt(by_row((values - mine) ** 2, starts) + rest)
+
+    nearest.to_own = to_own
 
     def take(rows, which):
         return take_vectors(rows, which) if sparse else rows[which]
@@ -475,12 +493,12 @@ def _totals_arrow(
 # -- fits -------------------------------------------------------------------------------------
 
 
-def _grouped(runs: Mapping[int, np.ndarray]) -> list[list[int]]:
-    """Runs in groups of bounded size together."""
+def _grouped(runs: Mapping[int, np.ndarray], most: int | None = None) -> list[list[int]]:
+    """Runs in groups of bounded size together, ``most`` in one."""
     groups: list[list[int]] = []
     cells = 0
     for run, centers in runs.items():
-        if not groups or cells + centers.size > GROUP_CELLS:
+        if not groups or cells + centers.size > GROUP_CELLS or len(groups[-1]) == most:
             groups.append([])
             cells = 0
         groups[-1].append(run)
@@ -497,15 +515,27 @@ def lloyd_runs(
 
     A center without rows stays where it is. A run whose centers all moved by no more than
     ``tolerance`` is finished and leaves the following scans. One scan more counts the rows of the
-    centers as they are at the end.
+    centers as they are at the end. Runs of ``BOUNDED_K`` centers or more carry distance bounds
+    (``bounds.py``), which spares most of their distances and changes nothing else.
     """
+    from clusterkit.operators.bounds import bounded_lloyd
+
     starts = {run: np.asarray(c, dtype=float) for run, c in starts.items()}
+    large = {run: c for run, c in starts.items() if len(c) >= BOUNDED_K and iterations > 1}
     found: dict[int, Clustering] = {}
-    for group in _grouped(starts):
+    for group in _grouped({run: c for run, c in starts.items() if run not in large}):
         found.update(_lloyd_group(df, {run: starts[run] for run in group}, iterations, tolerance, features, weight))
+    for group in _grouped(large, BOUNDED_RUNS):
+        some = {run: starts[run] for run in group}
+        found.update(_measured(df, bounded_lloyd(df, some, iterations, tolerance, features, weight), features, weight))
     return {run: found[run] for run in starts}
 
 
+def _measured(df: DataFrame, centers: Mapping[int, np.ndarray], features: str, weight: str | None) -> dict[int, Clustering]:
+    totals = run_totals(df, centers, features, weight)
+    return {run: Clustering(c, totals[run].count, float(totals[run].squared.sum())) for run, c in centers.items()}
+
+
 def _lloyd_group(
     df: DataFrame, starts: Mapping[int, np.ndarray], iterations: int, tolerance: float, features: str, weight: str | None
 ) -> dict[int, Clustering]:
@@ -521,8 +551,7 @@ def _lloyd_group(
             centers[run] = new
             if np.sqrt(((new - old) ** 2).sum(axis=1)).max() <= tolerance:
                 active.discard(run)
-    totals = run_totals(df, centers, features, weight)
-    return {run: Clustering(c, totals[run].count, float(totals[run].squared.sum())) for run, c in centers.items()}
+    return _measured(df, centers, features, weight)
 
 
 def lloyd(
