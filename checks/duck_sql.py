@@ -268,6 +268,14 @@ def plain_sql() -> dict[str, str]:
             "SELECT event_type, event_id, (dense_rank() OVER (ORDER BY event_type) - 1)::INTEGER AS index FROM events",
         "q07_one_hot_assemble":
             f"SELECT {TRADE_LABEL} AS label, {', '.join(f'{e} AS s{i}' for i, e in enumerate(TRADE_SLOTS))} FROM lineitem",
+        "q07b_wide_one_hot":
+            "WITH u AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT user_id::VARCHAR AS v FROM events)), "
+            "t AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT event_type AS v FROM events)), "
+            "n AS (SELECT (SELECT count(*) FROM t) AS types, (SELECT count(*) FROM u) AS users) "
+            "SELECT event_id, 0::INTEGER AS slot, value FROM events WHERE value <> 0 "
+            "UNION ALL SELECT event_id, (1 + t.i)::INTEGER, 1.0::DOUBLE FROM events JOIN t ON t.v = event_type "
+            "UNION ALL SELECT event_id, (1 + types + u.i)::INTEGER, 1.0::DOUBLE FROM events JOIN u ON u.v = user_id::VARCHAR, n "
+            "UNION ALL SELECT event_id, (1 + types + users)::INTEGER, hour(ts)::DOUBLE FROM events, n WHERE hour(ts) <> 0",
         "q10_estimate_k": "SELECT floor(sqrt(count(*) // 2))::INTEGER AS k FROM lineitem",
         "q11_vector_stats":
             f"SELECT (i - 1)::INTEGER AS dim, {r6('sum(x)')} AS sum, {r6('sum(x * x)')} AS sum_squares, "

@@ -18,7 +18,8 @@ from clusterkit.functions.fields import cluster_count_line, last_nonempty_field
 from clusterkit.operators.anomaly import ANOMALY_CLUSTERS, fit_detector, rank_threshold
 from clusterkit.operators.counts import cluster_label_counts, value_counts
 from clusterkit.operators.encode import (
-    assemble_numeric, category_index, encode_vectors, fit_dictionaries, lookup_index,
+    assemble_numeric, category_index, encode_vectors, encode_wide, fit_any_dictionaries, fit_dictionaries,
+    lookup_index,
 )
 from clusterkit.operators.kmeans import (
     RESTART_TOLERANCE, Clustering, assign, centers_table, estimate_k, fit, fit_best_of_ten, lloyd, with_center,
@@ -133,6 +134,20 @@ def one_hot_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- statistics -------------------------------------------------------------------------------
 
 
+# events with the user as a category beside the type.
+USER_RECORD = RecordSpec(names=EVENT_RECORD.names, numeric=(3, 4), categorical=(1, 2), label=0)
+
+
+def wide_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-hot with a dictionary that is held as a table: each entry of the sparse rows."""
+    records = parse_records(table(spark, sf_dir, "events").select(event_line().alias("value")), USER_RECORD)
+    dictionaries = fit_any_dictionaries(records, USER_RECORD.category_names(), max_width=10)
+    rows = encode_wide(records, USER_RECORD, dictionaries).select(
+        F.col("label").cast("bigint").alias("event_id"), F.unwrap_udt("features").alias("f"))
+    entries = rows.select("event_id", F.explode(F.arrays_zip(F.col("f.indices").alias("i"), F.col("f.values").alias("v"))).alias("e"))
+    return entries.select("event_id", F.col("e.i").alias("slot"), F.col("e.v").alias("value"))
+
+
 def k_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = estimate_k(table(spark, sf_dir, "lineitem"))
     return spark.createDataFrame([(k,)], "k int")
@@ -700,6 +715,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q06_category_index": event_type_index,
     "q06b_category_lookup": event_type_lookup,
     "q07_one_hot_assemble": one_hot_assemble,
+    "q07b_wide_one_hot": wide_one_hot,
     "q10_estimate_k": k_estimate,
     "q11_vector_stats": embedding_stats,
     "q12_zscore": zscore,

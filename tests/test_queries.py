@@ -9,7 +9,7 @@ from checks.compare import difference, duck
 
 SF_DIR = "/root/testdata/sf0.001"
 NAMES = [
-    "q01_parse_delimited", "q04_blank_to_zero", "q07_one_hot_assemble", "q13_zscore_nan_safe",
+    "q01_parse_delimited", "q04_blank_to_zero", "q07_one_hot_assemble", "q07b_wide_one_hot", "q13_zscore_nan_safe",
     "q24_weighted_entropy", "q29_categorical_sweep", "q34_pca_anomalies", "q43_stream_cluster_label",
     "q26_restarts_score", "q27b_pca_entropy_default", "q41b_online_interval", "q46d_stream_running_sweep",
     "q49b_stream_rejects", "q55_detector_estimated_k",
