@@ -165,7 +165,8 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
-    """Columns doc_id, text from doc_id, ids; null ids give an empty text."""
+    """Columns doc_id, text from doc_id, ids; null or no ids give an empty text, null doc_ids stay null,
+    repeated rows are decoded as often, other columns are not read, an empty table gives no rows."""
     def make():
         def work(batch: pa.RecordBatch) -> list:
             ids = [np.array(x or [], "<u4").tobytes() for x in batch.column("ids").to_pylist()]

@@ -286,8 +286,9 @@ def masked(text: str) -> str:
 
 
 def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with personal data in the text column masked; all other columns as they are.
-    Null texts stay null."""
+    """``docs`` with personal data in the text column masked; all other columns as they are, whatever
+    their names. Null texts stay null, empty ones empty, repeated rows are masked alike, and an empty
+    table gives an empty one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = batch.schema.get_field_index(text_col)

@@ -302,3 +302,32 @@ def test_stages_keep_the_columns_of_documents(spark):
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF_DIR).schema.names == docs.schema.names
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_pipeline_of_hard_rows_and_of_an_empty_table(spark, tmp_path):
+    """All stages over rows with nulls, copies, long texts and clashing names, and over no rows."""
+    from clusterkit.llm import pii, quality
+    from tests.llm.test_documents import plain_similar
+    import hashlib
+
+    rows = [*cases.TEXTS, (40, cases.PROSE + "Write to ann.bee@example.org soon. " + "It was a long and quiet day by the sea. "),
+            (41, None), (None, cases.PROSE[::-1])]
+    for name, frame in (("hard", cases.frame(spark, rows)), ("empty", cases.empty(spark))):
+        place = str(tmp_path / name)
+        frame.write.parquet(f"{place}/documents.parquet")
+        spark.createDataFrame([(1, "a passage that no text here holds, " * 4)], "item_id long, text string").write.parquet(
+            f"{place}/benchmark.parquet")
+        docs = spark.read.parquet(f"{place}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, place)
+            assert docs.columns == frame.columns
+        got = sorted((str(r.doc_id), r.decoded_sha256) for r in corpus_pipeline.run(spark, place).collect())
+        if name == "empty":
+            assert got == []
+            continue
+        good = [(i, t or "") for i, t in rows if not any(rule.rejects(quality.Text(t or "")) for rule in quality.RULES)]
+        # Null ids sort last, and one of rows that repeat each other stays.
+        stay = plain_similar([(1 << 60 if i is None else i, t) for i, t in good], 5, 0.8)
+        kept = {(i, t) for i, t in good if (1 << 60 if i is None else i) in stay}
+        assert got == sorted((str(i), hashlib.sha256(pii.masked(t).encode()).hexdigest()) for i, t in kept)
