@@ -148,13 +148,16 @@ def order_rules(texts: Sequence[str], rules: Sequence[Rule] = RULES) -> list[Rul
 def sampled_order(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 500,
                   sample_chars: int = 50_000, text_col: str = "text") -> list[Rule]:
     """The order by a sample: of the texts of at most ``sample_chars`` characters, in all partitions,
-    the ``sample_rows`` with the least hashes, so the sample is the same however the rows are dealt and
-    what the driver holds is bounded by the two. It decides the order only. An empty table, or one of
-    longer texts alone, leaves the rules as given."""
+    those with the ``sample_rows`` least hashes, copies once, so the sample is the same however the rows
+    are dealt. Tasks merge hashes alone; the driver holds the sample's texts, bounded by the two. It
+    decides the order only. An empty table, or one of longer texts alone, leaves the rules as given."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")
-    taken = docs.select(text).filter(F.length("text") <= sample_chars).orderBy(F.xxhash64("text"), "text").limit(sample_rows)
-    texts = [r.text for r in taken.collect()]
-    return order_rules(texts, rules) if texts else list(rules)
+    short = docs.select(text).filter(F.length("text") <= sample_chars).select(F.xxhash64("text").alias("h"), "text")
+    last = short.select("h").orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    if last is None:
+        return list(rules)
+    taken = short.filter(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect()
+    return order_rules([r.text for r in taken], rules)
 
 
 def first_rejection(t: Text, rules: Sequence[Rule]) -> str | None:
