@@ -2,7 +2,7 @@
 
 quality   documents that a quality rule rejects go
 simhash   of each group of near-duplicates (similarity 0.8 or more) the document with the smallest id stays;
-          64 bits do not tell 0.8 from less, so the links come from MinHash keys, verified on whole sets
+          64 bits do not tell 0.8 from less, so candidates come from chains of wide SimHash prints, verified on whole sets
 benchmark documents that hold a passage of the benchmark go
 pii       personal data is masked in the text; n_chars, where there is one, follows
 encode    each text as BPE ids, digested, and decoded again

@@ -132,6 +132,38 @@ def test_near_copies_go_by_similarity(spark, monkeypatch):
     assert {x.doc_id for x in got.collect()} == want and len(want) < len(rows) - 20
 
 
+def test_wide_print_is_a_simhash():
+    hashes = np.random.default_rng(5).integers(0, 1 << 63, 700, np.uint64)
+    whole = np.unpackbits(similar.wide_print(hashes), bitorder="little")
+    each = np.array([np.unpackbits(similar.wide_print(hashes[k:k + 1]), bitorder="little") for k in range(700)], int)
+    assert len(whole) == similar.SEGMENTS * similar.WIDTH and (whole == (2 * each.sum(axis=0) > 700)).all()
+    assert not similar.wide_print(hashes[:0]).any()
+
+
+@pytest.mark.parametrize("block", [1024, 5])
+def test_candidates_come_from_simhash_chains(spark, block):
+    """Pairs just at the bound share a bucket and keep its chain's budgets; others do not."""
+    r = np.random.default_rng(6)
+    new = lambda n: r.integers(0, 1 << 63, n, np.uint64)
+    sets = []
+    for n in [18] * 100 + [90] * 100:  # 16 of 20, 80 of 100
+        both = new(n * 8 // 9)
+        sets += [np.concatenate([both, new(n - len(both))]) for _ in range(2)]
+    sets += [new(90) for _ in range(400)]
+    hub = new(200)  # a crowd: 60 sets near to each other
+    sets += [np.concatenate([hub, new(5)]) for _ in range(60)]
+    frame = spark.createDataFrame([(k, similar.wide_print(x).tobytes()) for k, x in enumerate(sets)], "print long, wide binary")
+    rows = similar.candidates(frame, 0.8, block).collect()
+    assert len(rows) == len(set(rows))
+    found = {}
+    for x in rows:
+        found.setdefault(x["key"], set()).add(x["print"])
+    pairs = [(k, k + 1) for k in range(0, 400, 2)]
+    assert sum(any({a, b} <= x for x in found.values()) for a, b in pairs) >= 196
+    assert not {k for x in found.values() for k in x} & set(range(400, 800))
+    assert {k for x in found.values() for k in x} >= set(range(800, 860))
+
+
 def test_similarity_of_hard_rows(spark):
     kept = simhash.keep_one(cases.frame(spark), similarity=0.8)
     assert kept.columns == cases.frame(spark).columns
