@@ -145,3 +145,20 @@ def test_whole_table(spark):
     got = {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256)
            for r in op13_token_alignment(spark, SF_DIR).collect()}
     assert got == dict(zip([d.doc_id for d in docs], plain_report([d.text for d in docs])))
+
+
+def test_ids_of_one_text_and_what_they_spell():
+    sides = alignment._sides(A, B)
+    for text in ["plain words", " two  spaces\n", "naïve 漢字 🙂 <s> <|endoftext|>"]:
+        assert [side.spell(side.encode(given)) for side, given in zip(sides, (" " + text, text))] == [f" {text}".encode()] * 2
+    ids = alignment._tokens(["a", "", "▁b", "c d"], sides)  # B's bytes of the third are not its own
+    assert [[len(x) > 0 for x in side] for side in ids] == [[True, False, False, True]] * 2
+
+
+def test_links_by_counting_ends():
+    marks = np.random.default_rng(3).integers(0, 2, 500)
+    assert (alignment._before(marks) == [marks[:k].sum() for k in range(500)]).all()
+    x = alignment.align_texts(["some unlikely wordforms, perhaps", "", "and 12345 more"], alignment._sides(A, B))
+    ends = [np.cumsum(side.lengths[ids]) for side, ids in zip(alignment._sides(A, B), (x.a, x.b))]
+    both = np.union1d(*ends)
+    assert (x.link_a == np.searchsorted(ends[0], both)).all() and (x.link_b == np.searchsorted(ends[1], both)).all()
