@@ -20,6 +20,7 @@ from __future__ import annotations
 import itertools
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,7 +46,8 @@ STEP, LONG_WORD = 16384, 64
 TASK_WORDS = 500_000
 
 COUNTS = "word string, n long"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Different words that a task counts before it gives them to the shuffle.
+HELD_WORDS = 200_000
 
 
 @dataclass
@@ -87,9 +89,25 @@ def count_words(docs: DataFrame) -> Vocabulary:
     be looked for, so that tasks send the driver those few words, of bounded length, and not their
     own most frequent ones each. Beside them it gets one count for each bucket.
     """
-    word = F.explode(F.split(F.translate("text", _UPPER, _UPPER.lower()), r"[\x20\x09-\x0D]+")).alias("word")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[bytes] = Counter()
+
+        def out() -> pa.RecordBatch:
+            words = pa.array(list(held), pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays([words, pa.array(held.values(), pa.int64())], ["word", "n"])
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                held.update(text.encode().lower().split())
+                if len(held) > HELD_WORDS:
+                    yield out()
+                    held.clear()
+        if held:
+            yield out()
+
     path = shared_dir(docs.sparkSession, "lm-words")
-    docs.select(word).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n")).write.parquet(path)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    docs.select("text").mapInArrow(count, COUNTS).groupBy("word").agg(F.sum("n").alias("n")).write.parquet(path)
     counts = docs.sparkSession.read.schema(COUNTS).parquet(path)
     short = counts.filter(F.octet_length("word") <= LONG_WORD)
     order = F.floor(F.log2("n") * 4).cast("int")
@@ -173,20 +191,23 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([v.ravel() for v in self.parts.values()])
 
+    # Columns are places here, so that what runs over the few classes or members of each place is
+    # done for many places at a time.
+
     def _hidden(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        seen = self.parts["embed"][window].reshape(len(window), -1)
-        return seen, np.tanh(seen @ self.parts["inner"] + self.parts["inner_bias"])
+        seen = self.parts["embed"].take(window, axis=0).reshape(len(window), -1)
+        return seen, np.tanh(self.parts["inner"].T @ seen.T + self.parts["inner_bias"][:, None])
 
     def _outputs(self, hidden: np.ndarray, cls: np.ndarray):
-        """Scores of classes and, for rows sorted by class, of members; and where classes begin."""
+        """Scores of classes and, for places sorted by class, of members; and where classes begin."""
         p = self.parts
-        classes = hidden @ p["class"] + p["class_bias"]
-        members = np.empty((len(cls), MEMBERS), np.float32)
+        classes = p["class"].T @ hidden + p["class_bias"][:, None]
+        members = np.empty((MEMBERS, len(cls)), np.float32)
         edges = np.searchsorted(cls, np.arange(CLASSES + 1))
         for c in range(CLASSES):
             a, b = edges[c], edges[c + 1]
             if a < b:
-                members[a:b] = hidden[a:b] @ p["member"][c] + p["member_bias"][c]
+                members[:, a:b] = p["member"][c].T @ hidden[:, a:b] + p["member_bias"][c][:, None]
         return classes, members, edges
 
     def log_probability(self, window: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -208,45 +229,45 @@ class Network:
         seen, hidden = self._hidden(window)
         classes, members, edges = self._outputs(hidden, cls)
         d_class, d_member = _gradient(classes, cls), _gradient(members, member)
-        d_hidden = d_class @ p["class"].T
-        grad = {"class": hidden.T @ d_class, "class_bias": d_class.sum(axis=0)}
+        d_hidden = p["class"] @ d_class
+        grad = {"class": hidden @ d_class.T, "class_bias": d_class.sum(axis=1)}
         grad["member"] = np.zeros_like(p["member"])
         grad["member_bias"] = np.zeros_like(p["member_bias"])
         for c in range(CLASSES):
             a, b = edges[c], edges[c + 1]
             if a < b:
-                grad["member"][c] = hidden[a:b].T @ d_member[a:b]
-                grad["member_bias"][c] = d_member[a:b].sum(axis=0)
-                d_hidden[a:b] += d_member[a:b] @ p["member"][c].T
+                grad["member"][c] = hidden[:, a:b] @ d_member[:, a:b].T
+                grad["member_bias"][c] = d_member[:, a:b].sum(axis=1)
+                d_hidden[:, a:b] += p["member"][c] @ d_member[:, a:b]
         d_hidden *= 1 - hidden * hidden
-        grad["inner"], grad["inner_bias"] = seen.T @ d_hidden, d_hidden.sum(axis=0)
-        d_seen = np.ascontiguousarray((d_hidden @ p["inner"].T).reshape(-1, EMBED).T, np.float64)
-        where = window.ravel().astype(np.int64)
+        grad["inner"], grad["inner_bias"] = (d_hidden @ seen).T, d_hidden.sum(axis=1)
+        d_seen = (p["inner"] @ d_hidden).reshape(len(OFFSETS), EMBED, -1)
+        where = window.T.ravel().astype(np.int64)
         grad["embed"] = np.stack(
-            [np.bincount(where, d_seen[k], PAD + 1) for k in range(EMBED)], axis=1).astype(np.float32)
+            [np.bincount(where, d_seen[:, k].ravel(), PAD + 1) for k in range(EMBED)], axis=1).astype(np.float32)
         for k, g in grad.items():
             self.speed[k] += g * g
             p[k] -= np.float32(rate) * g / np.sqrt(self.speed[k])
 
 
 def _exp(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp of scores less each row's largest, in place, and the row sums."""
-    scores -= scores.max(axis=1, keepdims=True)
+    """exp of scores less each column's largest, in place, and the column sums."""
+    scores -= scores.max(axis=0)
     np.exp(scores, out=scores)
-    return scores, scores.sum(axis=1)
+    return scores, scores.sum(axis=0)
 
 
 def _log_share(scores: np.ndarray, which: np.ndarray) -> np.ndarray:
     at = np.arange(len(which))
-    own = scores[at, which].astype(np.float64) - scores.max(axis=1)
+    own = scores[which, at].astype(np.float64) - scores.max(axis=0)
     return own - np.log(_exp(scores)[1])
 
 
 def _gradient(scores: np.ndarray, which: np.ndarray) -> np.ndarray:
     """Of the mean negative log share, with respect to the scores."""
     share, total = _exp(scores)
-    share /= (total * np.float32(len(which)))[:, None]
-    share[np.arange(len(which)), which] -= np.float32(1 / len(which))
+    share /= total * np.float32(len(which))
+    share[which, np.arange(len(which))] -= np.float32(1 / len(which))
     return share
 
 

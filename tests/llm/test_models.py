@@ -245,6 +245,18 @@ def test_words_of_a_bucket_have_their_share(spark, monkeypatch):
     assert got[1].log_likelihood > got[2].log_likelihood + 1 > got[3].log_likelihood + 10
 
 
+def test_words_are_counted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "HELD_WORDS", 3)  # given to the shuffle again and again
+    texts = ["a b\tA\x0bc\x0c\r\n b", "", "  ", "é É e\u00a0e é \u2028x", "one two three four one five a"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    vocab = lm_score.count_words(docs)
+    want = {}
+    for w in " ".join(texts).encode().lower().split():
+        want[w.decode()] = want.get(w.decode(), 0) + 1
+    rows = spark.read.parquet(vocab.counts).collect()
+    assert {r.word: r.n for r in rows} == want and len(rows) == len(want) and vocab.words == sum(want.values())
+
+
 def test_gradient_is_that_of_the_loss(prose):
     vocab, net = lm_score.fit(prose)
     rng = np.random.default_rng(3)
