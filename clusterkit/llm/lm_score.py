@@ -8,6 +8,10 @@ times the word's share of it: its count, of the bucket's count and number of wor
 leaves is for words that were not counted, spelled in bytes of equal probability. The output is a softmax over classes, then over
 the members of the word's class, so a word costs two small softmaxes and probabilities sum to one.
 
+Texts are read twice: words are counted, then turned into ids, which are written and serve the
+training and the scores. The counts of the most frequent words outside the vocabulary are held by
+every task that makes ids, so that only the rest of the words meet their counts by a join.
+
 Training covers every document once. The corpus is cut by a hash of the text into as many parts as
 there are rounds; in a round every task trains its own copy in numpy on all its documents of that
 part, and the copies are averaged, weighted by words, in two steps of bounded size. So what is
@@ -20,12 +24,12 @@ from __future__ import annotations
 import itertools
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,13 +45,17 @@ EMBED, HIDDEN = 16, 32
 OFFSETS = (-2, -1, 1, 2)
 #: Words of a training step; longer words than this many bytes are always in a bucket.
 STEP, LONG_WORD = 16384, 64
+#: Places whose outputs are computed at a time, so that they stay in the cache.
+BLOCK = 1024
+#: Words outside the vocabulary, the most frequent, whose counts every task holds, at most.
+HELD_COUNTS = 200_000
 #: A copy of the network weighs as much as some 100,000 words, so a task that trains one is to have
 #: several times that: small partitions are joined until it does.
 TASK_WORDS = 500_000
 
 COUNTS = "word string, n long"
-#: Different words that a task counts before it gives them to the shuffle.
-HELD_WORDS = 200_000
+#: Words that a task holds before it counts them for the shuffle, and bytes of texts that it looks up at a time.
+HELD_WORDS, READ_BYTES = 2_500_000, 1 << 23
 
 
 @dataclass
@@ -62,24 +70,46 @@ class Vocabulary:
     bucket_count: np.ndarray | None = None  # of each bucket, of words outside the vocabulary
     bucket_words: np.ndarray | None = None  # and how many different ones
 
-    def stream(self, texts: list[str], rare: list[list[str]] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words, two pads around each text, and the number of words of each text. The
-        words of each text that are in buckets are appended to ``rare``."""
-        pads, out, count = [PAD, PAD], [PAD, PAD], []
-        get = self.ids.get
-        for text in texts:
-            words = text.encode().lower().split()
-            found = list(map(get, words))
-            if rare is not None:
-                rare.append([w.decode("utf-8", "surrogatepass") for i, w in zip(found, words) if i is None])
-            if None in found:
-                buckets = self.bucket_ids
-                found = [i if i is not None else buckets[zlib.crc32(w[-2:]) % BUCKETS]
-                         for i, w in zip(found, words)]
-            out += found
-            out += pads
-            count.append(len(words))
-        return np.array(out, np.int32), np.array(count, np.int64)
+    held: pa.Array | None = None  # words of the vocabulary, and others whose counts are held
+    id_of: np.ndarray | None = None  # of each, its own id or its bucket's
+    inside: np.ndarray | None = None  # and its log probability in its bucket, 0 for the vocabulary's
+
+    def stream(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, two pads around each text, and the number of words of each text."""
+        ids, count, *_ = self.read(pa.array(texts, pa.string()))
+        return np.append([PAD, PAD], ids).astype(np.int32), count
+
+    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """Ids of all words, two pads behind each text. Then, of each text: the number of its words and
+        the sum of the log probabilities that its held words have in their buckets. Then all words in
+        buckets that are not held, and how many each text has."""
+        words, count = split_words(texts)
+        found = pc.index_in(words, value_set=self.held).fill_null(-1).to_numpy()
+        ids, share, other = self.id_of[found], self.inside[found], found < 0
+        rest = words.filter(pa.array(other))
+        kinds = rest.dictionary_encode()
+        bucket = [self.bucket_ids[zlib.crc32(w[-2:]) % BUCKETS] for w in kinds.dictionary.cast(pa.binary()).to_pylist()]
+        ids[other] = np.array(bucket, np.uint16)[kinds.indices.to_numpy()]
+        share[other] = 0
+        stream = np.full(len(ids) + 2 * len(texts), PAD, np.uint16)
+        stream[np.arange(len(ids)) + 2 * np.repeat(np.arange(len(texts)), count)] = ids
+        return stream, count, _sums(share, count), rest, _sums(other.astype(np.int64), count)
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A to Z in lower case, and the number of words of each text."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = split.flatten()
+    there = pc.binary_length(words).to_numpy() > 0  # white space at an end gives an empty word
+    count = _sums(there.astype(np.int64), np.diff(split.offsets.to_numpy()))
+    return words.filter(pa.array(there)), count
+
+
+def _sums(values: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Of consecutive runs of the given sizes."""
+    total = np.append(np.zeros(1, values.dtype), np.cumsum(values))
+    ends = np.append(0, np.cumsum(size))
+    return total[ends[1:]] - total[ends[:-1]]
 
 
 def count_words(docs: DataFrame) -> Vocabulary:
@@ -90,18 +120,17 @@ def count_words(docs: DataFrame) -> Vocabulary:
     own most frequent ones each. Beside them it gets one count for each bucket.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+        held: list[pa.Array] = []
 
         def out() -> pa.RecordBatch:
-            words = pa.array(list(held), pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([words, pa.array(held.values(), pa.int64())], ["word", "n"])
+            found = pa.chunked_array(held, pa.string()).value_counts()
+            return pa.RecordBatch.from_arrays([found.field(0), found.field(1)], ["word", "n"])
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.update(text.encode().lower().split())
-                if len(held) > HELD_WORDS:
-                    yield out()
-                    held.clear()
+            held.append(split_words(batch.column("text"))[0])
+            if sum(map(len, held)) >= HELD_WORDS:
+                yield out()
+                held.clear()
         if held:
             yield out()
 
@@ -111,11 +140,13 @@ def count_words(docs: DataFrame) -> Vocabulary:
     counts = docs.sparkSession.read.schema(COUNTS).parquet(path)
     short = counts.filter(F.octet_length("word") <= LONG_WORD)
     order = F.floor(F.log2("n") * 4).cast("int")
-    least, found = 0, 0
+    least, least_held, found = 0, None, 0
     for r in sorted(short.groupBy(order.alias("o")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r.o):
-        least, found = r.o, found + r.n
-        if found >= WORDS:
-            break
+        if found < WORDS:
+            least = r.o
+        found += r.n
+        if found <= WORDS + HELD_COUNTS:
+            least_held = r.o
     likely = short.filter(order >= least)
     top = [(r.word.encode(), r.n) for r in likely.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
     of_bucket = counts.groupBy(_bucket().alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()
@@ -135,8 +166,18 @@ def count_words(docs: DataFrame) -> Vocabulary:
             buckets[what] = i
         else:
             ids[what] = i
-    each = (np.array([x.get(b, 0) for b in range(BUCKETS)], float) for x in (rest, kinds))
-    return Vocabulary(ids, buckets, np.log(share / share.sum()), sum(n for n, *_ in entries), path, *each)
+    each = [np.array([x.get(b, 0) for b in range(BUCKETS)], float) for x in (rest, kinds)]
+    held = [] if least_held is None else short.filter(order >= least_held).collect()
+    held = sorted((w, r.n) for r in held if (w := r.word.encode()) not in ids)
+    bucket = np.array([zlib.crc32(w[-2:]) % BUCKETS for w, _ in held], np.int64)
+    id_of = np.append(list(ids.values()), np.array(buckets)[bucket]).astype(np.uint16)
+    log_n = np.log(np.array([n for _, n in held], float))
+    inside = np.append(np.zeros(len(ids)), log_n - np.log(np.maximum(each[0] + each[1], 1))[bucket])
+    # One more of each, so that a word that is not found (-1) has a place.
+    id_of, inside = np.append(id_of, np.uint16(PAD)), np.append(inside, 0)
+    names = pa.array([*ids, *(w for w, _ in held)], pa.binary()).cast(pa.string())
+    return Vocabulary(ids, buckets, np.log(share / share.sum()), sum(n for n, *_ in entries), path, *each,
+                      names, id_of, inside)
 
 
 def _bucket():
@@ -192,57 +233,59 @@ class Network:
         return np.concatenate([v.ravel() for v in self.parts.values()])
 
     # Columns are places here, so that what runs over the few classes or members of each place is
-    # done for many places at a time.
+    # done for many places at a time. Biases are the last row of the weights, met by a row of ones.
 
-    def _hidden(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        seen = self.parts["embed"].take(window, axis=0).reshape(len(window), -1)
-        return seen, np.tanh(self.parts["inner"].T @ seen.T + self.parts["inner_bias"][:, None])
+    def _outer(self) -> tuple[np.ndarray, np.ndarray]:
+        p = self.parts
+        return (np.concatenate([p["class"], p["class_bias"][None]]),
+                np.concatenate([p["member"], p["member_bias"][:, None]], axis=1))
 
-    def _outputs(self, hidden: np.ndarray, cls: np.ndarray):
-        """Scores of classes and, for places sorted by class, of members; and where classes begin."""
+    def _hidden(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = self.parts
-        classes = p["class"].T @ hidden + p["class_bias"][:, None]
-        members = np.empty((MEMBERS, len(cls)), np.float32)
-        edges = np.searchsorted(cls, np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            a, b = edges[c], edges[c + 1]
-            if a < b:
-                members[:, a:b] = p["member"][c].T @ hidden[:, a:b] + p["member_bias"][c][:, None]
-        return classes, members, edges
+        seen = p["embed"].take(window, axis=0).reshape(len(window), -1)
+        hidden = np.ones((HIDDEN + 1, len(window)), np.float32)
+        inner = hidden[:-1]
+        np.matmul(p["inner"].T, seen.T, out=inner)
+        inner += p["inner_bias"][:, None]
+        np.tanh(inner, out=inner)
+        return seen, hidden
 
     def log_probability(self, window: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of each target given its window, in the order given."""
-        order = np.argsort(target, kind="stable")
-        cls, member = target[order] // MEMBERS, target[order] % MEMBERS
-        hidden = self._hidden(window[order])[1]
-        classes, members, _ = self._outputs(hidden, cls)
-        out = np.empty(len(order), np.float64)
-        out[order] = _log_share(classes, cls) + _log_share(members, member)
+        classes, members = self._outer()
+        out = np.empty(len(target), np.float64)
+        for at, cls, member, runs in _blocks(target):
+            hidden = self._hidden(window.take(at, axis=0))[1]
+            own = _members(members, hidden, runs)
+            out[at] = _log_share(classes.T @ hidden, cls) + _log_share(own, member)
         return out
 
     def learn(self, window: np.ndarray, target: np.ndarray, rate: float = 0.08) -> None:
         """One step of Adagrad on the mean log probability."""
-        p = self.parts
-        order = np.argsort(target, kind="stable")
-        window = window[order]
-        cls, member = target[order] // MEMBERS, target[order] % MEMBERS
-        seen, hidden = self._hidden(window)
-        classes, members, edges = self._outputs(hidden, cls)
-        d_class, d_member = _gradient(classes, cls), _gradient(members, member)
-        d_hidden = p["class"] @ d_class
-        grad = {"class": hidden @ d_class.T, "class_bias": d_class.sum(axis=1)}
-        grad["member"] = np.zeros_like(p["member"])
-        grad["member_bias"] = np.zeros_like(p["member_bias"])
-        for c in range(CLASSES):
-            a, b = edges[c], edges[c + 1]
-            if a < b:
-                grad["member"][c] = hidden[:, a:b] @ d_member[:, a:b].T
-                grad["member_bias"][c] = d_member[:, a:b].sum(axis=1)
+        p, n = self.parts, len(target)
+        classes, members = self._outer()
+        grad = {k: np.zeros_like(p[k]) for k in ("inner", "inner_bias")}
+        outer, own = np.zeros_like(classes), np.zeros_like(members)
+        d_seen = np.empty((len(OFFSETS) * EMBED, n), np.float32)
+        done, order = 0, []
+        for at, cls, member, runs in _blocks(target):
+            seen, hidden = self._hidden(window.take(at, axis=0))
+            d_class = _gradient(classes.T @ hidden, cls, n)
+            d_member = _gradient(_members(members, hidden, runs), member, n)
+            d_hidden = p["class"] @ d_class
+            outer += hidden @ d_class.T
+            for c, a, b in runs:
+                own[c] += hidden[:, a:b] @ d_member[:, a:b].T
                 d_hidden[:, a:b] += p["member"][c] @ d_member[:, a:b]
-        d_hidden *= 1 - hidden * hidden
-        grad["inner"], grad["inner_bias"] = (d_hidden @ seen).T, d_hidden.sum(axis=1)
-        d_seen = (p["inner"] @ d_hidden).reshape(len(OFFSETS), EMBED, -1)
-        where = window.T.ravel().astype(np.int64)
+            d_hidden *= 1 - hidden[:-1] * hidden[:-1]
+            grad["inner"] += (d_hidden @ seen).T
+            grad["inner_bias"] += d_hidden.sum(axis=1)
+            np.matmul(p["inner"], d_hidden, out=d_seen[:, done:done + len(at)])
+            done += len(at)
+            order.append(at)
+        grad |= {"class": outer[:-1], "class_bias": outer[-1], "member": own[:, :-1], "member_bias": own[:, -1]}
+        d_seen = d_seen.reshape(len(OFFSETS), EMBED, -1)
+        where = window[np.concatenate(order)].T.ravel().astype(np.int64)
         grad["embed"] = np.stack(
             [np.bincount(where, d_seen[:, k].ravel(), PAD + 1) for k in range(EMBED)], axis=1).astype(np.float32)
         for k, g in grad.items():
@@ -250,24 +293,43 @@ class Network:
             p[k] -= np.float32(rate) * g / np.sqrt(self.speed[k])
 
 
-def _exp(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp of scores less each column's largest, in place, and the column sums."""
-    scores -= scores.max(axis=0)
-    np.exp(scores, out=scores)
-    return scores, scores.sum(axis=0)
+def _blocks(target: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]]:
+    """The places in the order of their targets, some at a time, with class and member of each, and
+    each class with where it begins and ends."""
+    order = np.argsort(target.astype(np.uint16), kind="stable")  # by radix, as the numbers have 16 bits
+    for k in range(0, len(order), BLOCK):
+        at = order[k:k + BLOCK]
+        cls, member = np.divmod(target.take(at).astype(np.int64), MEMBERS)
+        edges = [0, *(np.flatnonzero(np.diff(cls)) + 1).tolist(), len(at)]
+        yield at, cls, member, [(int(cls[a]), a, b) for a, b in zip(edges, edges[1:])]
+
+
+def _members(weights: np.ndarray, hidden: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+    """Scores of the members of each place's class."""
+    out = np.empty((MEMBERS, hidden.shape[1]), np.float32)
+    for c, a, b in runs:
+        np.matmul(weights[c].T, hidden[:, a:b], out=out[:, a:b])
+    return out
+
+
+def _tame(scores: np.ndarray) -> np.ndarray:
+    """The scores, less each column's largest where sums of exp could overflow or vanish."""
+    if scores.max(initial=0) > 80 or scores.min(initial=0) < -60:
+        scores -= scores.max(axis=0)
+    return scores
 
 
 def _log_share(scores: np.ndarray, which: np.ndarray) -> np.ndarray:
-    at = np.arange(len(which))
-    own = scores[which, at].astype(np.float64) - scores.max(axis=0)
-    return own - np.log(_exp(scores)[1])
+    """Of column i the log share of row which[i]. Changes the scores."""
+    own = _tame(scores)[which, np.arange(len(which))].astype(np.float64)
+    return own - np.log(np.exp(scores, out=scores).sum(axis=0))
 
 
-def _gradient(scores: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Of the mean negative log share, with respect to the scores."""
-    share, total = _exp(scores)
-    share /= total * np.float32(len(which))
-    share[which, np.arange(len(which))] -= np.float32(1 / len(which))
+def _gradient(scores: np.ndarray, which: np.ndarray, n: int) -> np.ndarray:
+    """Of the mean negative log share of ``n`` places, these among them, with respect to the scores."""
+    share = np.exp(_tame(scores), out=scores)
+    share *= 1 / (share.sum(axis=0) * np.float32(n))
+    share[which, np.arange(len(which))] -= np.float32(1 / n)
     return share
 
 
@@ -279,10 +341,59 @@ def windows(stream: np.ndarray, step: int = STEP) -> Iterator[tuple[np.ndarray,
         yield np.stack([stream[at + o] for o in OFFSETS], axis=1), stream[at]
 
 
-def _train(part: DataFrame, start: Network, vocab: Vocabulary) -> Network:
-    """The average of the copies that all tasks have trained from ``start``."""
+IDS = "doc_id long, row long, part int, n_words long, ids binary, inside double, rare array<string>"
+
+
+def _with_ids(rows: DataFrame, vocab: Vocabulary, rounds: int) -> DataFrame:
+    """Columns doc_id, row (a number of its own), part (the round that trains it), n_words, ids (two
+    bytes each, two pads behind), inside (of the words whose counts are held) and rare (the other
+    words in buckets), one row for each row of ``rows``; written."""
+    spark = rows.sparkSession
+    shipped = spark.sparkContext.broadcast(vocab)
+    names = ["doc_id", "row", "part", "n_words", "ids", "inside", "rare"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_of = shipped.value
+        done = TaskContext.get().partitionId() << 33
+        for batch in _joined(batches, READ_BYTES):
+            n = len(batch)
+            stream, count, inside, rest, others = words_of.read(batch.column("text"))
+            ends = np.append(0, np.cumsum(2 * (count + 2))).astype(np.int32)
+            ids = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(stream.astype("<u2"))])
+            rare = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(others)), pa.int32()), rest)
+            row = pa.array(np.arange(done, done + n))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), row, batch.column("part"), pa.array(count), ids, pa.array(inside), rare], names)
+            done += n
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    part = F.pmod(F.xxhash64("text"), F.lit(rounds)).cast("int")
+    return written(rows.withColumn("part", part).mapInArrow(run, IDS), "lm-ids")
+
+
+def _joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold ``size`` bytes."""
+    held, got = [], 0
+    for batch in batches:
+        held.append(batch)
+        got += batch.nbytes
+        if got >= size:
+            yield pa.concat_batches(held)
+            held, got = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _stream(batch: pa.RecordBatch) -> np.ndarray:
+    """The ids of a batch, two pads around each text."""
+    pads = np.array([PAD, PAD], "<u2").tobytes()
+    return np.frombuffer(pads + b"".join(batch.column("ids").to_pylist()), "<u2")
+
+
+def _train(part: DataFrame, start: Network) -> Network:
+    """The average of the copies that all tasks have trained from ``start``. ``part``: ids."""
     spark = part.sparkSession
-    shipped = spark.sparkContext.broadcast((start.flat(), vocab))
+    shipped = spark.sparkContext.broadcast(start.flat())
     empty = {k: np.zeros_like(v) for k, v in start.parts.items()}
     schema = "task long, words double, net binary"
     names = ["task", "words", "net"]
@@ -293,13 +404,11 @@ def _train(part: DataFrame, start: Network, vocab: Vocabulary) -> Network:
              pa.array([flat.astype("<f4").tobytes()], pa.binary())], names)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, words_of = shipped.value
-        net = Network.of(flat, Network(empty))
+        net = Network.of(shipped.value, Network(empty))
         done, left = 0, None
         for batch in batches:
-            stream, count = words_of.stream(batch.column("text").to_pylist())
-            done += int(count.sum())
-            for window, target in windows(stream):
+            for window, target in windows(_stream(batch)):
+                done += len(target)
                 if left is not None:  # a step is filled up from the next batch
                     window, target = np.concatenate([left[0], window]), np.concatenate([left[1], target])
                     left = None
@@ -337,11 +446,15 @@ def fit(docs: DataFrame, rounds: int = 2, id_col: str = "doc_id", text_col: str
     """Vocabulary and network of all texts; each text is trained on in one of the rounds."""
     rows = id_and_text(docs, id_col, text_col)
     vocab = count_words(rows)
+    return vocab, _fitted(_with_ids(rows, vocab, rounds), vocab, rounds)
+
+
+def _fitted(read: DataFrame, vocab: Vocabulary, rounds: int) -> Network:
     net = Network.initial(vocab)
     for k in range(rounds):
-        part = rows.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select("text")
-        net = _train(part.coalesce(max(1, vocab.words // rounds // TASK_WORDS)), net, vocab)
-    return vocab, net
+        part = read.filter(F.col("part") == k).select("ids")
+        net = _train(part.coalesce(max(1, vocab.words // rounds // TASK_WORDS)), net)
+    return net
 
 
 def lm_scores(docs: DataFrame, rounds: int = 2, fitted: tuple[Vocabulary, Network] | None = None,
@@ -352,37 +465,32 @@ def lm_scores(docs: DataFrame, rounds: int = 2, fitted: tuple[Vocabulary, Networ
     sum 0 and a null mean. Null ids stay null, repeated rows are each trained on and scored, other
     columns are not read, an empty table gives no rows.
     """
-    vocab, net = fitted or fit(docs, rounds, id_col, text_col)
     spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast((vocab, net.parts))
+    rows = id_and_text(docs, id_col, text_col)
+    vocab = fitted[0] if fitted else count_words(rows)
+    read = _with_ids(rows, vocab, rounds)
+    net = fitted[1] if fitted else _fitted(read, vocab, rounds)
+    shipped = spark.sparkContext.broadcast(net.parts)
 
     def make():
-        words_of, parts = shipped.value
-        model = Network(parts)
-        task = TaskContext.get().partitionId() << 33
-        rows = itertools.count(task)
+        model = Network(shipped.value)
 
         def work(batch: pa.RecordBatch) -> list:
-            rare: list[list[str]] = []
-            stream, count = words_of.stream(batch.column("text").to_pylist(), rare)
-            each = [model.log_probability(w, t) for w, t in windows(stream)]
+            each = [model.log_probability(w, t) for w, t in windows(_stream(batch))]
             ends = np.append(0, np.cumsum(np.concatenate(each) if each else np.zeros(0)))
-            at = np.append(0, np.cumsum(count))
-            total = ends[at[1:]] - ends[at[:-1]]
-            return [batch.column("doc_id"), list(itertools.islice(rows, len(count))), count, total, rare]
+            at = np.append(0, np.cumsum(batch.column("n_words").to_numpy()))
+            total = ends[at[1:]] - ends[at[:-1]] + batch.column("inside").to_numpy()
+            return [batch.column("doc_id"), batch.column("row"), batch.column("n_words"), total]
 
         return work
 
-    # Written, so that a row keeps its number while its rare words meet their counts.
-    scored = written(map_rows(
-        id_and_text(docs, id_col, text_col), make,
-        "doc_id long, row long, n_words long, total double, rare array<string>",
-        pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("total", pa.float64()),
-                   ("rare", pa.list_(pa.string()))])), "lm-scored")
+    scored = map_rows(
+        read.select("doc_id", "row", "n_words", "ids", "inside"), make, "doc_id long, row long, n_words long, total double",
+        pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("total", pa.float64())]))
     counts = spark.read.schema(COUNTS).parquet(vocab.counts)
-    rare = scored.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
+    rare = read.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
     inside = rare.groupBy("row").agg(F.sum(_log_share_of_bucket(vocab)).alias("inside"))
     score = F.col("total") + F.coalesce("inside", F.lit(0.0))
-    return scored.select("doc_id", "row", "n_words", "total").join(inside, "row", "left").select(
+    return scored.join(inside, "row", "left").select(
         "doc_id", "n_words", score.alias("log_likelihood"),
         F.when(F.col("n_words") > 0, score / F.col("n_words")).alias("mean_log_likelihood"))

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -257,6 +258,59 @@ def test_words_are_counted_in_parts(spark, monkeypatch):
     assert {r.word: r.n for r in rows} == want and len(rows) == len(want) and vocab.words == sum(want.values())
 
 
+def test_words_are_split_as_python_splits_bytes():
+    texts = ["a b\tA\x0bc\x0c\r\n b", "", "  ", " \u00e9 \u00c9 e\u00a0e \u2028x\n", "\x1c\x1f x\x00y \x85"]
+    words, count = lm_score.split_words(pa.array(["cut off", *texts]).slice(1))
+    want = [t.encode().lower().split() for t in texts]
+    assert [w.encode() for w in words.to_pylist()] == [w for t in want for w in t]
+    assert count.tolist() == [len(t) for t in want]
+    assert lm_score.split_words(pa.array([], pa.string()))[1].tolist() == []
+
+
+def test_only_words_whose_counts_are_not_held_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "WORDS", 3)
+    monkeypatch.setattr(lm_score, "BATCH_ROWS", 2)
+    r = random.Random(4)
+    words = ["the"] * 300 + ["dog"] * 200 + ["cat"] * 100 + [f"w{k}ing" for k in range(40) for _ in range(1 + k % 5)]
+    r.shuffle(words)
+    texts = [" ".join(words[k::9]) for k in range(9)] + ["", " the  w4ing\n", "w4ing zq dog"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    net, got, joined = lm_score.fit(docs)[1], [], []
+    for held, size in ((0, 1), (20, 50), (200, 1 << 23)):  # none, some and all, read in parts of some bytes
+        monkeypatch.setattr(lm_score, "HELD_COUNTS", held)
+        monkeypatch.setattr(lm_score, "READ_BYTES", size)
+        vocab = lm_score.count_words(docs)
+        read = lm_score._with_ids(docs, vocab, 2).collect()
+        rare = {x.doc_id: x.rare for x in read}
+        assert len({x.row for x in read}) == len(texts)
+        joined.append(sum(map(len, rare.values())))
+        for x in read:
+            ids = np.frombuffer(x.ids, "<u2")
+            assert ids.tolist() == vocab.stream([texts[x.doc_id]])[0].tolist()[2:] and x.n_words == len(ids) - 2
+        got.append({x.doc_id: x.log_likelihood for x in lm_score.lm_scores(docs, fitted=(vocab, net)).collect()})
+    assert joined[0] > joined[1] > joined[2] == 0
+    assert got[1] == pytest.approx(got[0], rel=1e-9) and got[2] == pytest.approx(got[0], rel=1e-9)
+
+
+def test_blocks_of_places_change_no_step(prose, monkeypatch):
+    vocab, net = lm_score.fit(prose)
+    rng = np.random.default_rng(8)
+    window = rng.integers(0, lm_score.PAD + 1, (300, 4)).astype(np.uint16)
+    target = rng.integers(0, lm_score.PAD, 300).astype(np.uint16)
+    flat, score = [], []
+    for block in (7, 1024):
+        monkeypatch.setattr(lm_score, "BLOCK", block)
+        copy = lm_score.Network.of(net.flat(), net)
+        copy.learn(window, target)
+        flat.append(copy.flat())
+        score.append(copy.log_probability(window, target))
+    assert np.abs(flat[0] - net.flat()).max() > 0.01
+    assert flat[0] == pytest.approx(flat[1], abs=1e-5) and score[0] == pytest.approx(score[1], abs=1e-4)
+    far = np.array([[300.0, -300.0], [-300.0, -310.0], [0.0, -305.0]], np.float32)
+    want = [0, -10 - np.log(1 + np.exp(-10) + np.exp(-5))]
+    assert lm_score._log_share(far, np.array([0, 1])) == pytest.approx(want, abs=1e-5)
+
+
 def test_gradient_is_that_of_the_loss(prose):
     vocab, net = lm_score.fit(prose)
     rng = np.random.default_rng(3)
