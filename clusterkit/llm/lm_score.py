@@ -98,7 +98,7 @@ class Vocabulary:
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts, A to Z in lower case, and the number of words of each text."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))  # Spark may give large ones
     words = split.flatten()
     there = pc.binary_length(words).to_numpy() > 0  # white space at an end gives an empty word
     count = _sums(there.astype(np.int64), np.diff(split.offsets.to_numpy()))

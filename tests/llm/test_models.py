@@ -265,6 +265,8 @@ def test_words_are_split_as_python_splits_bytes():
     assert [w.encode() for w in words.to_pylist()] == [w for t in want for w in t]
     assert count.tolist() == [len(t) for t in want]
     assert lm_score.split_words(pa.array([], pa.string()))[1].tolist() == []
+    large, count = lm_score.split_words(pa.array(texts, pa.large_string()))
+    assert large == words and count.tolist() == [len(t) for t in want]
 
 
 def test_only_words_whose_counts_are_not_held_are_joined(spark, monkeypatch):
@@ -292,6 +294,11 @@ def test_only_words_whose_counts_are_not_held_are_joined(spark, monkeypatch):
     assert got[1] == pytest.approx(got[0], rel=1e-9) and got[2] == pytest.approx(got[0], rel=1e-9)
 
 
+def test_scores_of_texts_without_words(spark):
+    got = lm_score.lm_scores(cases.frame(spark, [(1, ""), (2, " \n"), (3, None)])).collect()
+    assert sorted((x.doc_id, x.n_words, x.log_likelihood, x.mean_log_likelihood) for x in got) == [(k, 0, 0.0, None) for k in (1, 2, 3)]
+
+
 def test_blocks_of_places_change_no_step(prose, monkeypatch):
     vocab, net = lm_score.fit(prose)
     rng = np.random.default_rng(8)
