@@ -347,6 +347,25 @@ def test_suffix_arrays_find_all_repeats():
             assert got == marks
 
 
+@pytest.mark.parametrize("collide", [False, True])
+def test_suffix_arrays_hold_shared_strings_only(monkeypatch, collide):
+    if collide:  # every string has one hash: nothing is left out, and the arrays tell all apart
+        monkeypatch.setattr(repeats, "_BYTES", np.zeros(256, np.uint64))
+    sizes = []
+    arrays = repeats.suffix_array
+    monkeypatch.setattr(repeats, "suffix_array", lambda c, n=1: sizes.append(sum(map(len, c))) or arrays(c, n))
+    r = random.Random(5)
+    rnd = lambda n: bytes(r.choice(b"abc\x00\xff") for _ in range(n))
+    passage, loop = rnd(60), b"xy" * 30
+    texts = [rnd(200) + passage + rnd(90), b"", rnd(30) + passage[5:50] + rnd(40) + passage, passage[:39], rnd(300), rnd(20) + loop, b""]
+    runs = repeats.repeated_runs(texts, 40)
+    for t, marks, own in zip(texts, covered(texts, 40), runs):
+        assert b"".join(t[a:b] for a, b in own) == bytes(c for c, m in zip(t, marks) if m)
+    shared = sum(b - a for own in runs for a, b in own)
+    assert shared >= 60 + 45 + 60 + 60
+    assert sizes == [sum(len(t) for t in texts if len(t) >= 40) if collide else shared]
+
+
 def test_maximal_repeats_name_all_occurrences():
     groups = list(repeats.maximal_repeats([b"xabcdey", b"zabcdew", b"qabcdet"], 4))
     assert [(n, sorted(places)) for n, places in groups] == [(5, [(0, 1), (1, 1), (2, 1)])]
