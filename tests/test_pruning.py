@@ -3,9 +3,12 @@
 import numpy as np
 import pytest
 
-from clusterkit.operators import pruning
-from clusterkit.operators.kmeans import Packed, lloyd_runs, prunes, run_totals
+from pyspark.sql import functions as F
+
+from clusterkit.operators import pruning, quality
+from clusterkit.operators.kmeans import Clustering, Packed, lloyd_runs, prunes, run_totals
 from clusterkit.operators.pruning import _finder, _nearest_rows
+from clusterkit.operators.quality import label_entropy, run_entropies
 from tests.fixtures import features
 from tests.test_bounds import clouds
 from tests.test_kmeans import brute, brute_lloyd
@@ -81,7 +84,7 @@ def test_weights_bad_rows_and_no_rows(spark):
 def test_one_row_repeated_goes_to_several_tasks(spark):
     df = spark.range(30_000).selectExpr("array(1D, 2D, if(id % 100 = 0, double(id), 3D)) AS features").repartition(4)
     with pruning.packed(df, 3) as blocks:
-        each = [r["count"] for r in blocks.blocks.groupBy(pruning.F.spark_partition_id()).agg(pruning.F.sum("leaves").alias("count")).collect()]
+        each = [r["count"] for r in blocks.blocks.groupBy(F.spark_partition_id()).agg(F.sum("leaves").alias("count")).collect()]
         assert len(each) > 2 and max(each) < 0.6 * sum(each)
 
 
@@ -93,3 +96,21 @@ def test_most_distances_are_not_taken():
     taken = []
     search(tree(pts, w), x[:400], np.array([0, 400]), lambda *settled: None, lambda leaf, run, ids, mine: taken.append(mine.size * ids.shape[1]))
     assert sum(taken) < 0.08 * 20_000 * 400
+
+
+def test_entropies_of_many_centers(spark, monkeypatch):
+    rng = np.random.default_rng(35)
+    x = clouds(rng, 900, 8, 3)
+    labels = [f"l{i}" if i % 3 else "abc"[i % 2] if i % 9 else None for i in range(900)]  # most of them once
+    rows = [(label, p) for label, p in zip(labels, x.tolist())] + [("a", None), ("b", [1.0])]
+    df = spark.createDataFrame(rows, "label string, features array<double>").repartition(4)
+    models = {k: Clustering(x[rng.choice(900, k, replace=False)]) for k in (1, 4, 90, 200)}
+    used = []
+    monkeypatch.setattr(quality, "_nearest_rows", lambda width: used.append(width) or _nearest_rows(width))
+    for split in (50, 10_000):
+        got = run_entropies(df, models, split)
+        for k, model in models.items():
+            each = [(labels[i], int(c)) for i, c in enumerate(brute(x, model.centers)[0])]
+            want = label_entropy(spark.createDataFrame(each, "label string, cluster int")).first()["score"]
+            assert got[k] == pytest.approx(want, abs=1e-9), (split, k)
+    assert used == [3, 3]
