@@ -132,3 +132,19 @@ def test_anomalies_of_fifteen_components_with_their_own_parameters(spark):
     got = {int(r["value"].split(",")[0][1:]): r["distance"] for r in pca_anomalies_job(lines(spark, text(x)), SPEC).collect()}
     assert set(got) == set(want) and len(got) == 99
     assert all(got[i] == pytest.approx(want[i]) for i in want)
+
+
+@pytest.mark.parametrize("width", [3, 15])
+def test_packed_rows_draw_and_fit_as_plain_ones(spark, monkeypatch, width):
+    from clusterkit.operators import pruning
+
+    used, pack = [], pruning.packed
+    monkeypatch.setattr(pruning, "packed", lambda *args: used.append(args[1]) or pack(*args))
+    rng = np.random.default_rng(13)
+    rows = rng.normal(size=(160, width)).round(2).tolist()
+    rows += rows[:30] + [rows[0]] * 20
+    models = fit_sweep(features(spark, rows), [6, 70], restarts=4)
+    want = plain_fits(rows, [6, 70], range(4))
+    for k, model in models.items():
+        assert model.cost == pytest.approx(want[k][0]) and model.centers == pytest.approx(want[k][1])
+    assert used == [width]  # once for all scans
