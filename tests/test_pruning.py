@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from clusterkit.operators import pruning, quality
-from clusterkit.operators.kmeans import Clustering, Packed, lloyd_runs, prunes, run_totals
+from clusterkit.operators.kmeans import Clustering, Packed, diagonal_start, lloyd_runs, prunes, run_totals
 from clusterkit.operators.pruning import _finder, _nearest_rows
 from clusterkit.operators.quality import label_entropy, run_entropies
-from tests.fixtures import features
+from clusterkit.plans.batch import normalised_sweep_job
+from clusterkit.sources.records import RecordSpec
+from tests.fixtures import features, lines
 from tests.test_bounds import clouds
 from tests.test_kmeans import brute, brute_lloyd
 
@@ -114,3 +116,18 @@ def test_entropies_of_many_centers(spark, monkeypatch):
             want = label_entropy(spark.createDataFrame(each, "label string, cluster int")).first()["score"]
             assert got[k] == pytest.approx(want, abs=1e-9), (split, k)
     assert used == [3, 3]
+
+
+def test_every_k_of_a_normalised_sweep(spark, monkeypatch):
+    rng = np.random.default_rng(36)
+    x = clouds(rng, 300, 5, 3).round(3)
+    spec = RecordSpec(names=("id", "a", "b", "c"), numeric=(1, 2, 3), categorical=(), label=0)
+    texts = [f"r{i}," + ",".join(map(repr, row)) for i, row in enumerate(x.tolist())]
+    used, pack = [], pruning.packed
+    monkeypatch.setattr(pruning, "packed", lambda *args: used.append(args[1]) or pack(*args))
+    ks = list(range(1, 26))
+    got = {r["k"]: r["score"] for r in normalised_sweep_job(lines(spark, texts), spec, ks, lambda k: diagonal_start(k, 3), iterations=4).collect()}
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    for k in ks:
+        assert got[k] == pytest.approx(brute(z, brute_lloyd(z, diagonal_start(k, 3), 4))[1].mean()), k
+    assert used == [3]
