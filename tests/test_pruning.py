@@ -9,7 +9,7 @@ from clusterkit.operators import pruning, quality
 from clusterkit.operators.kmeans import Clustering, Packed, diagonal_start, lloyd_runs, prunes, run_totals
 from clusterkit.operators.pruning import _finder, _nearest_rows
 from clusterkit.operators.quality import label_entropy, run_entropies
-from clusterkit.plans.batch import normalised_sweep_job
+from clusterkit.plans.batch import categorical_sweep_job, normalised_sweep_job
 from clusterkit.sources.records import RecordSpec
 from tests.fixtures import features, lines
 from tests.test_bounds import clouds
@@ -131,3 +131,19 @@ def test_every_k_of_a_normalised_sweep(spark, monkeypatch):
     for k in ks:
         assert got[k] == pytest.approx(brute(z, brute_lloyd(z, diagonal_start(k, 3), 4))[1].mean()), k
     assert used == [3]
+
+
+def test_every_k_of_a_categorical_sweep(spark, monkeypatch):
+    rng = np.random.default_rng(37)
+    x, kind = clouds(rng, 300, 5, 3).round(3), rng.integers(0, 4, 300)
+    spec = RecordSpec(names=("id", "kind", "a", "b", "c"), numeric=(2, 3, 4), categorical=(1,), label=0)
+    texts = [f"r{i},{'wxyz'[t]}," + ",".join(map(repr, row)) for i, (t, row) in enumerate(zip(kind, x.tolist()))]
+    used, pack = [], pruning.packed
+    monkeypatch.setattr(pruning, "packed", lambda *args: used.append(args[1]) or pack(*args))
+    ks = list(range(1, 26))
+    got = {r["k"]: r["score"] for r in categorical_sweep_job(lines(spark, texts), spec, ks, lambda k: diagonal_start(k, 7), iterations=4).collect()}
+    rows = np.hstack([x, np.eye(4)[kind]])
+    z = (rows - rows.mean(axis=0)) / rows.std(axis=0)
+    for k in ks:
+        assert got[k] == pytest.approx(brute(z, brute_lloyd(z, diagonal_start(k, 7), 4))[1].mean()), k
+    assert used == [7]
